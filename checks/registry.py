@@ -21,7 +21,7 @@ from starpipe.plans.star import build_star
 from starpipe.schemas import LOAD_ORDER, SOURCE, STAR
 from starpipe.sources.order_system import order_system
 from starpipe.sources.readers import parquet_source
-from starpipe.workspace import new_path
+from starpipe.workspace import materialise, new_path
 
 # Day against which unfinished milestones are late, and shift that moves the given dates
 # (1995-2001) to both sides of the calendar's fixed limits.
@@ -30,18 +30,32 @@ RECENT = 9000
 
 
 class Context:
-    """Source, extracts and star over one folder, all lazy."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str, shift_days: int = 0, **star_options):
+    """Source, extracts and star over one folder, all lazy.
+
+    ``staged``: write each extract once, as a whole run does; for queries that use most of the
+    star. Otherwise every query reads straight from the source what it needs.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        shift_days: int = 0,
+        staged: bool = False,
+        **star_options,
+    ):
         self.spark = spark
+        keep = materialise if staged else None
         self.src = order_system(spark, sf_dir, shift_days)
-        self.x = extract.extract_all(self.src, as_of=F.lit(AS_OF).cast("date"))
-        self.u = extract.unscoped_children(self.src, self.x)
-        self.star = build_star(self.x, fact_inputs=self.u, **star_options)
+        self.x = extract.extract_all(self.src, as_of=F.lit(AS_OF).cast("date"), keep=keep)
+        self.u = self.x if staged else extract.unscoped_children(self.src, self.x)
+        self.star = build_star(self.x, fact_inputs=self.u, keep=keep, **star_options)
 
-    @cached_property
-    def metrics(self) -> DataFrame:
-        return facts.project_metrics(self.u, self.star["dim_tiempo"])
+    def measures(self, *names: str) -> DataFrame:
+        """Project measures, from just the relations they need."""
+        dated = {"ID_TiempoInicio", "ID_TiempoFinalizacion"} & set(names)
+        calendar = self.star["dim_tiempo"] if dated else None
+        return facts.measured_projects(self.u, names, calendar)
 
     @cached_property
     def values(self) -> DataFrame:
@@ -52,11 +66,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(name: str, shift_days: int = 0, **star_options):
+def query(name: str, **options):
     def register(build: Callable[[Context], DataFrame]) -> Callable[[Context], DataFrame]:
-        QUERIES[name] = lambda spark, sf_dir: build(
-            Context(spark, sf_dir, shift_days, **star_options)
-        )
+        QUERIES[name] = lambda spark, sf_dir: build(Context(spark, sf_dir, **options))
         return build
 
     return register
@@ -76,7 +88,7 @@ for _n, _name in enumerate(SOURCE, 1):
     query(f"x{_n:02d}_{_name}")(lambda c, name=_name: c.x[name])
 
 
-@query("s2_extract_counts")
+@query("s2_extract_counts", staged=True)
 def _extract_counts(c):
     return audits.row_counts(c.x, SOURCE)
 
@@ -179,7 +191,8 @@ def _lookup_date(c):
 
 @query("j5_children_of_project")
 def _children_of_project(c):
-    return facts.project_rollup(c.u).select("ID_Proyecto", "milestones", "tasks", "staff")
+    rollup = facts.project_rollup(c.u, ("staff", "schedule"))
+    return dims.known_projects(rollup, c.x).select("ID_Proyecto", "milestones", "tasks", "staff")
 
 
 # Project measures ---------------------------------------------------------------------------
@@ -202,7 +215,7 @@ _MEASURES = {
 }
 
 for _name, _columns in _MEASURES.items():
-    query(_name)(lambda c, columns=_columns: c.metrics.select("ID_Proyecto", *columns))
+    query(_name)(lambda c, columns=_columns: c.measures(*columns))
 
 
 @query("a15_distinct_dates")
@@ -222,7 +235,7 @@ def _date_span(c):
     )
 
 
-@query("a17_counts")
+@query("a17_counts", staged=True)
 def _counts(c):
     return audits.row_counts(c.star, LOAD_ORDER)
 
@@ -288,7 +301,7 @@ def _union_dates(c):
     return dims.observed_dates(c.src)
 
 
-@query("u3_merged_names")
+@query("u3_merged_names", staged=True)
 def _merged_names(c):
     return audits.row_counts({**c.x, **c.star}, ("proyectos", "dim_proyectos", "dim_tiempo"))
 
@@ -471,7 +484,7 @@ def _proyectos_from_extracts(c):
     return build_star(c.x)["hechos_proyectos"]
 
 
-@query("d15_star_sizes")
+@query("d15_star_sizes", staged=True)
 def _star_sizes(c):
     return audits.row_counts(c.star, STAR)
 
@@ -503,7 +516,7 @@ def _sink_types(c):
     return conformed(c.star["hechos_proyectos"], "hechos_proyectos", zero_to_null=True)
 
 
-@query("l4_load_all")
+@query("l4_load_all", staged=True)
 def _load_all(c):
     sink = ParquetSink(new_path(c.spark, "warehouse"))
     load_all(c.star, sink)
@@ -511,12 +524,12 @@ def _load_all(c):
     return audits.row_counts(stored, LOAD_ORDER)
 
 
-@query("l5_fk_audit")
+@query("l5_fk_audit", staged=True)
 def _fk_audit(c):
     return audits.foreign_key_audit(c.star)
 
 
-@query("l6_pk_audit")
+@query("l6_pk_audit", staged=True)
 def _pk_audit(c):
     return audits.duplicate_keys(c.star, STAR)
 
@@ -537,12 +550,15 @@ def _incremental_scope(c):
 
 @query("q1_rentabilidad")
 def _q1(c):
-    return analytics.profitability_by_client(c.metrics, c.star["dim_proyectos"])
+    return analytics.profitability_by_client(
+        c.measures("PresupuestoCliente", "CosteReal", "PenalizacionesMonto"), c.star["dim_proyectos"])
 
 
 @query("q2_presupuesto")
 def _q2(c):
-    return analytics.budget_control(c.metrics)
+    return analytics.budget_control(
+        c.measures("PresupuestoCliente", "CosteReal", "DesviacionPresupuestal")
+    )
 
 
 @query("q3_penalizaciones_totales")
@@ -552,12 +568,13 @@ def _q3(c):
 
 @query("q3_penalizaciones_cliente")
 def _q3_client(c):
-    return analytics.penalties_by_client(c.metrics, c.star["dim_proyectos"])
+    return analytics.penalties_by_client(c.measures("PenalizacionesMonto"), c.star["dim_proyectos"])
 
 
 @query("q4_cronograma")
 def _q4(c):
-    return analytics.schedule_compliance(c.metrics, c.star["dim_tiempo"])
+    return analytics.schedule_compliance(
+        c.measures("ID_TiempoFinalizacion", "RetrasoDias"), c.star["dim_tiempo"])
 
 
 @query("q5_cuellos_botella")
@@ -567,7 +584,8 @@ def _q5(c):
 
 @query("q6_productividad")
 def _q6(c):
-    return analytics.productivity_trend(c.metrics, c.star["dim_tiempo"])
+    return analytics.productivity_trend(
+        c.measures("ID_TiempoInicio", "ProductividadPromedio"), c.star["dim_tiempo"])
 
 
 @query("q7_utilizacion")
@@ -582,7 +600,8 @@ def _q8(c):
 
 @query("q9_defectos")
 def _q9(c):
-    return analytics.defect_rate(c.metrics, c.star["dim_proyectos"])
+    return analytics.defect_rate(
+        c.measures("NumeroDefectosEncontrados"), c.star["dim_proyectos"])
 
 
 @query("q9_pruebas")

@@ -83,6 +83,24 @@ def observed_dates(t: Extracts) -> DataFrame:
     return reduce(DataFrame.unionByName, per_table).where(F.col("Fecha").isNotNull()).distinct()
 
 
+def penalty_span(t: Extracts) -> DataFrame:
+    """One row: first and last penalty day of the closed contracts."""
+    closed = t["contratos"].select("ID_Contrato")
+    per_contract = date_span_by(
+        t["penalizaciones"], "ID_Contrato", CALENDAR_COLUMNS["penalizaciones"]
+    )
+    inside = per_contract.join(closed, "ID_Contrato", "left_semi")
+    return inside.agg(F.min("first").alias("first"), F.max("last").alias("last"))
+
+
+def widened(spans: DataFrame) -> DataFrame:
+    """One row (first, last) over several spans, widened to the fixed calendar limits."""
+    low, high = (F.lit(d).cast("date") for d in (C.CALENDAR_START, C.CALENDAR_END))
+    return spans.agg(F.min("first").alias("first"), F.max("last").alias("last")).select(
+        F.least("first", low).alias("first"), F.greatest("last", high).alias("last")
+    )
+
+
 def calendar_span(t: Extracts) -> DataFrame:
     """One row (first, last): the observed days, widened to the fixed calendar limits.
 
@@ -90,39 +108,34 @@ def calendar_span(t: Extracts) -> DataFrame:
     difference in cost whether ``t`` holds extracted children or the source's own.
     """
     in_scope = t["proyectos"].select("ID_Proyecto")
-    closed = t["contratos"].select("ID_Contrato")
-    spans = [date_span(t["proyectos"], CALENDAR_COLUMNS["proyectos"])]
-    for name in ("hitos", "asignaciones", "gastos"):
-        per_project = date_span_by(t[name], "ID_Proyecto", CALENDAR_COLUMNS[name])
-        spans.append(per_project.join(in_scope, "ID_Proyecto", "left_semi").select("first", "last"))
-    penalties = date_span_by(
-        t["penalizaciones"], "ID_Contrato", CALENDAR_COLUMNS["penalizaciones"]
-    )
-    spans.append(penalties.join(closed, "ID_Contrato", "left_semi").select("first", "last"))
-    low, high = (F.lit(d).cast("date") for d in (C.CALENDAR_START, C.CALENDAR_END))
-    return (
-        reduce(DataFrame.unionByName, spans)
-        .agg(F.min("first").alias("first"), F.max("last").alias("last"))
-        .select(F.least("first", low).alias("first"), F.greatest("last", high).alias("last"))
+    per_project = [
+        date_span_by(t[name], "ID_Proyecto", CALENDAR_COLUMNS[name])
+        for name in ("hitos", "asignaciones", "gastos")
+    ]
+    children = reduce(DataFrame.unionByName, per_project)
+    return widened(
+        children.join(in_scope, "ID_Proyecto", "left_semi")
+        .select("first", "last")
+        .unionByName(date_span(t["proyectos"], CALENDAR_COLUMNS["proyectos"]))
+        .unionByName(penalty_span(t))
     )
 
 
-def dim_tiempo(t: Extracts) -> DataFrame:
-    """Dense calendar; the key is a day's distance from the first day, so no window is needed.
+def dim_tiempo(span: DataFrame) -> DataFrame:
+    """Dense calendar over a span (first, last).
 
-    The date type spans years 1 to 9999, which bounds the calendar at 3.7 million rows.
+    The key is a day's distance from the first day, so no window is needed. The date type spans
+    years 1 to 9999, which bounds the calendar at 3.7 million rows.
     """
     day = F.col("Fecha")
-    return (
-        calendar_span(t)
-        .select("first", F.explode(F.sequence("first", "last")).alias("Fecha"))
-        .select(
-            (C.days_between(day, F.col("first")) + 1).alias("ID_Tiempo"),
-            day,
-            C.weekday_key(day).alias("ID_DiaSemana"),
-            F.month(day).alias("ID_Mes"),
-            C.year_key(day).alias("ID_Anio"),
-        )
+    return span.select(
+        "first", F.explode(F.sequence("first", "last")).alias("Fecha")
+    ).select(
+        (C.days_between(day, F.col("first")) + 1).alias("ID_Tiempo"),
+        day,
+        C.weekday_key(day).alias("ID_DiaSemana"),
+        F.month(day).alias("ID_Mes"),
+        C.year_key(day).alias("ID_Anio"),
     )
 
 

@@ -9,19 +9,21 @@ joined to carry the scope.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starpipe.functions import columns as C
 from starpipe.functions.keys import dense_id
 from starpipe.functions.lookups import lookup
-from starpipe.operators.dims import calendar_key, known_projects
+from starpipe.operators.dims import calendar_key, known_projects, penalty_span, widened
 from starpipe.operators.extract import EXTRACTION_ORDER
 
 Extracts = Mapping[str, DataFrame]
 
+Money = "decimal(25,2)"
+
 
 def costs_by_project(expenses: DataFrame) -> DataFrame:
     amount, category = F.col("Monto"), F.col("Categoria")
@@ -31,6 +33,8 @@ def costs_by_project(expenses: DataFrame) -> DataFrame:
         F.sum(F.when(C.equals_upper(category, C.CAPEX), amount)).alias("capex"),
         F.sum(F.when(C.equals_upper(category, C.OPEX), amount)).alias("opex"),
         F.min_by("ID_Gasto", F.struct("Fecha", "ID_Gasto")).alias("first_expense"),
+        F.min("Fecha").alias("spent_first"),
+        F.max("Fecha").alias("spent_last"),
     )
 
 
@@ -45,135 +49,253 @@ def first_risks(risks: DataFrame) -> DataFrame:
 
 
 def staff_by_project(assignments: DataFrame) -> DataFrame:
-    return assignments.groupBy("ID_Proyecto").agg(F.count_distinct("ID_Empleado").alias("staff"))
+    return assignments.groupBy("ID_Proyecto").agg(
+        F.count_distinct("ID_Empleado").alias("staff"),
+        F.min("FechaAsignacion").alias("assigned_first"),
+        F.max("FechaAsignacion").alias("assigned_last"),
+    )
 
 
-def milestones_by_project(milestones: DataFrame) -> DataFrame:
-    real, planned = F.col("FechaFinReal"), F.col("FechaFinPlanificada")
-    return milestones.groupBy("ID_Proyecto").agg(
+def _milestone_measures() -> list[Column]:
+    start, planned, real = (
+        F.col(c) for c in ("FechaInicio", "FechaFinPlanificada", "FechaFinReal")
+    )
+    return [
         F.count("*").alias("milestones"),
         F.sum(C.flag(real > planned)).alias("late_milestones"),
         F.max(planned).alias("last_planned"),
         F.bool_or(real.isNotNull()).alias("any_real"),
-    )
+        F.min(F.least(start, planned, real)).alias("milestone_first"),
+        F.max(F.greatest(start, planned, real)).alias("milestone_last"),
+    ]
+
 
+# A task with either duration missing is not late, so the raw columns are compared.
+def _late_task() -> Column:
+    return C.flag(F.col("DuracionReal") > F.col("DuracionPlanificada"))
 
-def _task_counts(tasks: DataFrame, key: str) -> DataFrame:
-    # A task with either duration missing is not late, so the raw columns are compared.
-    late = C.flag(F.col("DuracionReal") > F.col("DuracionPlanificada"))
-    return tasks.groupBy(key).agg(F.count("*").alias("tasks"), F.sum(late).alias("late_tasks"))
 
+def milestones_by_project(t: Extracts) -> DataFrame:
+    return t["hitos"].groupBy("ID_Proyecto").agg(*_milestone_measures())
 
-def tasks_by_project(tasks: DataFrame, milestones: DataFrame) -> DataFrame:
-    if "ID_Proyecto" in tasks.columns:
-        return _task_counts(tasks, "ID_Proyecto")
-    owners = milestones.select("ID_Hito", "ID_Proyecto")
+
+def tasks_by_project(t: Extracts) -> DataFrame:
+    """Task counts; tasks that do not carry their project are counted per milestone first."""
+    tasks = t["tareas"]
+    key = "ID_Proyecto" if "ID_Proyecto" in tasks.columns else "ID_Hito"
+    counted = tasks.groupBy(key).agg(
+        F.count("*").alias("tasks"), F.sum(_late_task()).alias("late_tasks")
+    )
+    if key == "ID_Proyecto":
+        return counted
+    owners = t["hitos"].select("ID_Hito", "ID_Proyecto")
     return (
-        _task_counts(tasks, "ID_Hito")
-        .join(owners, "ID_Hito")
+        counted.join(owners, "ID_Hito")
         .groupBy("ID_Proyecto")
         .agg(F.sum("tasks").alias("tasks"), F.sum("late_tasks").alias("late_tasks"))
     )
 
 
-def defects_by_project(
-    defects: DataFrame, tasks: DataFrame, milestones: DataFrame
-) -> DataFrame:
-    if "ID_Proyecto" in defects.columns:
-        return defects.groupBy("ID_Proyecto").agg(F.count("*").alias("defects"))
+def defects_by_project(t: Extracts) -> DataFrame:
+    """Defect counts; defects that do not carry their project climb by task and milestone."""
+    if "ID_Proyecto" in t["errores"].columns:
+        return t["errores"].groupBy("ID_Proyecto").agg(F.count("*").alias("defects"))
     total = F.sum("defects").alias("defects")
     return (
-        defects.groupBy("ID_Tarea")
+        t["errores"]
+        .groupBy("ID_Tarea")
         .agg(F.count("*").alias("defects"))
-        .join(tasks.select("ID_Tarea", "ID_Hito"), "ID_Tarea")
+        .join(t["tareas"].select("ID_Tarea", "ID_Hito"), "ID_Tarea")
         .groupBy("ID_Hito")
         .agg(total)
-        .join(milestones.select("ID_Hito", "ID_Proyecto"), "ID_Hito")
+        .join(t["hitos"].select("ID_Hito", "ID_Proyecto"), "ID_Hito")
         .groupBy("ID_Proyecto")
         .agg(total)
     )
 
 
-def project_rollup(t: Extracts) -> DataFrame:
-    """One row per known project with the reduced measures of all its children."""
-    # The contract step comes first: the extract is already spread by contract there.
-    projects = t["proyectos"].join(
-        penalties_by_contract(t["penalizaciones"]), "ID_Contrato", "left"
+def schedule_by_project(t: Extracts) -> DataFrame:
+    """Milestone, task and defect measures together.
+
+    Where children do not carry their project, this climbs defect -> task -> milestone -> project
+    once, with one scan of each relation and a reduction before every step.
+    """
+    if "ID_Proyecto" in t["tareas"].columns:
+        return (
+            milestones_by_project(t)
+            .join(tasks_by_project(t), "ID_Proyecto", "left")
+            .join(defects_by_project(t), "ID_Proyecto", "left")
+        )
+    defects = t["errores"].groupBy("ID_Tarea").agg(F.count("*").alias("defects"))
+    per_milestone = (
+        t["tareas"]
+        .select("ID_Tarea", "ID_Hito", _late_task().alias("late"))
+        .join(defects, "ID_Tarea", "left")
+        .groupBy("ID_Hito")
+        .agg(
+            F.count("*").alias("tasks"),
+            F.sum("late").alias("late_tasks"),
+            F.sum("defects").alias("defects"),
+        )
     )
-    rollup = known_projects(projects, t)
-    for part in (
-        costs_by_project(t["gastos"]),
-        first_risks(t["riesgos"]),
-        staff_by_project(t["asignaciones"]),
-        milestones_by_project(t["hitos"]),
-        tasks_by_project(t["tareas"], t["hitos"]),
-        defects_by_project(t["errores"], t["tareas"], t["hitos"]),
-    ):
-        rollup = rollup.join(part, "ID_Proyecto", "left")
+    return (
+        t["hitos"]
+        .join(per_milestone, "ID_Hito", "left")
+        .groupBy("ID_Proyecto")
+        .agg(
+            *_milestone_measures(),
+            F.sum("tasks").alias("tasks"),
+            F.sum("late_tasks").alias("late_tasks"),
+            F.sum("defects").alias("defects"),
+        )
+    )
+
+
+_PARTS: dict[str, Callable[[Extracts], DataFrame]] = {
+    "costs": lambda t: costs_by_project(t["gastos"]),
+    "risks": lambda t: first_risks(t["riesgos"]),
+    "staff": lambda t: staff_by_project(t["asignaciones"]),
+    "milestones": milestones_by_project,
+    "tasks": tasks_by_project,
+    "defects": defects_by_project,
+    "schedule": schedule_by_project,
+}
+ALL_PARTS = ("penalties", "costs", "risks", "staff", "schedule")
+
+
+def project_rollup(t: Extracts, parts: Iterable[str] = ALL_PARTS) -> DataFrame:
+    """One row per project in scope: its own columns and the reduced measures of its children."""
+    rollup = t["proyectos"]
+    if "penalties" in parts:
+        # First, because the extracted projects are already spread by contract.
+        penalties = penalties_by_contract(t["penalizaciones"])
+        rollup = rollup.join(penalties, "ID_Contrato", "left")
+    for name in parts:
+        if name != "penalties":
+            rollup = rollup.join(_PARTS[name](t), "ID_Proyecto", "left")
     return rollup
 
 
-def project_metrics(t: Extracts, calendar: DataFrame) -> DataFrame:
-    """All measures of ``hechos_proyectos``, without its surrogate key."""
+def rollup_span(rollup: DataFrame, t: Extracts) -> DataFrame:
+    """One row (first, last): the calendar's reach, read off a complete rollup."""
+    spans = ("milestone", "assigned", "spent")
+    starts = [F.col(c) for c in ("FechaInicio", "FechaFin", *(f"{s}_first" for s in spans))]
+    ends = [F.col(c) for c in ("FechaInicio", "FechaFin", *(f"{s}_last" for s in spans))]
+    observed = rollup.agg(
+        F.min(F.least(*starts)).alias("first"), F.max(F.greatest(*ends)).alias("last")
+    )
+    return widened(observed.unionByName(penalty_span(t)))
+
+
+def _money(name: str) -> Column:
+    return F.coalesce(F.col(name), F.lit(0).cast(Money))
+
+
+def _duration() -> Column:
+    return F.coalesce(C.days_between(F.col("FechaFin"), F.col("FechaInicio")), F.lit(0))
+
+
+def _dated() -> Column:
+    return F.col("FechaInicio").isNotNull() & F.col("FechaFin").isNotNull()
+
 
-    def amount(name: str):
-        return F.coalesce(F.col(name), F.lit(0).cast("decimal(25,2)"))
+def _delay() -> Column:
+    planned = C.days_between(F.col("last_planned"), F.col("FechaInicio"))
+    known = _dated() & F.col("any_real") & F.col("last_planned").isNotNull()
+    return F.when(known, F.greatest(_duration() - planned, F.lit(0))).otherwise(0)
 
-    start, end = F.col("FechaInicio"), F.col("FechaFin")
-    dated = start.isNotNull() & end.isNotNull()
-    duration = F.coalesce(C.days_between(end, start), F.lit(0))
-    planned = C.days_between(F.col("last_planned"), start)
-    delay = F.when(
-        dated & F.col("any_real") & F.col("last_planned").isNotNull(),
-        F.greatest(duration - planned, F.lit(0)),
-    ).otherwise(0)
-    budget = F.coalesce("ValorTotalContrato", F.lit(0).cast("decimal(15,2)"))
+
+def _budget() -> Column:
+    return F.coalesce("ValorTotalContrato", F.lit(0).cast("decimal(15,2)"))
+
+
+def _penalties() -> Column:
     # Only closed contracts have their penalties extracted.
-    penalty = F.when(C.is_closed(F.col("EstadoContrato")), F.col("contract_penalty"))
-    # A project without risks points at risk 1 as long as any project in scope has one.
-    any_risk = (
-        first_risks(t["riesgos"])
-        .join(t["proyectos"].select("ID_Proyecto"), "ID_Proyecto", "left_semi")
-        .exists()
-    )
-    return project_rollup(t).select(
+    of_contract = F.when(C.is_closed(F.col("EstadoContrato")), F.col("contract_penalty"))
+    return _money("expense_penalty") + F.coalesce(of_contract, F.lit(0).cast(Money))
+
+
+def _productivity() -> Column:
+    quotient = C.ratio_or_zero(_duration(), F.col("staff"), "decimal(10,2)")
+    return F.when(_duration() > 0, quotient).otherwise(F.lit(0).cast("decimal(10,2)"))
+
+
+def _percentage(part: str, whole: str) -> Column:
+    return C.ratio_or_zero(F.col(part), F.col(whole), "decimal(5,2)", 100)
+
+
+# Measure -> (rollup parts it reads, expression). Keys into the calendar and the risk default
+# need more than the row and are added in project_metrics().
+MEASURES: dict[str, tuple[tuple[str, ...], Callable[[], Column] | None]] = {
+    "ID_TiempoInicio": ((), None),
+    "ID_TiempoFinalizacion": ((), None),
+    "ID_Riesgo": (("risks",), None),
+    "ID_Finanza": (("costs",), lambda: F.coalesce("first_expense", F.lit(0))),
+    "DuracionRealDias": ((), _duration),
+    "RetrasoDias": (("milestones",), _delay),
+    "PresupuestoCliente": ((), _budget),
+    "CosteReal": (("costs",), lambda: _money("cost")),
+    "DesviacionPresupuestal": (("costs",), lambda: _budget() - _money("cost")),
+    "PenalizacionesMonto": (("penalties", "costs"), _penalties),
+    "ProporcionCAPEX_OPEX": (
+        ("costs",),
+        lambda: C.capex_opex_ratio(_money("capex"), _money("opex")),
+    ),
+    "NumeroDefectosEncontrados": (("defects",), lambda: F.coalesce("defects", F.lit(0))),
+    "ProductividadPromedio": (("staff",), _productivity),
+    "PorcentajeTareasRetrasadas": (("tasks",), lambda: _percentage("late_tasks", "tasks")),
+    "PorcentajeHitosRetrasados": (
+        ("milestones",),
+        lambda: _percentage("late_milestones", "milestones"),
+    ),
+}
+
+
+def project_metrics(
+    t: Extracts,
+    rollup: DataFrame,
+    calendar: DataFrame | None = None,
+    measures: Iterable[str] = tuple(MEASURES),
+) -> DataFrame:
+    """ID_Proyecto and the named measures of every known project, without a surrogate key."""
+
+    def key_of(name: str) -> Column:
+        return F.when(_dated(), calendar_key(F.col(name), calendar)).otherwise(0)
+
+    def risk() -> Column:
+        # A project without risks points at risk 1 as long as any project in scope has one.
+        any_risk = rollup.where(F.col("first_risk").isNotNull()).select("ID_Proyecto").exists()
+        return F.coalesce("first_risk", F.when(any_risk, 1).otherwise(0))
+
+    wider = {
+        "ID_TiempoInicio": lambda: key_of("FechaInicio"),
+        "ID_TiempoFinalizacion": lambda: key_of("FechaFin"),
+        "ID_Riesgo": risk,
+    }
+    return known_projects(rollup, t).select(
         "ID_Proyecto",
-        F.when(dated, calendar_key(start, calendar)).otherwise(0).alias("ID_TiempoInicio"),
-        F.when(dated, calendar_key(end, calendar)).otherwise(0).alias("ID_TiempoFinalizacion"),
-        F.coalesce("first_risk", F.when(any_risk, 1).otherwise(0)).alias("ID_Riesgo"),
-        F.coalesce("first_expense", F.lit(0)).alias("ID_Finanza"),
-        duration.alias("DuracionRealDias"),
-        delay.alias("RetrasoDias"),
-        budget.alias("PresupuestoCliente"),
-        amount("cost").alias("CosteReal"),
-        (budget - amount("cost")).alias("DesviacionPresupuestal"),
-        (
-            amount("expense_penalty")
-            + F.coalesce(penalty, F.lit(0).cast("decimal(25,2)"))
-        ).alias("PenalizacionesMonto"),
-        C.capex_opex_ratio(amount("capex"), amount("opex")).alias("ProporcionCAPEX_OPEX"),
-        F.coalesce("defects", F.lit(0)).alias("NumeroDefectosEncontrados"),
-        F.when(duration > 0, C.ratio_or_zero(duration, F.col("staff"), "decimal(10,2)"))
-        .otherwise(F.lit(0).cast("decimal(10,2)"))
-        .alias("ProductividadPromedio"),
-        C.ratio_or_zero(F.col("late_tasks"), F.col("tasks"), "decimal(5,2)", 100).alias(
-            "PorcentajeTareasRetrasadas"
-        ),
-        C.ratio_or_zero(F.col("late_milestones"), F.col("milestones"), "decimal(5,2)", 100).alias(
-            "PorcentajeHitosRetrasados"
-        ),
+        *[(wider.get(name) or MEASURES[name][1])().alias(name) for name in measures],
     )
 
 
+def measured_projects(
+    t: Extracts, measures: Iterable[str], calendar: DataFrame | None = None
+) -> DataFrame:
+    """Some measures only: reads just the child relations these need."""
+    measures = tuple(measures)
+    parts = dict.fromkeys(part for name in measures for part in MEASURES[name][0])
+    return project_metrics(t, project_rollup(t, parts), calendar, measures)
+
+
 def hechos_proyectos(
-    t: Extracts, calendar: DataFrame, finances: DataFrame | None = None
+    t: Extracts, rollup: DataFrame, calendar: DataFrame, finances: DataFrame | None = None
 ) -> DataFrame:
-    """One row per known project, keyed in project order.
+    """One row per known project, keyed in project order; ``rollup`` should be written already.
 
     ``ID_Finanza`` is the project's first expense. With ``finances`` (``numbered_finances``) it
     becomes that expense's key in ``dim_finanzas`` instead, so that the reference holds.
     """
-    metrics = project_metrics(t, calendar)
+    metrics = project_metrics(t, rollup, calendar)
     if finances is not None:
         expenses = finances.where(F.col("origin") == 0).select(
             F.col("entry").alias("__entry"), F.col("ID_Finanza").alias("__key")

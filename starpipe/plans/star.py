@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from starpipe.functions.columns import UNSPECIFIED
 from starpipe.operators import dims, facts
 from starpipe.sources.tables import Tables
+from starpipe.workspace import materialise
 
 
 def build_star(
@@ -26,7 +27,9 @@ def build_star(
     ``calendar_key_mode``: "fixed_base" counts milestone dates from the fixed calendar start,
     "lookup" uses the calendar's own keys.
     ``null_text``: what a missing expense category becomes.
-    ``keep``: applied to the calendar, which most tables refer to (e.g. ``materialise``).
+    ``keep``: for building the whole star: the calendar comes from the project rollup, which the
+    project fact needs anyway, and is passed through ``keep`` (e.g. ``materialise``). Without it
+    the calendar only reads date columns, which is cheaper for a single table.
     ``resolve_finanza``: let the project fact refer to ``dim_finanzas`` keys.
     """
     if calendar_key_mode not in ("fixed_base", "lookup"):
@@ -37,6 +40,11 @@ def build_star(
             "types": lambda: dims.risk_types(extracts),
             "levels": lambda: dims.severities(extracts),
             "finances": lambda: dims.numbered_finances(extracts, null_text),
+            # Written because the calendar, the risk default and the fact itself all read it.
+            "rollup": lambda: materialise(facts.project_rollup(reduced), "rollup"),
+            "rollup_calendar": lambda: dims.dim_tiempo(
+                facts.rollup_span(shared["rollup"], reduced)
+            ),
         }
     )
     star: Tables
@@ -44,14 +52,17 @@ def build_star(
     def calendar() -> DataFrame:
         return star["dim_tiempo"]
 
+    def own_calendar() -> DataFrame:
+        return keep(shared["rollup_calendar"], "dim_tiempo") if keep else dims.dim_tiempo(
+            dims.calendar_span(reduced)
+        )
+
     star = Tables(
         {
             "dim_clientes": lambda: dims.dim_clientes(extracts),
             "dim_empleados": lambda: dims.dim_empleados(extracts),
             "dim_proyectos": lambda: dims.dim_proyectos(extracts),
-            "dim_tiempo": lambda: keep(dims.dim_tiempo(reduced), "dim_tiempo")
-            if keep
-            else dims.dim_tiempo(reduced),
+            "dim_tiempo": own_calendar,
             "dim_hitos": lambda: dims.dim_hitos(
                 extracts, calendar() if calendar_key_mode == "lookup" else None
             ),
@@ -66,7 +77,10 @@ def build_star(
             "dim_riesgos": lambda: dims.dim_riesgos(extracts, shared["types"], shared["levels"]),
             "hechos_asignaciones": lambda: facts.hechos_asignaciones(extracts, calendar()),
             "hechos_proyectos": lambda: facts.hechos_proyectos(
-                reduced, calendar(), shared["finances"] if resolve_finanza else None
+                reduced,
+                shared["rollup"],
+                calendar() if keep else shared["rollup_calendar"],
+                shared["finances"] if resolve_finanza else None,
             ),
             "subdim_dia_semana": lambda: dims.subdim_dia_semana(calendar()),
             "subdim_mes": lambda: dims.subdim_mes(calendar()),

@@ -29,11 +29,28 @@ _LINE_COLUMNS = {
     "l_shipdate": "date",
 }
 
+# Column types of the given files; stating them spares a job per read that would infer them.
+_GIVEN = {
+    "customer": "c_custkey bigint, c_name string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_type string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+}
+
 _landed: dict[tuple[str, str], DataFrame] = {}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(_GIVEN[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
