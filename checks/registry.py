@@ -301,9 +301,10 @@ def _union_dates(c):
     return dims.observed_dates(c.src)
 
 
-@query("u3_merged_names", staged=True)
+@query("u3_merged_names")
 def _merged_names(c):
-    return audits.row_counts({**c.x, **c.star}, ("proyectos", "dim_proyectos", "dim_tiempo"))
+    merged = c.x.but(**{name: (lambda n=name: c.star[n]) for name in c.star})
+    return audits.row_counts(merged, ("proyectos", "dim_proyectos", "dim_tiempo"))
 
 
 # Scalar functions ---------------------------------------------------------------------------

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from starpipe.schemas import LOAD_ORDER, STAR, ddl
+from starpipe.sources.tables import each
 from starpipe.workspace import materialise
 
 # Foreign keys the target declares nullable, where key 0 ("unknown") may be stored as null.
@@ -104,11 +105,11 @@ def load_all(
 ) -> dict[str, int]:
     """Load the tables in ``order``; a table that is not given counts 0 rows."""
     order = tuple(order)
-    staged = {
-        name: materialise(conformed(tables[name], name, zero_to_null), f"load-{name}")
-        for name in order
-        if name in tables
-    }
+
+    def stage(name: str) -> DataFrame:
+        return materialise(conformed(tables[name], name, zero_to_null), f"load-{name}")
+
+    staged = each(stage, [name for name in order if name in tables])
     loaded = {}
     for name in order:
         # Counting the written copy only reads Parquet footers.

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from starpipe.operators.extract import extract_all
 from starpipe.operators.sinks import Sink, load_all
 from starpipe.plans.star import build_star
-from starpipe.sources.tables import Tables
+from starpipe.sources.tables import Tables, each
 from starpipe.streaming.watermark import Watermark
 from starpipe.workspace import materialise
 
@@ -51,7 +51,7 @@ def run_pipeline(
     if incremental and control and changed_column:
         since = (changed_column, control.current())
     extracts = extract_all(source, as_of=as_of, since=since, keep=materialise)
-    extracted = {name: extracts[name].count() for name in extracts}
+    extracted = each(lambda name: extracts[name].count(), extracts)
     if not any(extracted.values()):
         return None
 

@@ -14,11 +14,13 @@ SETTINGS = {
     # AQE coalesces from here down, so a generous ceiling costs nothing on small inputs.
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Recording the Python line of every column costs a round trip each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
 def build_session(master: str | None = None, **conf: str) -> SparkSession:
-    """A session with SETTINGS; ``conf`` keys use underscores for dots where needed."""
+    """A session with SETTINGS, extended or overridden by ``conf``."""
     builder = SparkSession.builder.appName("starpipe")
     if master:
         builder = builder.master(master)

@@ -46,24 +46,14 @@ def frame_source(frames: dict[str, DataFrame]) -> Tables:
     return _each(read)
 
 
-def jdbc_reader(
-    spark: SparkSession,
-    name: str,
-    options: dict[str, str],
-    bounds: tuple[int, int] | None,
-    partitions: int,
-) -> DataFrameReader:
-    """Reader of one relation, split over ``partitions`` ranges of its primary key."""
-    reader = spark.read.format("jdbc").options(**options).option("dbtable", name)
-    if bounds:
-        low, high = bounds
-        reader = reader.options(
-            partitionColumn=primary_key(name),
-            lowerBound=str(low),
-            upperBound=str(high),
-            numPartitions=str(partitions),
-        )
-    return reader
+def partition_options(name: str, low: int, high: int, partitions: int) -> dict[str, str]:
+    """Options that split a JDBC read into ranges of the relation's primary key."""
+    return {
+        "partitionColumn": primary_key(name),
+        "lowerBound": str(low),
+        "upperBound": str(high + 1),
+        "numPartitions": str(partitions),
+    }
 
 
 def jdbc_source(
@@ -74,11 +64,23 @@ def jdbc_source(
 ) -> Tables:
     """A database as source; ``options`` as for Spark's JDBC format (url, user, fetchsize...).
 
-    ``bounds`` gives a primary-key range per relation; without one a relation is read by one task.
+    Every relation is read by ``partitions`` tasks, each a range of its primary key. ``bounds``
+    gives a relation's key range; where it is missing the database is asked for it (one row).
     Column lists and single-table filters are pushed into the database by Spark.
     """
-    return _each(
-        lambda name: typed(
-            jdbc_reader(spark, name, options, (bounds or {}).get(name), partitions).load(), name
-        )
-    )
+
+    def reader() -> DataFrameReader:
+        return spark.read.format("jdbc").options(**options)
+
+    def key_range(name: str) -> tuple[int, int]:
+        key = primary_key(name)
+        ends = reader().option("query", f"SELECT MIN({key}) lo, MAX({key}) hi FROM {name}").load()
+        low, high = ends.first()
+        return (int(low), int(high)) if low is not None else (0, 0)
+
+    def read(name: str) -> DataFrame:
+        low, high = (bounds or {}).get(name) or key_range(name)
+        split = partition_options(name, low, high, partitions)
+        return typed(reader().options(**split).option("dbtable", name).load(), name)
+
+    return _each(read)

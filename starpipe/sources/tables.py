@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from threading import RLock
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
+# Independent jobs submitted side by side, so that one job's last tasks do not idle the cluster.
+PARALLEL_JOBS = 4
+
 
 class Tables(Mapping[str, DataFrame]):
     """Read-only table name -> DataFrame; each plan is built when first asked for.
@@ -17,11 +23,14 @@ class Tables(Mapping[str, DataFrame]):
     def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
         self._builders = dict(builders)
         self._built: dict[str, DataFrame] = {}
+        # A builder may use other tables, never its own: waiting follows an acyclic graph.
+        self._locks = {name: RLock() for name in self._builders}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._built:
-            self._built[name] = self._builders[name]()
-        return self._built[name]
+        with self._locks[name]:
+            if name not in self._built:
+                self._built[name] = self._builders[name]()
+            return self._built[name]
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._builders)
@@ -35,3 +44,10 @@ class Tables(Mapping[str, DataFrame]):
 
     def _getter(self, name: str) -> Callable[[], DataFrame]:
         return lambda: self[name]
+
+
+def each(action: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
+    """``action`` for every name, a few Spark jobs at a time; the first failure is raised."""
+    names = list(names)
+    with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
+        return dict(zip(names, pool.map(inheritable_thread_target(action), names)))
