@@ -1,6 +1,8 @@
 """Run registered queries next to their SQL and report differences.
 
     python -m checks.compare [sf_dir] [name-prefix ...]
+
+Also names physical operators that do not scale, should one appear in an executed plan.
 """
 
 from __future__ import annotations
@@ -68,6 +70,14 @@ def difference(mine, theirs) -> str | None:
     return None
 
 
+SUSPECT = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas")
+
+
+def suspects(df: DataFrame) -> list[str]:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [name for name in SUSPECT if name in plan]
+
+
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     prefixes = tuple(sys.argv[2:]) or ("",)
@@ -84,9 +94,11 @@ def main() -> int:
             continue
         start = time.time()
         try:
-            mine = spark_rows(query(spark, sf_dir))
+            df = query(spark, sf_dir)
+            mine = spark_rows(df)
             seconds = time.time() - start
             problem = difference(mine, sql_rows(con, sql[name])) if name in sql else "no SQL"
+            problem = problem or ", ".join(suspects(df)) or None
         except Exception as error:  # report and go on with the next query
             seconds, problem = time.time() - start, f"{type(error).__name__}: {error}"[:900]
         failed += problem is not None

@@ -22,7 +22,7 @@ def dense_id(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFra
     One range shuffle spreads the rows (a hot leading key is cut by the later columns), each task
     sorts its range and notes row positions, and the result is written once, because the range
     bounds are sampled and must not be drawn again. The row counts per range, one row per shuffle
-    partition, give the offsets; that frame is all that is broadcast.
+    partition, give the offsets; that frame is written too and is all that is broadcast.
     """
     positioned = (
         df.repartitionByRange(*order)
@@ -37,6 +37,7 @@ def dense_id(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFra
         .agg(F.count("*").alias("rows"))
         .select(_PART, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias(_OFFSET))
     )
+    offsets = materialise(offsets, f"{name}-offsets")
     row = F.col(_POSITION).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
         stored.withColumn(_PART, part)

@@ -165,7 +165,15 @@ ALL_PARTS = ("penalties", "costs", "risks", "staff", "schedule")
 
 def project_rollup(t: Extracts, parts: Iterable[str] = ALL_PARTS) -> DataFrame:
     """One row per project in scope: its own columns and the reduced measures of its children."""
-    rollup = t["proyectos"]
+    rollup = t["proyectos"].select(
+        "ID_Proyecto",
+        "ID_Contrato",
+        "ID_Cliente",
+        "FechaInicio",
+        "FechaFin",
+        "ValorTotalContrato",
+        "EstadoContrato",
+    )
     if "penalties" in parts:
         # First, because the extracted projects are already spread by contract.
         penalties = penalties_by_contract(t["penalizaciones"])

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from threading import RLock
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 # Independent jobs submitted side by side, so that one job's last tasks do not idle the cluster.
 PARALLEL_JOBS = 4
@@ -49,5 +49,6 @@ class Tables(Mapping[str, DataFrame]):
 def each(action: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
     """``action`` for every name, a few Spark jobs at a time; the first failure is raised."""
     names = list(names)
+    inherited = inheritable_thread_target(SparkSession.active())(action)
     with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
-        return dict(zip(names, pool.map(inheritable_thread_target(action), names)))
+        return dict(zip(names, pool.map(inherited, names)))
