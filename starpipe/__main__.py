@@ -16,6 +16,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--source", required=True, help="folder with the source relations")
     parser.add_argument("--target", required=True, help="folder of the warehouse tables")
     parser.add_argument("--control", required=True, help="folder of the watermark table")
+    parser.add_argument("--source-bytes", type=int, help="size of the source, for partitioning")
     mode = parser.add_mutually_exclusive_group()
     mode.add_argument("--full", action="store_true", help="full run without load")
     mode.add_argument("--full-load", action="store_true", help="full run with load")
@@ -28,7 +29,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
-    spark = build_session()
+    spark = build_session(source_bytes=args.source_bytes)
     control = Watermark(spark, args.control)
     if args.status:
         control.status().show(truncate=False)

@@ -11,19 +11,43 @@ SETTINGS = {
     # where the split costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # AQE coalesces from here down, so a generous ceiling costs nothing on small inputs.
+    # Partitions start small and many and are merged up to this size once their sizes are known.
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     # Recording the Python line of every column costs a round trip each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+MB = 1 << 20
+TB = 1 << 40
 
-def build_session(master: str | None = None, **conf: str) -> SparkSession:
-    """A session with SETTINGS, extended or overridden by ``conf``."""
+
+def sized_for(source_bytes: int) -> dict[str, str]:
+    """Partitioning for a source of that size.
+
+    One shuffle partition per 512 MB of source to begin with, at least Spark's default and at most
+    50,000, beyond which the number of shuffle blocks costs more than smaller partitions save.
+    Above 10 TB, scans take 512 MB per task, so that 100 TB are 200,000 tasks and not 800,000.
+    """
+    partitions = min(max(source_bytes // (512 * MB), 200), 50_000)
+    settings = {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+    }
+    if source_bytes > 10 * TB:
+        settings["spark.sql.files.maxPartitionBytes"] = "512m"
+    return settings
+
+
+def build_session(
+    master: str | None = None, source_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with SETTINGS, sized for ``source_bytes`` if given; ``conf`` has the last word."""
     builder = SparkSession.builder.appName("starpipe")
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    sizes = sized_for(source_bytes) if source_bytes else {}
+    for key, value in {**SETTINGS, **sizes, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

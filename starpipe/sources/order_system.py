@@ -7,6 +7,8 @@ assignments, expenses and so on. Amounts become decimals before any arithmetic,
 
 from __future__ import annotations
 
+from threading import Lock
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +48,8 @@ _GIVEN = {
     ),
 }
 
-_landed: dict[tuple[str, str], DataFrame] = {}
+_landed: dict[str, DataFrame] = {}
+_landing = Lock()
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,12 +62,13 @@ def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     The given lines have no key of their own. The numbering sorts and writes the table once per
     session and folder; every relation that needs ``rid`` then scans just its columns of that copy.
     """
-    slot = (spark.sparkContext.applicationId, sf_dir)
-    if slot not in _landed:
-        raw = _read(spark, sf_dir, "lineitem")
-        exact = raw.select(*[F.col(c).cast(kind).alias(c) for c, kind in _LINE_COLUMNS.items()])
-        _landed[slot] = dense_id(exact, list(_LINE_COLUMNS), "rid")
-    return _landed[slot]
+    with _landing:
+        landed = _landed.get(sf_dir)
+        if landed is None or landed.sparkSession is not spark:
+            raw = _read(spark, sf_dir, "lineitem")
+            exact = raw.select(*[F.col(c).cast(kind).alias(c) for c, kind in _LINE_COLUMNS.items()])
+            landed = _landed[sf_dir] = dense_id(exact, list(_LINE_COLUMNS), "rid")
+        return landed
 
 
 def _choose(value: Column, cases: dict[str, str | int], otherwise=None) -> Column:

@@ -10,6 +10,7 @@ from starpipe.operators.sinks import CatalogSink, ParquetSink, conformed, load_a
 from starpipe.plans import pipeline
 from starpipe.plans.star import build_star
 from starpipe.schemas import LOAD_ORDER, SOURCE, STAR, primary_key
+from starpipe.session import MB, TB, sized_for
 from starpipe.sources.readers import (
     catalog_source,
     frame_source,
@@ -37,6 +38,15 @@ def test_shared_folder_comes_from_the_session(spark):
     assert table.inputFiles()[0].startswith(f"file://{shared_folder(spark)}/starpipe/")
 
 
+def test_partitioning_follows_the_source_size():
+    small, large = sized_for(10 * MB), sized_for(100 * TB)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert "spark.sql.files.maxPartitionBytes" not in small
+    assert sized_for(TB)["spark.sql.shuffle.partitions"] == "2048"
+    assert large["spark.sql.shuffle.partitions"] == "50000"
+    assert large["spark.sql.files.maxPartitionBytes"] == "512m"
+
+
 def test_replace_append_and_empty(spark, star, sink):
     clients = star["dim_clientes"]
     assert load_table(clients, "dim_clientes", sink) == 2
@@ -208,7 +218,7 @@ def test_job_flags(spark, tmp_path, capsys, monkeypatch):
         df.write.parquet(str(tmp_path / "src" / name))
     folders = ["--source", str(tmp_path / "src"), "--target", str(tmp_path / "dw"),
                "--control", str(tmp_path / "control")]
-    monkeypatch.setattr("starpipe.__main__.build_session", lambda: spark)
+    monkeypatch.setattr("starpipe.__main__.build_session", lambda **_: spark)
     main([*folders, "--full-load"])
     assert "hechos_proyectos: 4" in capsys.readouterr().out
     main([*folders, "--status"])
