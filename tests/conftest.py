@@ -10,6 +10,7 @@ sys.path.insert(0, ROOT)
 
 from starpipe.session import build_session  # noqa: E402
 from starpipe.sources.readers import frame_source  # noqa: E402
+from starpipe.workspace import materialise  # noqa: E402
 from tests.world import WORLD, frames  # noqa: E402
 
 
@@ -32,8 +33,8 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def world(spark):
-    """The hand-written source relations."""
-    return frame_source(frames(spark, WORLD))
+    """The hand-written source relations, as files."""
+    return frame_source({n: materialise(df, n) for n, df in frames(spark, WORLD).items()})
 
 
 @pytest.fixture

@@ -24,7 +24,7 @@ from tests.world import WORLD, by_key, frames, rows
 
 @pytest.fixture(scope="module")
 def star(world):
-    return build_star(extract.extract_all(world))
+    return build_star(extract.extract_all(world, keep=materialise), keep=materialise)
 
 
 @pytest.fixture

@@ -10,6 +10,7 @@ from starpipe.operators import dims, extract, facts
 from starpipe.plans.star import build_star
 from starpipe.schemas import STAR
 from starpipe.sources.readers import frame_source
+from starpipe.workspace import materialise
 from tests.world import WORLD, by_key, d, frames, n, rows
 
 
@@ -20,7 +21,7 @@ def star_of(spark, **changed):
 
 @pytest.fixture(scope="module")
 def x(world):
-    return extract.extract_all(world)
+    return extract.extract_all(world, keep=materialise)
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +29,11 @@ def star(x):
     return build_star(x)
 
 
+@pytest.fixture(scope="module")
+def calendar(star):
+    return materialise(star["dim_tiempo"], "calendar")
+
+
 @pytest.fixture(scope="module")
 def fact(star):
     return by_key(star["hechos_proyectos"], "ID_Proyecto")
@@ -214,9 +220,9 @@ def test_calendar_from_rollup_equals_calendar_from_dates(x, star):
 
 
 @pytest.mark.parametrize("name", list(facts.MEASURES))
-def test_single_measures_equal_the_fact(world, x, star, fact, name):
+def test_single_measures_equal_the_fact(world, x, calendar, fact, name):
     reduced = extract.unscoped_children(world, x)
-    alone = facts.measured_projects(reduced, [name], star["dim_tiempo"])
+    alone = facts.measured_projects(reduced, [name], calendar)
     assert {k: r[name] for k, r in by_key(alone, "ID_Proyecto").items()} == {
         k: r[name] for k, r in fact.items()
     }
