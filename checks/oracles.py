@@ -454,6 +454,9 @@ BODIES = {
     "f1_state_filter_collated": f"""
         SELECT ID_Contrato, upper(Estado) AS Estado FROM s_contratos WHERE Estado IN {CLOSED}""",
     "f2_scope": "SELECT ID_Proyecto, ID_Contrato, EstadoProyecto, EstadoContrato FROM x_proyectos",
+    "f3_target_columns": "SELECT * FROM dim_empleados",
+    "f4_renamed": "SELECT ID_Hito, ID_Proyecto AS ID_proyectos FROM x_hitos",
+    "f5_business_code": "SELECT ID_Prueba, CodigoPrueba FROM dim_pruebas",
     "f6_not_null": "SELECT ID_Riesgo, TipoRiesgo FROM s_riesgos WHERE TipoRiesgo IS NOT NULL",
     "f7_upper_equals": """
         SELECT ID_Gasto, CASE WHEN upper(Categoria) = 'CAPEX' THEN 1 ELSE 0 END AS capex,
@@ -621,8 +624,13 @@ BODIES = {
             THEN CAST(ProporcionCAPEX_OPEX AS DECIMAL(10,2)) END AS ProporcionCAPEX_OPEX)
         FROM hechos_proyectos""",
     "l4_load_all": counts(_star_counts),
+    "e1_full_run": counts(_star_counts),
     "l5_fk_audit": fk_audit(FOREIGN_KEYS),
     "l6_pk_audit": pk_audit(STAR_KEYS + SUB_KEYS),
+    "i1_since_watermark": """
+        SELECT * FROM s_gastos WHERE Fecha > (
+          SELECT max(FechaInicio) FROM x_proyectos WHERE EstadoProyecto = 'Cancelado')""",
+    "i4_after_reset": "SELECT * FROM s_penalizaciones",
     "i3_incremental": "SELECT * FROM s_gastos WHERE Fecha > TIMESTAMP '1998-06-30 00:00:00'",
     "e1_incremental_scope": """
         SELECT * FROM x_proyectos WHERE FechaFin > TIMESTAMP '1998-06-30 00:00:00'""",

@@ -17,10 +17,12 @@ from starpipe.functions.keys import dense_id
 from starpipe.functions.lookups import lookup, semi_if_any
 from starpipe.operators import analytics, audits, dims, extract, facts
 from starpipe.operators.sinks import ParquetSink, conformed, load_all, load_table
+from starpipe.plans.pipeline import run_pipeline
 from starpipe.plans.star import build_star
 from starpipe.schemas import LOAD_ORDER, SOURCE, STAR
 from starpipe.sources.order_system import order_system
 from starpipe.sources.readers import parquet_source
+from starpipe.streaming.watermark import Watermark
 from starpipe.workspace import materialise, new_path
 
 # Day against which unfinished milestones are late, and shift that moves the given dates
@@ -120,6 +122,21 @@ def _scope(c):
     return c.x["proyectos"].select("ID_Proyecto", "ID_Contrato", "EstadoProyecto", "EstadoContrato")
 
 
+@query("f3_target_columns")
+def _target_columns(c):
+    return conformed(c.star["dim_empleados"], "dim_empleados")
+
+
+@query("f4_renamed")
+def _renamed(c):
+    return c.x["hitos"].select("ID_Hito", F.col("ID_Proyecto").alias("ID_proyectos"))
+
+
+@query("f5_business_code")
+def _business_code(c):
+    return c.star["dim_pruebas"].select("ID_Prueba", "CodigoPrueba")
+
+
 @query("f6_not_null")
 def _not_null(c):
     return c.src["riesgos"].where(F.col("TipoRiesgo").isNotNull()).select("ID_Riesgo", "TipoRiesgo")
@@ -535,6 +552,23 @@ def _pk_audit(c):
     return audits.duplicate_keys(c.star, STAR)
 
 
+@query("i1_since_watermark")
+def _since_watermark(c):
+    # The watermark is the last start of a cancelled project, written and read back.
+    last = c.x["proyectos"].where(F.col("EstadoProyecto") == "Cancelado").agg(F.max("FechaInicio"))
+    control = Watermark(c.spark, new_path(c.spark, "control"))
+    control.advance(f"{last.first()[0]} 00:00:00")
+    return extract.changed_since(c.src["gastos"], "Fecha", control.current())
+
+
+@query("i4_after_reset")
+def _after_reset(c):
+    control = Watermark(c.spark, new_path(c.spark, "control"))
+    control.advance("2001-01-01 00:00:00")
+    control.reset()
+    return extract.changed_since(c.src["penalizaciones"], "Fecha", control.current())
+
+
 @query("i3_incremental")
 def _incremental(c):
     return extract.changed_since(c.src["gastos"], "Fecha", "1998-06-30 00:00:00")
@@ -546,6 +580,13 @@ def _incremental_scope(c):
     return extract.extract_all(c.src, since=since)["proyectos"]
 
 
+@query("e1_full_run")
+def _full_run(c):
+    sink = ParquetSink(new_path(c.spark, "warehouse"))
+    run_pipeline(c.src, sink, as_of=F.lit(AS_OF).cast("date"))
+    return audits.row_counts({n: sink.read(c.spark, n) for n in LOAD_ORDER}, LOAD_ORDER)
+
+
 # Analyses -----------------------------------------------------------------------------------
 
 

@@ -1,7 +1,7 @@
 """Typed replace and append loads of the star.
 
 A load first writes every table to the shared folder. Only when all of them are complete are the
-targets replaced, in dependency order, from those copies: a failing computation never leaves a
+targets replaced, parents before children, from those copies: a failing computation never leaves a
 half-new warehouse. An empty table leaves its target as it was.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from starpipe.schemas import LOAD_ORDER, STAR, ddl
+from starpipe.schemas import LOAD_TIERS, STAR, ddl
 from starpipe.sources.tables import each
 from starpipe.workspace import materialise
 
@@ -62,10 +62,18 @@ class CatalogSink(Sink):
 
 
 class JdbcSink(Sink):
-    """Tables of a database; a replace empties the table and keeps its definition."""
+    """Tables of a database; a replace empties the table and keeps its definition.
 
-    def __init__(self, options: dict[str, str], batch: int = 1000):
-        self.options = {**options, "batchsize": str(batch), "truncate": "true"}
+    At most ``connections`` tasks write at a time, each in batches of ``batch`` rows.
+    """
+
+    def __init__(self, options: dict[str, str], batch: int = 1000, connections: int = 16):
+        self.options = {
+            **options,
+            "batchsize": str(batch),
+            "truncate": "true",
+            "numPartitions": str(connections),
+        }
 
     def write(self, df: DataFrame, table: str, mode: str) -> None:
         writer = df.write.format("jdbc").options(**self.options).option("dbtable", table)
@@ -93,28 +101,32 @@ def conformed(df: DataFrame, table: str, zero_to_null: bool = False) -> DataFram
 
 def load_table(df: DataFrame, table: str, sink: Sink, mode: str = "replace") -> int:
     """Replace or extend one table; returns the rows loaded, 0 if there were none."""
-    return load_all({table: df}, sink, order=(table,), mode=mode)[table]
+    return load_all({table: df}, sink, tiers=((table,),), mode=mode)[table]
 
 
 def load_all(
     tables: Mapping[str, DataFrame],
     sink: Sink,
-    order: Iterable[str] = LOAD_ORDER,
+    tiers: Iterable[Iterable[str]] = LOAD_TIERS,
     mode: str = "replace",
     zero_to_null: bool = False,
 ) -> dict[str, int]:
-    """Load the tables in ``order``; a table that is not given counts 0 rows."""
-    order = tuple(order)
+    """Load the tables tier by tier; a table that is not given counts 0 rows."""
+    tiers = [tuple(tier) for tier in tiers]
 
     def stage(name: str) -> DataFrame:
         return materialise(conformed(tables[name], name, zero_to_null), f"load-{name}")
 
-    staged = each(stage, [name for name in order if name in tables])
-    loaded = {}
-    for name in order:
+    staged = each(stage, [name for tier in tiers for name in tier if name in tables])
+
+    def publish(name: str) -> int:
         # Counting the written copy only reads Parquet footers.
         rows = staged[name].count() if name in staged else 0
         if rows:
             sink.write(staged[name], name, mode)
-        loaded[name] = rows
+        return rows
+
+    loaded: dict[str, int] = {}
+    for tier in tiers:
+        loaded.update(each(publish, tier))
     return loaded

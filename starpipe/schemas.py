@@ -179,21 +179,13 @@ STAR = {
     "subdim_anio": {"ID_Anio": "int", "NumeroAnio": "int"},
 }
 
-LOAD_ORDER = (
-    "dim_clientes",
-    "dim_empleados",
-    "dim_tiempo",
-    "dim_tipo_riesgo",
-    "dim_severidad",
-    "dim_proyectos",
-    "dim_finanzas",
-    "dim_riesgos",
-    "dim_hitos",
-    "dim_tareas",
-    "dim_pruebas",
-    "hechos_asignaciones",
-    "hechos_proyectos",
+# Tables of one tier do not refer to each other, only to earlier tiers.
+LOAD_TIERS = (
+    ("dim_clientes", "dim_empleados", "dim_tiempo", "dim_tipo_riesgo", "dim_severidad"),
+    ("dim_proyectos", "dim_finanzas", "dim_riesgos", "dim_hitos", "dim_tareas", "dim_pruebas"),
+    ("hechos_asignaciones", "hechos_proyectos"),
 )
+LOAD_ORDER = tuple(table for tier in LOAD_TIERS for table in tier)
 
 # (child table, child column, parent table, parent column)
 FOREIGN_KEYS = (
@@ -221,7 +213,7 @@ FOREIGN_KEYS = (
 
 def primary_key(table: str) -> str:
     """Every table of the model is keyed by its first column."""
-    return next(iter((STAR.get(table) or SOURCE[table])))
+    return next(iter(STAR.get(table) or SOURCE[table]))
 
 
 def ddl(columns: dict[str, str]) -> str:
