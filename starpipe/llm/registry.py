@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starpipe.llm import url_filter
 from starpipe.llm.common import read_table
 
 #: Folder of public tokenizer files; a parameter, never copied.
@@ -18,6 +19,17 @@ def tokenizer_path(name: str = BYTE_BPE) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starpipe.llm.quality import judge
+
+    judged = judge(read_table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return judged.select("doc_id", "__quality.*")
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), carry=["page_id"])
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starpipe.llm.packing import pack
 
@@ -25,7 +37,9 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op2_url_filters": op2_url_filters,
     "op7_packing": op7_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_url_filters": url_filter.oracle()}
