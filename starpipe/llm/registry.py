@@ -30,6 +30,12 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), carry=["page_id"])
 
 
+def op4_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starpipe.llm.setjoin import similar_sets
+
+    return similar_sets(read_table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starpipe.llm.packing import pack
 
@@ -39,6 +45,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_url_filters": op2_url_filters,
+    "op4_set_join": op4_set_join,
     "op7_packing": op7_packing,
 }
 
