@@ -17,9 +17,12 @@ no token id is ever shuffled.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from base64 import b64decode
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -32,13 +35,19 @@ from starpipe.llm.common import columns, cut
 
 WINDOW = 1024
 #: Distinct words whose ids a task remembers; a full memory is emptied, results stay the same.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
 #: Output rows of one Arrow batch.
 BATCH_ROWS = 20_000
 STEPS = 400
 
-_LINES = re.compile(r"(?<=\S)\n(?=\S)")
-_SPACES = re.compile(r"(?<=\S) (?=\S)")
+_ODD = re.compile(r"\s[ \n]|[ \n]\s|\0")
+_SPACES = re.compile(r"(?<=\S)(?= \S)")
+#: One word without what might belong to a special token.
+_PLAIN = re.compile(r" ?(?!\S*<\|)\S+")
+#: Fixed value: how byte-level vocabularies of this family cut a text before merging.
+PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -51,53 +60,67 @@ class Encoder:
 
     The byte-level pre-tokenizer never joins what stands on two sides of a single space or line
     feed between two other characters: a space opens the next pre-token, a line feed is one of its
-    own. Texts are cut there, and the ids of each part, which recurs often, are remembered.
+    own. Texts are cut there, and the ids of each part, which recurs often, are remembered. What is
+    not known yet is encoded in one call, a part on each line, from ``ranks``, the same vocabulary
+    in the form of the faster library. Parts with odd white space or a possible special token go to
+    the tokenizer itself.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.plain: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
-        self.line_feed = self._encode(["\n"])[0]
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
-
-    def _learn(self, words: set[str], space: str, known: dict[str, bytes]) -> None:
-        if len(known) + len(words) > CACHED_WORDS:
-            known.clear()
-        words = list(words)
-        known.update(zip(words, self._encode([space + word for word in words])))
+        with open(ranks, "rb") as lines:
+            merges = {b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.fast = tiktoken.Encoding(
+            "ranks", pat_str=PATTERN, mergeable_ranks=merges, special_tokens={}
+        )
+        self.known: dict[str, bytes] = {}
+        self.line_feed = self._ids("\n")[0]
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _learn(self, parts: set[str]) -> None:
+        plain = [part for part in parts if _PLAIN.fullmatch(part)]
+        for part in parts.difference(plain):
+            self.known[part] = self._ids(part).tobytes()
+        if plain:
+            ids = np.array(self.fast.encode_ordinary("\n".join(plain)), dtype="<u4")
+            ends = np.flatnonzero(ids == self.line_feed).tolist()
+            data, start = ids.tobytes(), 0
+            for part, end in zip(plain, [*ends, len(ids)], strict=True):
+                self.known[part] = data[4 * start : 4 * end]
+                start = end + 1
 
     def __call__(self, text: str) -> bytes:
-        lines = [_SPACES.split(line) for line in _LINES.split(text)]
-        heads = [line[0] for line in lines]
-        for words, space, known in (
-            ({word for line in lines for word in line[1:]}, " ", self.spaced),
-            (set(heads), "", self.plain),
-        ):
-            # After an emptied memory everything this text needs is learned anew.
-            for _ in range(2):
-                if missing := {word for word in words if word not in known}:
-                    self._learn(missing, space, known)
-        spaced, plain = self.spaced, self.plain
-        parts: list[bytes] = []
-        for line in lines:
-            if parts:
-                parts.append(self.line_feed)
-            parts.append(plain[line[0]])
-            parts += [spaced[word] for word in line[1:]]
-        return b"".join(parts)
-
-
-def _pieces(batches: Iterator[pa.RecordBatch], path: str, window: int) -> Iterator[pa.RecordBatch]:
-    import os
-
+        if _ODD.search(text):
+            parts = _SPACES.split(text)
+        else:
+            parts = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+        known = self.known
+        ids = list(map(known.get, parts))
+        if None in ids:
+            if len(known) > CACHED_WORDS:
+                known.clear()
+                ids = [None] * len(parts)
+            self._learn({part for part, found in zip(parts, ids) if found is None})
+            ids = map(known.__getitem__, parts)
+        return b"".join(ids)
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str, ranks: str) -> Encoder:
+    """One for all tasks of a Python worker."""
+    return Encoder(path, ranks)
+
+
+def _pieces(
+    batches: Iterator[pa.RecordBatch], path: str, ranks: str, window: int
+) -> Iterator[pa.RecordBatch]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    encode = Encoder(path)
+    encode = _encoder(path, ranks)
     part = TaskContext.get().partitionId()
     seen = [0] * (window + 1)
     rows: list[tuple] = []
@@ -248,17 +271,22 @@ def _place(batches: Iterator[pa.RecordBatch], where: Slots) -> Iterator[pa.Recor
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    tokenizer: str,
+    ranks: str,
+    window: int = WINDOW,
+    doc_id: str = "doc_id",
+    text: str = "text",
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Null and empty texts give one piece, the closing id. Rows that repeat a doc_id, or have none,
-    are documents of their own. An empty table gives no piece. Other columns are ignored. A text is
+    are documents of their own. ``tokenizer`` and ``ranks`` are files that every executor has. An empty table gives no piece. Other columns are ignored. A text is
     encoded whole; the longest one must fit into a Python worker's memory.
     """
     source = docs.select(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`").cast("string"))
     pieces = cut(
-        source.mapInArrow(lambda batches: _pieces(batches, tokenizer, window), PIECES), "pieces"
+        source.mapInArrow(lambda batches: _pieces(batches, tokenizer, ranks, window), PIECES), "pieces"
     )
     by_part = cut(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "lengths")
     histogram = by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()

@@ -9,14 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from starpipe.llm import url_filter
 from starpipe.llm.common import read_table
 
-#: Folder of public tokenizer files; a parameter, never copied.
-BYTE_BPE = "byte_bpe_50k.json"
 
 
-def tokenizer_path(name: str = BYTE_BPE) -> str:
-    import public_tokenizers
+def tokenizer_files() -> tuple[str, str]:
+    """The byte-level vocabulary in its two forms, where the public files are installed."""
+    from public_tokenizers import path
 
-    return public_tokenizers.path(name)
+    return path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken")
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +38,7 @@ def op4_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starpipe.llm.packing import pack
 
-    return pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    return pack(read_table(spark, sf_dir, "documents"), *tokenizer_files())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
