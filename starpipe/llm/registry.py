@@ -11,6 +11,10 @@ from starpipe.llm.common import read_table
 
 
 
+#: The secret of the registered queries; a real run passes its own.
+SECRET = "registered-query"
+
+
 def tokenizer_files() -> tuple[str, str]:
     """The byte-level vocabulary in its two forms, where the public files are installed."""
     from public_tokenizers import path
@@ -41,11 +45,19 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), *tokenizer_files())
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starpipe.llm.pii import pseudonymise
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(docs, SECRET, count="n_pseudonyms")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_url_filters": op2_url_filters,
     "op4_set_join": op4_set_join,
     "op7_packing": op7_packing,
+    "op9_pii": op9_pii,
 }
 
 ORACLES: dict[str, str] = {"op2_url_filters": url_filter.oracle()}
