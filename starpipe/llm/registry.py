@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starpipe.llm import url_filter
 from starpipe.llm.common import read_table
@@ -52,12 +53,23 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(docs, SECRET, count="n_pseudonyms")
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starpipe.llm.mixing import TARGETS, domain_of_labels, mix
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = domain_of_labels(read_table(spark, sf_dir, "labels"))
+    mixed = mix(docs, labels, carry=["doc_id"])
+    shares = [F.col("__mix.posterior")[d].alias(f"p_{name}") for d, name in enumerate(TARGETS)]
+    return mixed.select("doc_id", "__mix.tokens", *shares, "__mix.rate", "__mix.copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_url_filters": op2_url_filters,
     "op4_set_join": op4_set_join,
     "op7_packing": op7_packing,
     "op9_pii": op9_pii,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLES: dict[str, str] = {"op2_url_filters": url_filter.oracle()}
