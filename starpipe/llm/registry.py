@@ -34,6 +34,35 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), carry=["page_id"])
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starpipe.llm.chat import Template, conversations, replies_of_turns
+
+    said = "</s>[INST] ok [/INST]"
+    given = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.sql(
+        f"SELECT -1L AS conv_id, turn, role, '{said}' AS text "
+        "FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"
+    )
+    template = Template()
+    messages = replies_of_turns(given.unionByName(own), "conv_id", "turn", ["role", "text"])
+    written = conversations(messages, template=template)
+    read = written.select(
+        F.col("tree").alias("conv_id"),
+        template.parse(F.col("formatted")).alias("turns"),
+        template.learnt_text(F.col("formatted"), F.col("loss_spans")).alias("learnt"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"),
+        F.sha2("learnt", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op4_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starpipe.llm.setjoin import similar_sets
 
@@ -66,6 +95,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_url_filters": op2_url_filters,
+    "op3_chat": op3_chat,
     "op4_set_join": op4_set_join,
     "op7_packing": op7_packing,
     "op9_pii": op9_pii,
