@@ -42,6 +42,7 @@ PERCENT = 85
 #: Words whose hashes a task remembers; a full memory is emptied.
 CACHED_WORDS = 500_000
 BATCH_ROWS = 100_000
+_LISTS = "list long, doc_id long"
 #: Comparisons with one leader that one task makes at most, on average.
 LEADER_ROWS = 2_000
 #: 64-bit words of the filter of candidate documents (1 MB, whatever the corpus).
@@ -177,15 +178,25 @@ def _lists(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Itera
         yield batch()
 
 
+def _marked(batch: pa.RecordBatch, wanted: np.ndarray) -> np.ndarray:
+    """Which rows' hashes ``h`` of the doc_id have their bit set in the filter."""
+    bit = batch.column("h").to_numpy().view(np.uint64)
+    word = (bit >> np.uint64(6)) % np.uint64(len(wanted))
+    return (wanted[word] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _chosen(
+    batches: Iterator[pa.RecordBatch], wanted: np.ndarray, marked: bool
+) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array(_marked(batch, wanted) == marked)).select(["doc_id", "text"])
+
+
 def _sets(batches: Iterator[pa.RecordBatch], words: int, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
     shingles = Shingles(words)
-    for batch in batches:
-        bit = batch.column("h").to_numpy().view(np.uint64)
-        word = (bit >> np.uint64(6)) % np.uint64(len(wanted))
-        take = (wanted[word] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-        if not take.any():
+    for batch in _chosen(batches, wanted, True):
+        if not batch.num_rows:
             continue
-        batch = batch.filter(pa.array(take))
         values = [shingles(text).view(np.int64) for text in batch.column("text").to_pylist()]
         sizes = np.cumsum([0, *map(len, values)])
         arrays = pa.ListArray.from_arrays(
@@ -209,7 +220,8 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _id_filter(ids: DataFrame) -> np.ndarray:
-    """A bit for the hash of each id; a document whose bit is unset is none of them."""
+    """A bit for the hash of each id, of a fixed number: documents whose bit is unset are none of
+    them and need no join, the others are joined exactly."""
     h = F.xxhash64("doc_id")
     word = F.pmod(F.shiftrightunsigned(h, 6), F.lit(FILTER_WORDS)).cast("int")
     bit = F.expr("shiftleft(1L, cast(h & 63L as int))")
@@ -224,13 +236,14 @@ class Join:
     """The steps of the join over one table of documents (doc_id, text)."""
 
     def __init__(self, docs: DataFrame, words: int, percent: int):
-        self.docs, self.words, self.percent = docs, words, percent
+        self.all, self.words, self.percent = docs, words, percent
+        self.docs = docs.where("doc_id IS NOT NULL").withColumn("h", F.xxhash64("doc_id"))
 
     def heads(self) -> DataFrame:
         """(doc_id, n_shingles, rep) for each row: rep is the smallest doc_id with an equal set."""
         words = self.words
         heads = cut(
-            self.docs.mapInArrow(
+            self.all.mapInArrow(
                 lambda batches: _heads(batches, words),
                 "doc_id long, n_shingles long, one long, two long",
             ),
@@ -247,22 +260,37 @@ class Join:
             "classes",
         )
 
-    def lists(self) -> DataFrame:
-        """(list, doc_id, leader) for every member of a list but its leader, the smallest."""
+    def lists(self, heads: DataFrame) -> DataFrame:
+        """(list, doc_id, leader, n) for every representative in a list but its leader, the
+        smallest. Lists with the same members are one, which stands for n of them."""
         words, percent = self.words, self.percent
-        entries = self.docs.where("doc_id IS NOT NULL").mapInArrow(
-            lambda batches: _lists(batches, words, percent), "list long, doc_id long"
+        full = heads.where("doc_id IS NOT NULL AND n_shingles > 0")
+        wanted = _id_filter(full.where("doc_id <> rep").select("doc_id").distinct())
+        alone = self.docs.mapInArrow(
+            lambda batches: _lists(_chosen(batches, wanted, False), words, percent), _LISTS
         )
-        led = entries.select(
-            "list", "doc_id", F.expr("min(doc_id) OVER (PARTITION BY list)").alias("leader")
+        others = self.docs.mapInArrow(
+            lambda batches: _chosen(batches, wanted, True), "doc_id long, text string"
+        )
+        reps = full.where("doc_id = rep").select("doc_id").distinct()
+        copied = others.join(reps, "doc_id", "left_semi").mapInArrow(
+            lambda batches: _lists(batches, words, percent), _LISTS
+        )
+        members = "OVER (PARTITION BY list)"
+        led = alone.union(copied).select(
+            "doc_id",
+            F.expr(f"min(doc_id) {members}").alias("leader"),
+            F.expr(f"bit_xor(xxhash64(doc_id)) {members}").alias("list"),
+        )
+        return cut(
+            led.where("doc_id <> leader").groupBy("list", "doc_id", "leader").agg(F.count("*").alias("n")),
+            "lists",
         )
-        return cut(led.where("doc_id <> leader"), "lists")
 
     def sets(self, ids: DataFrame) -> DataFrame:
         """(doc_id, hashes) of these documents, read once more; no text is shuffled."""
         words, wanted = self.words, _id_filter(ids)
-        some = self.docs.where("doc_id IS NOT NULL").withColumn("h", F.xxhash64("doc_id"))
-        found = some.mapInArrow(
+        found = self.docs.mapInArrow(
             lambda batches: _sets(batches, words, wanted), "doc_id long, hashes array<long>"
         )
         return cut(found.join(ids, "doc_id", "left_semi"), "sets")
@@ -314,7 +342,7 @@ def similar_sets(
     )
     heads = join.heads()
     full = heads.where("doc_id IS NOT NULL AND n_shingles > 0")
-    links = _links(join, full, join.lists(), percent)
+    links = _links(join, full, join.lists(heads), percent)
     labels = components(links)
     found = heads.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     return found.select(
@@ -326,8 +354,10 @@ def _links(join: Join, full: DataFrame, lists: DataFrame, percent: int) -> DataF
     """(a, b) between representatives, enough to connect whatever is connected."""
     same_id = full.groupBy("doc_id").agg(F.min("rep").alias("a"))
     repeated = full.join(same_id, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b"))
-    reps = full.select("doc_id", "rep", "n_shingles").distinct()
-    pairs = cut(_leader_pairs(lists, reps, percent), "pairs")
+    sizes = full.where("doc_id = rep").groupBy("doc_id").agg(
+        F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most")
+    )
+    pairs = cut(_leader_pairs(lists, sizes, percent), "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     sets = join.sets(ids)
 
@@ -343,25 +373,19 @@ def _links(join: Join, full: DataFrame, lists: DataFrame, percent: int) -> DataF
     compared = first.union(second)
     links = repeated.union(compared.where(link).select("a", "b"))
     labels = components(links)
-    third = _verified(_block_pairs(lists, reps, labels, compared, sets, percent), sets)
+    third = _verified(_block_pairs(lists, labels, compared, sets, percent), sets)
     return links.union(third.where(link).select("a", "b"))
 
 
-def _leader_pairs(lists: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """(a, b, lists): representatives of leaders and members, where sizes allow a link."""
-    shared = lists.groupBy("doc_id", "leader").agg(F.count("*").alias("lists"))
-    member = reps.select("doc_id", F.col("rep").alias("x"), F.col("n_shingles").alias("size_x"))
-    leader = reps.select(
-        F.col("doc_id").alias("leader"), F.col("rep").alias("y"), F.col("n_shingles").alias("size_y")
-    )
-    near = F.expr(f"100 * least(size_x, size_y) >= {percent} * greatest(size_x, size_y)")
-    return (
-        shared.join(member, "doc_id")
-        .join(leader, "leader")
-        .where(near & (F.col("x") != F.col("y")))
-        .groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .agg(F.sum("lists").alias("lists"))
+def _leader_pairs(lists: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(a, b, lists): leaders and members, where sizes allow a link, and how many lists they share."""
+    shared = lists.groupBy(F.col("leader").alias("a"), F.col("doc_id").alias("b")).agg(
+        F.sum("n").alias("lists")
     )
+    leader = sizes.select(F.col("doc_id").alias("a"), F.col("least").alias("l"), F.col("most").alias("m"))
+    member = sizes.withColumnRenamed("doc_id", "b")
+    near = F.expr(f"100 * most >= {percent} * l AND 100 * m >= {percent} * least")
+    return shared.join(member, "b").join(leader, "a").where(near).select("a", "b", "lists")
 
 
 def _labelled(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
@@ -377,23 +401,18 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _block_pairs(
     lists: DataFrame,
-    reps: DataFrame,
     labels: DataFrame,
     compared: DataFrame,
     sets: DataFrame,
     percent: int,
 ) -> DataFrame:
     """Pairs of members, other than with the leader, that may link across components."""
-    rep_of = reps.select("doc_id", "rep").distinct()
-    members = (
-        lists.join(rep_of, "doc_id")
-        .select("list", F.col("leader").alias("doc_id"), F.col("rep").alias("x"))
-        .join(rep_of, "doc_id")
-        .select("list", F.col("rep").alias("y"), "x")
-        .where("x <> y")
-        .distinct()
+    entries = _labelled(
+        _labelled(lists.select("list", F.col("doc_id").alias("x"), F.col("leader").alias("y")), labels, "x", "cx"),
+        labels,
+        "y",
+        "cy",
     )
-    entries = _labelled(_labelled(members, labels, "x", "cx"), labels, "y", "cy")
     # Lists with a member outside the leader's component, and another member beside it.
     open_lists = (
         entries.groupBy("list")
@@ -402,14 +421,13 @@ def _block_pairs(
         .select("list")
     )
     entries = cut(entries.join(open_lists, "list", "left_semi"), "open")
-    ends = [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")]
-    asked = entries.select(*ends).distinct()
+    asked = entries.select(F.col("y").alias("a"), F.col("x").alias("b")).distinct()
     known = compared.union(_verified(asked.join(compared, ["a", "b"], "left_anti"), sets))
     apart = 1 - F.col("shared") / F.col("union")
     # Slightly wider than the threshold's distance, against rounding.
     width = (100 - percent) / 100 + 1e-9
     measured = (
-        entries.withColumns({"a": ends[0], "b": ends[1]})
+        entries.withColumns({"a": F.col("y"), "b": F.col("x")})
         .join(known, ["a", "b"])
         .select("list", "x", "cx", apart.alias("d"), F.floor(apart / width).alias("block"))
     )
