@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starpipe.llm import url_filter
 from starpipe.llm.common import read_table
+from starpipe.workspace import new_path
 
 
 
@@ -69,6 +70,14 @@ def op4_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_sets(read_table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starpipe.llm.warc import payloads, read_chunks, write_archives
+
+    path = new_path(spark, "archives")
+    token = write_archives(read_table(spark, sf_dir, "pages"), path)
+    return payloads(read_chunks(spark, path, token))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starpipe.llm.packing import pack
 
@@ -97,9 +106,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filters": op2_url_filters,
     "op3_chat": op3_chat,
     "op4_set_join": op4_set_join,
+    "op6_warc": op6_warc,
     "op7_packing": op7_packing,
     "op9_pii": op9_pii,
     "op10_mixing": op10_mixing,
 }
 
-ORACLES: dict[str, str] = {"op2_url_filters": url_filter.oracle()}
+ORACLES: dict[str, str] = {
+    "op2_url_filters": url_filter.oracle(),
+}
