@@ -29,10 +29,12 @@ from starpipe.llm.common import cut
 SAMPLE = 20_000
 #: Words of the model.
 VOCABULARY = 256
-#: A word counts if its share in a domain differs by so many standard errors, and is so many times
-#: its share elsewhere.
-LEAST_Z = 6.0
+#: A word counts if so large a part of a domain's labelled documents, and so many, have it, if that part is so many times the
+#: part elsewhere, and if the two differ by so many standard errors.
+LEAST_SHARE = 0.02
+LEAST_DOCS = 10
 LEAST_LIFT = 4.0
+LEAST_Z = 6.0
 #: Bins of a leading domain begin at these leads in log odds.
 LEADS = (0.0, 3.0, 8.0)
 #: Words start and end at these.
@@ -40,6 +42,8 @@ BETWEEN = r"[\s,.;:!?]+"
 STEPS = 60
 #: Largest miss of a target, relative to all tokens, that ends the steps.
 CLOSE = 1e-4
+#: Domains are scaled as if they were this part of the largest at least.
+LEAST_SCALE = 0.05
 #: A rate so near a whole number is that number.
 NEAR = 0.05
 #: Documents are not repeated.
@@ -153,7 +157,12 @@ def fit(
             error = F.sqrt(share * (1 - share) * (1 / size + 1 / (everyone - size)))
             own = F.col(f"n{d}") / F.lit(size)
             rest = (total - F.col(f"n{d}")) / F.lit(everyone - size)
-            marked = (error > 0) & (own >= LEAST_LIFT * rest)
+            marked = (
+                (error > 0)
+                & (F.col(f"n{d}") >= LEAST_DOCS)
+                & (own >= LEAST_SHARE)
+                & (own >= LEAST_LIFT * rest)
+            )
             marks.append(F.when(marked, (own - rest) / error).otherwise(0.0))
     strongest = F.greatest(F.lit(0.0), F.lit(0.0), *marks)
     best = (
@@ -200,7 +209,8 @@ def fit_rates(
     """The rate of each row as a column over its posterior.
 
     The anchor's expected tokens fix the total: its target is what it has. The residual of a domain
-    is scaled by its own share of the Gram matrix, so that small domains converge like large ones.
+    is scaled by its own share of the Gram matrix, so that small domains converge like large ones;
+    very small ones are held back, for they must not outweigh the others.
     """
     size = len(weights)
     tokens, posterior = F.col(into)["tokens"], F.col(into)["posterior"]
@@ -211,29 +221,43 @@ def fit_rates(
         *[F.sum(tokens * p[i] * p[j]).alias(f"m{i}_{j}") for i, j in upper],
     ).first()
     have = np.array([first[f"s{d}"] or 0.0 for d in range(size)])
-    rate = F.lit(1.0)
     if not have.sum() or not have[anchor]:
-        return rate
+        return F.lit(1.0)
     gram = np.zeros((size, size))
     for i, j in upper:
         gram[i, j] = gram[j, i] = first[f"m{i}_{j}"]
-    goal = weights / weights[anchor] * have[anchor]
-    scale = 1 / np.maximum(np.diag(gram), 1e-12)
+    # What a domain has at the largest rate is the most that it can be asked for.
+    goal = np.minimum(weights / weights[anchor] * have[anchor], max_rate * have)
+    scale = 1 / np.maximum(np.diag(gram), LEAST_SCALE * np.diag(gram).max())
     root = np.sqrt(scale)
     step = 1 / np.linalg.eigvalsh(root[:, None] * gram * root).max()
+    slopes: list[np.ndarray] = []
     for _ in range(steps):
-        slope = step * scale * (have - goal)
         if np.abs(have - goal).max() <= CLOSE * goal.sum():
             break
-        move = reduce(lambda a, b: a + b, [F.lit(float(slope[d])) * p[d] for d in range(size)])
-        rate = F.least(F.lit(max_rate), F.greatest(F.lit(0.0), rate - move))
+        slopes.append(step * scale * (have - goal))
+        rate = _stepped(slopes, posterior, max_rate)
         row = scored.agg(*[F.sum(rate * tokens * p[d]).alias(f"s{d}") for d in range(size)]).first()
         new = np.array([row[f"s{d}"] for d in range(size)])
         stuck = np.abs(new - have).max() <= 0.1 * CLOSE * goal.sum()
         have = new
         if stuck:
             break
-    return rate
+    return _stepped(slopes, posterior, max_rate)
+
+
+def _stepped(slopes: list[np.ndarray], posterior: Column, max_rate: float) -> Column:
+    """The rate after these steps, each projected onto what rates may be."""
+    if not slopes:
+        return F.lit(1.0)
+    moves = F.array(*[F.array(*[F.lit(float(x)) for x in slope]) for slope in slopes])
+
+    def moved(rate: Column, slope: Column) -> Column:
+        along = [slope[d] * posterior[d] for d in range(len(slopes[0]))]
+        new = rate - reduce(lambda a, b: a + b, along)
+        return F.least(F.lit(max_rate), F.greatest(F.lit(0.0), new))
+
+    return F.aggregate(moves, F.lit(1.0), moved)
 
 
 def mix(

@@ -42,10 +42,9 @@ PERCENT = 85
 #: Words whose hashes a task remembers; a full memory is emptied.
 CACHED_WORDS = 500_000
 BATCH_ROWS = 100_000
-_LISTS = "list long, doc_id long"
 #: Comparisons with one leader that one task makes at most, on average.
 LEADER_ROWS = 2_000
-#: 64-bit words of the filter of candidate documents (1 MB, whatever the corpus).
+#: 64-bit words of the filter of document ids (1 MB, whatever the corpus).
 FILTER_WORDS = 1 << 17
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -178,23 +177,9 @@ def _lists(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Itera
         yield batch()
 
 
-def _marked(batch: pa.RecordBatch, wanted: np.ndarray) -> np.ndarray:
-    """Which rows' hashes ``h`` of the doc_id have their bit set in the filter."""
-    bit = batch.column("h").to_numpy().view(np.uint64)
-    word = (bit >> np.uint64(6)) % np.uint64(len(wanted))
-    return (wanted[word] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-
-
-def _chosen(
-    batches: Iterator[pa.RecordBatch], wanted: np.ndarray, marked: bool
-) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield batch.filter(pa.array(_marked(batch, wanted) == marked)).select(["doc_id", "text"])
-
-
-def _sets(batches: Iterator[pa.RecordBatch], words: int, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     shingles = Shingles(words)
-    for batch in _chosen(batches, wanted, True):
+    for batch in batches:
         if not batch.num_rows:
             continue
         values = [shingles(text).view(np.int64) for text in batch.column("text").to_pylist()]
@@ -219,17 +204,28 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _id_filter(ids: DataFrame) -> np.ndarray:
-    """A bit for the hash of each id, of a fixed number: documents whose bit is unset are none of
-    them and need no join, the others are joined exactly."""
-    h = F.xxhash64("doc_id")
-    word = F.pmod(F.shiftrightunsigned(h, 6), F.lit(FILTER_WORDS)).cast("int")
-    bit = F.expr("shiftleft(1L, cast(h & 63L as int))")
-    bits = ids.withColumn("h", h).groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
-    filled = np.zeros(FILTER_WORDS, np.int64)
-    for row in bits.collect():
-        filled[row["word"]] = row["bits"]
-    return filled.view(np.uint64)
+def _split(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents that are none of ``ids``, and those that may be.
+
+    Each id sets a bit of ``FILTER_WORDS`` words, a broadcast of fixed size whatever the corpus. The
+    first part needs no join with the ids, so its texts are not shuffled; the second is small as long
+    as the ids are, and is to be joined exactly.
+    """
+
+    def word(h: Column) -> Column:
+        return F.pmod(F.shiftrightunsigned(h, 6), F.lit(FILTER_WORDS)).cast("int")
+
+    bit = F.expr("shiftleft(1L, cast(__h & 63L as int))")
+    bits = (
+        ids.select(F.xxhash64("doc_id").alias("__h"))
+        .groupBy(word(F.col("__h")).alias("__word"))
+        .agg(F.bit_or(bit).alias("__bits"))
+    )
+    hashed = docs.withColumn("__h", F.xxhash64(F.col("doc_id").cast("long")))
+    joined = hashed.withColumn("__word", word(F.col("__h"))).join(F.broadcast(bits), "__word", "left")
+    marked = F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return joined.where(~marked).select(*columns), joined.where(marked).select(*columns)
 
 
 class Join:
@@ -237,7 +233,7 @@ class Join:
 
     def __init__(self, docs: DataFrame, words: int, percent: int):
         self.all, self.words, self.percent = docs, words, percent
-        self.docs = docs.where("doc_id IS NOT NULL").withColumn("h", F.xxhash64("doc_id"))
+        self.docs = docs.where("doc_id IS NOT NULL")
 
     def heads(self) -> DataFrame:
         """(doc_id, n_shingles, rep) for each row: rep is the smallest doc_id with an equal set."""
@@ -265,19 +261,14 @@ class Join:
         smallest. Lists with the same members are one, which stands for n of them."""
         words, percent = self.words, self.percent
         full = heads.where("doc_id IS NOT NULL AND n_shingles > 0")
-        wanted = _id_filter(full.where("doc_id <> rep").select("doc_id").distinct())
-        alone = self.docs.mapInArrow(
-            lambda batches: _lists(_chosen(batches, wanted, False), words, percent), _LISTS
-        )
-        others = self.docs.mapInArrow(
-            lambda batches: _chosen(batches, wanted, True), "doc_id long, text string"
-        )
+        own, others = _split(self.docs, full.where("doc_id <> rep").select("doc_id"))
         reps = full.where("doc_id = rep").select("doc_id").distinct()
-        copied = others.join(reps, "doc_id", "left_semi").mapInArrow(
-            lambda batches: _lists(batches, words, percent), _LISTS
+        chosen = own.union(others.join(reps, "doc_id", "left_semi").select("doc_id", "text"))
+        entries = chosen.mapInArrow(
+            lambda batches: _lists(batches, words, percent), "list long, doc_id long"
         )
         members = "OVER (PARTITION BY list)"
-        led = alone.union(copied).select(
+        led = entries.select(
             "doc_id",
             F.expr(f"min(doc_id) {members}").alias("leader"),
             F.expr(f"bit_xor(xxhash64(doc_id)) {members}").alias("list"),
@@ -289,10 +280,9 @@ class Join:
 
     def sets(self, ids: DataFrame) -> DataFrame:
         """(doc_id, hashes) of these documents, read once more; no text is shuffled."""
-        words, wanted = self.words, _id_filter(ids)
-        found = self.docs.mapInArrow(
-            lambda batches: _sets(batches, words, wanted), "doc_id long, hashes array<long>"
-        )
+        words = self.words
+        _, some = _split(self.docs, ids)
+        found = some.mapInArrow(lambda batches: _sets(batches, words), "doc_id long, hashes array<long>")
         return cut(found.join(ids, "doc_id", "left_semi"), "sets")
 
 
@@ -440,3 +430,27 @@ def _block_pairs(
     )
     found = pairs.select(F.least("x", "z").alias("a"), F.greatest("x", "z").alias("b")).distinct()
     return cut(found.join(known, ["a", "b"], "left_anti"), "blocks")
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any others) whose doc_id is its component's smallest.
+
+    Of rows that repeat a doc_id the one with the smallest text stays. Rows without a doc_id, and
+    documents without words, stay. Texts are shuffled only for documents that go or are repeated.
+    """
+    found = cut(similar_sets(docs, words=words, percent=percent), "components")
+    counted = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min("component_id").alias("__component"), F.count("*").alias("__rows")
+    )
+    special = counted.where("__component <> doc_id OR __rows > 1")
+    clear, rest = _split(docs, special.select("doc_id"))
+    decided = rest.join(special.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"), "left")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    single = decided.where("__id IS NULL").select(*columns)
+    repeated = (
+        decided.where("__component = __id")
+        .groupBy("__id")
+        .agg(F.min_by(F.struct(*columns), F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("__row"))
+        .select("__row.*")
+    )
+    return clear.union(single).union(repeated)
