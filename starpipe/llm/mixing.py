@@ -174,7 +174,9 @@ def fit(
     )
     seen = np.array([[row[f"n{d}"] for d in range(len(domains))] for row in best], dtype=float)
     seen = seen.reshape(len(best), len(domains))
-    present = (seen + 0.5) / (sizes + 1)
+    # A domain of few documents leans on the share of the word in all of them.
+    overall = seen.sum(axis=1, keepdims=True) / everyone
+    present = (seen + 2 * overall) / (sizes + 2)
     model = Classifier(domains, [row["word"] for row in best], np.log(present))
     binned = texts.groupBy(model.bin_of(F.col("words")).alias("bin"), "__domain").count()
     table = np.zeros((model.bins, len(domains)))
