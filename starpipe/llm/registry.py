@@ -70,6 +70,12 @@ def op4_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_sets(read_table(spark, sf_dir, "documents"))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starpipe.llm.html_text import main_texts
+
+    return main_texts(read_table(spark, sf_dir, "pages"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starpipe.llm.warc import payloads, read_chunks, write_archives
 
@@ -106,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filters": op2_url_filters,
     "op3_chat": op3_chat,
     "op4_set_join": op4_set_join,
+    "op5_html": op5_html,
     "op6_warc": op6_warc,
     "op7_packing": op7_packing,
     "op9_pii": op9_pii,
