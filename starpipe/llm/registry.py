@@ -90,6 +90,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), *tokenizer_files())
 
 
+def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starpipe.llm.vectors import near_vectors
+
+    return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starpipe.llm.pii import pseudonymise
 
@@ -115,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_html": op5_html,
     "op6_warc": op6_warc,
     "op7_packing": op7_packing,
+    "op8_vectors": op8_vectors,
     "op9_pii": op9_pii,
     "op10_mixing": op10_mixing,
 }
