@@ -371,6 +371,15 @@ def statement(body: str, shift: int = 0) -> str:
     return f"WITH {ctes}\n{body}" if ctes else body
 
 
+def dropped_tests(milestones: str) -> str:
+    """Extracted tests against those of the given milestones."""
+    return f"""
+        SELECT 'dim_pruebas' AS tabla, count(*) AS antes,
+               count(*) FILTER (ID_Hito IN ({milestones})) AS despues,
+               count(*) - count(*) FILTER (ID_Hito IN ({milestones})) AS filtradas
+        FROM x_pruebas"""
+
+
 def counts(tables: list[tuple[str, str]]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{label}' AS tabla, count(*) AS filas FROM {table}" for label, table in tables
@@ -449,7 +458,7 @@ BODIES = {
     "s1_scan": "SELECT * FROM s_gastos",
     **{f"x{n:02d}_{name}": f"SELECT * FROM x_{name}" for n, name in enumerate(RELATIONS, 1)},
     "s2_extract_counts": counts([(name, f"x_{name}") for name in RELATIONS]),
-    "s3_stamped": "SELECT Estado, count(*) AS sellados FROM x_contratos GROUP BY Estado",
+    "s3_stamped": counts([(name, f"x_{name}") for name in RELATIONS]),
     "f1_state_filter": f"SELECT ID_Contrato, Estado FROM s_contratos WHERE Estado IN {CLOSED}",
     "f1_state_filter_collated": f"""
         SELECT ID_Contrato, upper(Estado) AS Estado FROM s_contratos WHERE Estado IN {CLOSED}""",
@@ -506,11 +515,15 @@ BODIES = {
                (SELECT count(*) FROM dim_proyectos) AS despues,
                (SELECT count(*) FROM x_proyectos) - (SELECT count(*) FROM dim_proyectos)
                  AS filtradas""",
-    "a17_dropped_tests": """
-        SELECT 'dim_pruebas' AS tabla, (SELECT count(*) FROM s_pruebas) AS antes,
-               (SELECT count(*) FROM x_pruebas) AS despues,
-               (SELECT count(*) FROM s_pruebas) - (SELECT count(*) FROM x_pruebas)
-                 AS filtradas""",
+    "a17_dropped_tests": dropped_tests("SELECT ID_Hito FROM x_hitos"),
+    "a17_dropped_tests_unknown": dropped_tests(
+        "SELECT ID_Hito FROM x_hitos WHERE FechaFinReal IS NOT NULL"
+    ),
+    "a17_unstorable_ratios": """
+        SELECT 'ProporcionCAPEX_OPEX' AS columna,
+               count(ProporcionCAPEX_OPEX)
+                 - count(CASE WHEN ProporcionCAPEX_OPEX < 99999999.995 THEN 1 END) AS valores
+        FROM hechos_proyectos""",
     "a17_unmatched_dates": """
         SELECT count(*) FILTER (ID_FechaAsignacion = 0) AS sin_fecha FROM assignment_rows""",
     "w1_dense_id": """
@@ -605,6 +618,7 @@ BODIES = {
     "d12_dim_riesgos": "SELECT * FROM dim_riesgos",
     "d13_hechos_proyectos": "SELECT * FROM hechos_proyectos",
     "d13_hechos_proyectos_recent": "SELECT * FROM hechos_proyectos",
+    "d13_hechos_proyectos_collated": "SELECT * FROM hechos_proyectos",
     "d13_from_extracts": "SELECT * FROM hechos_proyectos",
     "d13_hechos_proyectos_resolved": """
         SELECT h.* REPLACE (coalesce(n.ID_Finanza, 0) AS ID_Finanza)
@@ -624,7 +638,12 @@ BODIES = {
             THEN CAST(ProporcionCAPEX_OPEX AS DECIMAL(10,2)) END AS ProporcionCAPEX_OPEX)
         FROM hechos_proyectos""",
     "l4_load_all": counts(_star_counts),
+    "l4_load_all_nulls": """
+        SELECT count(*) AS filas, count(nullif(ID_TiempoInicio, 0)) AS con_inicio,
+               count(nullif(ID_Riesgo, 0)) AS con_riesgo, count(nullif(ID_Finanza, 0)) AS con_finanza
+        FROM hechos_proyectos""",
     "e1_full_run": counts(_star_counts),
+    "e2_reset_and_run": counts(_star_counts),
     "l5_fk_audit": fk_audit(FOREIGN_KEYS),
     "l6_pk_audit": pk_audit(STAR_KEYS + SUB_KEYS),
     "i1_since_watermark": """
@@ -639,6 +658,11 @@ BODIES = {
                sum(CosteReal) AS coste, sum(PenalizacionesMonto) AS penalizaciones,
                sum(PresupuestoCliente) - sum(CosteReal) - sum(PenalizacionesMonto) AS margen
         FROM metrics m JOIN dim_proyectos d ON m.ID_Proyecto = d.ID_Proyecto GROUP BY 1""",
+    "q1_rentabilidad_proyecto": """
+        SELECT ID_Proyecto, PresupuestoCliente AS presupuesto, CosteReal AS coste,
+               PenalizacionesMonto AS penalizaciones,
+               PresupuestoCliente - CosteReal - PenalizacionesMonto AS margen
+        FROM metrics""",
     "q2_presupuesto": f"""
         SELECT ID_Proyecto, PresupuestoCliente, CosteReal, DesviacionPresupuestal,
                {ratio("DesviacionPresupuestal", "PresupuestoCliente", 18, 4)}

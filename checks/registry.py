@@ -17,12 +17,13 @@ from starpipe.functions.keys import dense_id
 from starpipe.functions.lookups import lookup, semi_if_any
 from starpipe.operators import analytics, audits, dims, extract, facts
 from starpipe.operators.sinks import ParquetSink, conformed, load_all, load_table
-from starpipe.plans.pipeline import run_pipeline
+from starpipe.plans.pipeline import reset_and_run, run_pipeline
 from starpipe.plans.star import build_star
 from starpipe.schemas import LOAD_ORDER, SOURCE, STAR
 from starpipe.sources.order_system import order_system
 from starpipe.sources.readers import parquet_source
-from starpipe.streaming.watermark import Watermark
+from starpipe.sources.tables import Tables
+from starpipe.control.watermark import Watermark
 from starpipe.workspace import materialise, new_path
 
 # Day against which unfinished milestones are late, and shift that moves the given dates
@@ -44,12 +45,22 @@ class Context:
         sf_dir: str,
         shift_days: int = 0,
         staged: bool = False,
+        collation: str | None = None,
         **star_options,
     ):
         self.spark = spark
         keep = materialise if staged else None
         self.src = order_system(spark, sf_dir, shift_days)
-        self.x = extract.extract_all(self.src, as_of=F.lit(AS_OF).cast("date"), keep=keep)
+        if collation:
+            # States in another case, which only the collation still recognises.
+            shouting = {
+                name: (lambda df=self.src[name]: df.withColumn("Estado", F.upper("Estado")))
+                for name in ("contratos", "proyectos")
+            }
+            self.src = Tables({name: (lambda n=name, s=self.src: s[n]) for name in SOURCE}).but(**shouting)
+        self.x = extract.extract_all(
+            self.src, as_of=F.lit(AS_OF).cast("date"), collation=collation, keep=keep
+        )
         self.u = self.x if staged else extract.unscoped_children(self.src, self.x)
         self.star = build_star(self.x, fact_inputs=self.u, keep=keep, **star_options)
 
@@ -97,8 +108,9 @@ def _extract_counts(c):
 
 @query("s3_stamped")
 def _stamped(c):
-    stamped = extract.stamped(c.x["contratos"])
-    return stamped.groupBy("Estado").agg(F.count("fecha_extraccion").alias("sellados"))
+    stamped = extract.extract_all(c.src, as_of=F.lit(AS_OF).cast("date"), stamp=True)
+    marks = {n: df.where(F.col("fecha_extraccion").isNotNull()) for n, df in stamped.items()}
+    return audits.row_counts(marks, SOURCE)
 
 
 # Projections and predicates -----------------------------------------------------------------
@@ -264,7 +276,21 @@ def _dropped_projects(c):
 
 @query("a17_dropped_tests")
 def _dropped_tests(c):
-    return audits.dropped_by(c.src["pruebas"], c.x["pruebas"], "dim_pruebas")
+    return audits.dropped_by(c.x["pruebas"], dims.dim_pruebas(c.x), "dim_pruebas")
+
+
+@query("a17_dropped_tests_unknown")
+def _dropped_tests_unknown(c):
+    # Milestones that are not finished are missing.
+    partial = c.x.but(hitos=lambda: c.x["hitos"].where(F.col("FechaFinReal").isNotNull()))
+    return audits.dropped_by(partial["pruebas"], dims.dim_pruebas(partial), "dim_pruebas")
+
+
+@query("a17_unstorable_ratios")
+def _unstorable_ratios(c):
+    facts_table = c.star["hechos_proyectos"]
+    stored = conformed(facts_table, "hechos_proyectos")
+    return audits.unstorable(facts_table, stored, "ProporcionCAPEX_OPEX")
 
 
 @query("a17_unmatched_dates")
@@ -497,6 +523,11 @@ def _proyectos_resolved(c):
     return c.star["hechos_proyectos"]
 
 
+@query("d13_hechos_proyectos_collated", collation="UNICODE_CI_AI")
+def _proyectos_collated(c):
+    return c.star["hechos_proyectos"]
+
+
 @query("d13_from_extracts")
 def _proyectos_from_extracts(c):
     return build_star(c.x)["hechos_proyectos"]
@@ -542,6 +573,19 @@ def _load_all(c):
     return audits.row_counts(stored, LOAD_ORDER)
 
 
+@query("l4_load_all_nulls", staged=True)
+def _load_all_nulls(c):
+    sink = ParquetSink(new_path(c.spark, "warehouse"))
+    load_all(c.star, sink, zero_to_null=True)
+    facts_table = sink.read(c.spark, "hechos_proyectos")
+    return facts_table.agg(
+        F.count("*").alias("filas"),
+        F.count("ID_TiempoInicio").alias("con_inicio"),
+        F.count("ID_Riesgo").alias("con_riesgo"),
+        F.count("ID_Finanza").alias("con_finanza"),
+    )
+
+
 @query("l5_fk_audit", staged=True)
 def _fk_audit(c):
     return audits.foreign_key_audit(c.star)
@@ -587,6 +631,14 @@ def _full_run(c):
     return audits.row_counts({n: sink.read(c.spark, n) for n in LOAD_ORDER}, LOAD_ORDER)
 
 
+@query("e2_reset_and_run")
+def _reset_and_run(c):
+    sink = ParquetSink(new_path(c.spark, "warehouse"))
+    control = Watermark(c.spark, new_path(c.spark, "control"))
+    reset_and_run(c.src, control, sink, load=True, as_of=F.lit(AS_OF).cast("date"))
+    return audits.row_counts({n: sink.read(c.spark, n) for n in LOAD_ORDER}, LOAD_ORDER)
+
+
 # Analyses -----------------------------------------------------------------------------------
 
 
@@ -596,6 +648,12 @@ def _q1(c):
         c.measures("PresupuestoCliente", "CosteReal", "PenalizacionesMonto"), c.star["dim_proyectos"])
 
 
+@query("q1_rentabilidad_proyecto")
+def _q1_project(c):
+    return analytics.profitability_by_project(
+        c.measures("PresupuestoCliente", "CosteReal", "PenalizacionesMonto"))
+
+
 @query("q2_presupuesto")
 def _q2(c):
     return analytics.budget_control(

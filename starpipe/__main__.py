@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import argparse
 
+from starpipe.control.watermark import Watermark
 from starpipe.operators.sinks import ParquetSink
 from starpipe.plans import pipeline
-from starpipe.session import build_session
-from starpipe.sources.readers import parquet_source
-from starpipe.streaming.watermark import Watermark
+from starpipe.session import build_session, resize
+from starpipe.sources.readers import folder_bytes, parquet_source
+from starpipe.workspace import clear_run
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -16,7 +17,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--source", required=True, help="folder with the source relations")
     parser.add_argument("--target", required=True, help="folder of the warehouse tables")
     parser.add_argument("--control", required=True, help="folder of the watermark table")
-    parser.add_argument("--source-bytes", type=int, help="size of the source, for partitioning")
+    parser.add_argument("--source-bytes", type=int, help="size of the source; default: measured")
     mode = parser.add_mutually_exclusive_group()
     mode.add_argument("--full", action="store_true", help="full run without load")
     mode.add_argument("--full-load", action="store_true", help="full run with load")
@@ -29,7 +30,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
-    spark = build_session(source_bytes=args.source_bytes)
+    spark = build_session()
+    resize(spark, args.source_bytes or folder_bytes(spark, args.source))
     control = Watermark(spark, args.control)
     if args.status:
         control.status().show(truncate=False)
@@ -53,6 +55,7 @@ def main(argv: list[str] | None = None) -> None:
         for name, head in run.preview().items():
             print(name)
             head.show(truncate=False)
+    clear_run(spark)
 
 
 if __name__ == "__main__":

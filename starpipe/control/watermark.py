@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,11 @@ FORMAT = "%Y-%m-%d %H:%M:%S"
 _SCHEMA = "run bigint, previous_date string, new_date string, updated_at string"
 
 
+def utc_now() -> str:
+    """This instant as a watermark; sessions run in UTC."""
+    return datetime.now(UTC).strftime(FORMAT)
+
+
 class Watermark:
     """One row per change; the newest row is the current state."""
 
@@ -40,8 +45,12 @@ class Watermark:
         return newest.new_date if newest else INITIAL
 
     def advance(self, to: str | None = None) -> str:
-        """Record a new watermark (default: now) after a successful run."""
-        now = datetime.now().strftime(FORMAT)
+        """Record a new watermark after a successful load.
+
+        A run passes the instant before its first read, so that rows changed while it ran are seen
+        by the next one; the default is now.
+        """
+        now = utc_now()
         newest = self.history().first()
         run, previous = (newest.run, newest.new_date) if newest else (0, INITIAL)
         new = to or now

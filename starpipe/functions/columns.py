@@ -22,9 +22,9 @@ OPEX = "OPEX"
 
 # Unicode white space as a text strip understands it; Spark's trim() alone drops only U+0020.
 _SPACES = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
+    "\x09\x0a\x0b\x0c\x0d\x1c\x1d\x1e\x1f \x85\xa0"
+    "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 
@@ -88,7 +88,8 @@ def year_key(day: Column) -> Column:
 
 def ratio_or_zero(part: Column, whole: Column, kind: str, scale: int = 1) -> Column:
     """``scale * part / whole`` as an exact decimal, 0 where the whole is 0 or null."""
-    exact = (part * scale).cast("decimal(20,2)") / whole.cast("decimal(20,2)")
+    # As wide as the widest total; the quotient keeps ten places.
+    exact = (part * scale).cast("decimal(28,2)") / whole.cast("decimal(28,2)")
     return F.coalesce(F.when(whole != 0, exact), F.lit(0)).cast(kind)
 
 

@@ -27,6 +27,18 @@ def profitability_by_client(facts: DataFrame, projects: DataFrame) -> DataFrame:
     )
 
 
+def profitability_by_project(facts: DataFrame) -> DataFrame:
+    """Budget, cost, penalties and margin of each project."""
+    margin = F.col("PresupuestoCliente") - F.col("CosteReal") - F.col("PenalizacionesMonto")
+    return facts.select(
+        "ID_Proyecto",
+        F.col("PresupuestoCliente").alias("presupuesto"),
+        F.col("CosteReal").alias("coste"),
+        F.col("PenalizacionesMonto").alias("penalizaciones"),
+        margin.alias("margen"),
+    )
+
+
 def budget_control(facts: DataFrame) -> DataFrame:
     """Deviation of each project, absolute and relative, with an overrun flag."""
     deviation = F.col("DesviacionPresupuestal")

@@ -88,6 +88,17 @@ def dropped_by(before: DataFrame, after: DataFrame, name: str) -> DataFrame:
     )
 
 
+def unstorable(star_table: DataFrame, stored: DataFrame, column: str) -> DataFrame:
+    """(columna, valores): numbers that the stored column could not hold and has as null."""
+    filled = [
+        df.agg(F.count(column).alias("n")).select("n", F.lit(sign).alias("sign"))
+        for df, sign in ((star_table, 1), (stored, -1))
+    ]
+    return _union(filled).agg(F.sum(F.col("n") * F.col("sign")).alias("valores")).select(
+        F.lit(column).alias("columna"), "valores"
+    )
+
+
 def unmatched_dates(facts: DataFrame) -> DataFrame:
     """(sin_fecha): assignments whose day is not in the calendar."""
     return facts.agg(F.count_if(F.col("ID_FechaAsignacion") == 0).alias("sin_fecha"))

@@ -83,14 +83,40 @@ def observed_dates(t: Extracts) -> DataFrame:
     return reduce(DataFrame.unionByName, per_table).where(F.col("Fecha").isNotNull()).distinct()
 
 
+def penalties_by_contract(t: Extracts) -> DataFrame:
+    """Penalties of the closed contracts, one row each: their sum, first and last day.
+
+    The extracted contracts carry the scope, under whatever collation they were chosen.
+    """
+    closed = t["contratos"].select("ID_Contrato")
+    per_contract = t["penalizaciones"].groupBy("ID_Contrato").agg(
+        F.sum("Monto").alias("contract_penalty"),
+        F.min("Fecha").alias("penalty_first"),
+        F.max("Fecha").alias("penalty_last"),
+    )
+    return per_contract.join(closed, "ID_Contrato", "left_semi")
+
+
 def penalty_span(t: Extracts) -> DataFrame:
     """One row: first and last penalty day of the closed contracts."""
-    closed = t["contratos"].select("ID_Contrato")
-    per_contract = date_span_by(
-        t["penalizaciones"], "ID_Contrato", CALENDAR_COLUMNS["penalizaciones"]
+    return penalties_by_contract(t).agg(
+        F.min("penalty_first").alias("first"), F.max("penalty_last").alias("last")
+    )
+
+
+def staff_days(t: Extracts) -> DataFrame:
+    """(ID_Proyecto, ID_Empleado, first, last): the assignment days of known employees.
+
+    Extracted assignments have the employee's rate and so a known employee; the source's own are
+    reduced to one row per project and employee before they meet the employees.
+    """
+    rows = t["asignaciones"]
+    pairs = rows.groupBy("ID_Proyecto", "ID_Empleado").agg(
+        F.min("FechaAsignacion").alias("first"), F.max("FechaAsignacion").alias("last")
     )
-    inside = per_contract.join(closed, "ID_Contrato", "left_semi")
-    return inside.agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    if "CostoPorHora" in rows.columns:
+        return pairs
+    return pairs.join(t["empleados"].select("ID_Empleado"), "ID_Empleado", "left_semi")
 
 
 def widened(spans: DataFrame) -> DataFrame:
@@ -109,9 +135,9 @@ def calendar_span(t: Extracts) -> DataFrame:
     """
     in_scope = t["proyectos"].select("ID_Proyecto")
     per_project = [
-        date_span_by(t[name], "ID_Proyecto", CALENDAR_COLUMNS[name])
-        for name in ("hitos", "asignaciones", "gastos")
+        date_span_by(t[name], "ID_Proyecto", CALENDAR_COLUMNS[name]) for name in ("hitos", "gastos")
     ]
+    per_project.append(staff_days(t).select("ID_Proyecto", "first", "last"))
     children = reduce(DataFrame.unionByName, per_project)
     return widened(
         children.join(in_scope, "ID_Proyecto", "left_semi")

@@ -117,9 +117,10 @@ def milestone_projects(milestones: DataFrame, projects: DataFrame) -> DataFrame:
     return scoped(milestones.select("ID_Hito", "ID_Proyecto"), projects)
 
 
-def extract_tareas(tasks: DataFrame, milestones: DataFrame, projects: DataFrame) -> DataFrame:
+def extract_tareas(tasks: DataFrame, owners: DataFrame) -> DataFrame:
+    """``owners``: (ID_Hito, ID_Proyecto) of the milestones in scope."""
     deviation = F.coalesce("DuracionReal", F.lit(0)) - F.coalesce("DuracionPlanificada", F.lit(0))
-    return tasks.join(milestone_projects(milestones, projects), "ID_Hito").select(
+    return tasks.join(owners, "ID_Hito").select(
         "ID_Tarea",
         "ID_Hito",
         "ID_Proyecto",
@@ -161,18 +162,14 @@ def extract_asignaciones(source: Source, projects: DataFrame) -> DataFrame:
     )
 
 
-def extract_pruebas(tests: DataFrame, milestones: DataFrame, projects: DataFrame) -> DataFrame:
-    return tests.join(milestone_projects(milestones, projects), "ID_Hito").select(
+def extract_pruebas(tests: DataFrame, owners: DataFrame) -> DataFrame:
+    return tests.join(owners, "ID_Hito").select(
         "ID_Prueba", "ID_Hito", "ID_Proyecto", "TipoPrueba", "Fecha", "Exitosa"
     )
 
 
-def extract_errores(
-    defects: DataFrame, tasks: DataFrame, milestones: DataFrame, projects: DataFrame
-) -> DataFrame:
-    owners = tasks.select("ID_Tarea", "ID_Hito").join(
-        milestone_projects(milestones, projects), "ID_Hito"
-    )
+def extract_errores(defects: DataFrame, owners: DataFrame) -> DataFrame:
+    """``owners``: (ID_Tarea, ID_Hito, ID_Proyecto) of the tasks in scope."""
     return defects.join(owners, "ID_Tarea").select(
         "ID_Error", "ID_Tarea", "ID_Hito", "ID_Proyecto", "TipoError", "Descripcion", "Fecha"
     )
@@ -191,6 +188,7 @@ def extract_all(
     collation: str | None = None,
     since: tuple[str, str] | None = None,
     keep: Callable[[DataFrame, str], DataFrame] | None = None,
+    stamp: bool = False,
 ) -> Tables:
     """All twelve extracts, lazily.
 
@@ -198,7 +196,9 @@ def extract_all(
     ``since`` = (column, watermark) restricts the project relation to rows changed after the
     watermark; by default nothing is restricted, as every run is a full extraction.
     ``keep`` (a function of frame and name, e.g. ``materialise``) is applied to every extract when
-    it is first used, so that nine children can share one written project scope.
+    it is first used, so that nine children share one written project scope, and tasks, tests and
+    defects the written milestones and tasks.
+    ``stamp`` adds the extraction time to every extract.
     """
     today = F.current_date() if as_of is None else as_of
     read = source
@@ -212,22 +212,32 @@ def extract_all(
     def projects() -> DataFrame:
         return extracts["proyectos"]
 
+    def milestone_owners() -> DataFrame:
+        if keep:
+            return extracts["hitos"].select("ID_Hito", "ID_Proyecto")
+        return milestone_projects(read["hitos"], projects())
+
+    def task_owners() -> DataFrame:
+        if keep:
+            return extracts["tareas"].select("ID_Tarea", "ID_Hito", "ID_Proyecto")
+        return read["tareas"].select("ID_Tarea", "ID_Hito").join(milestone_owners(), "ID_Hito")
+
     builders = {
         "clientes": lambda: extract_clientes(read, collation),
         "empleados": lambda: extract_empleados(read, projects()),
         "contratos": lambda: extract_contratos(read, collation),
         "proyectos": lambda: extract_proyectos(read, collation),
         "hitos": lambda: extract_hitos(read["hitos"], projects(), today),
-        "tareas": lambda: extract_tareas(read["tareas"], read["hitos"], projects()),
+        "tareas": lambda: extract_tareas(read["tareas"], milestone_owners()),
         "asignaciones": lambda: extract_asignaciones(read, projects()),
-        "pruebas": lambda: extract_pruebas(read["pruebas"], read["hitos"], projects()),
-        "errores": lambda: extract_errores(
-            read["errores"], read["tareas"], read["hitos"], projects()
-        ),
+        "pruebas": lambda: extract_pruebas(read["pruebas"], milestone_owners()),
+        "errores": lambda: extract_errores(read["errores"], task_owners()),
         "riesgos": lambda: scoped(read["riesgos"], projects()),
         "gastos": lambda: scoped(read["gastos"], projects()),
         "penalizaciones": lambda: extract_penalizaciones(read, collation),
     }
+    if stamp:
+        builders = {name: (lambda b=build: stamped(b())) for name, build in builders.items()}
     if keep:
         builders = {
             name: (lambda n=name, b=build: keep(b(), n)) for name, build in builders.items()
@@ -242,5 +252,8 @@ def unscoped_children(source: Source, extracts: Tables) -> Tables:
     For consumers that reduce every child to one row per project or contract first and join the
     scope afterwards: the scope join then moves the reduced rows only.
     """
-    children = ("hitos", "tareas", "asignaciones", "errores", "riesgos", "gastos", "penalizaciones")
+    children = (
+        "empleados", "hitos", "tareas", "asignaciones", "errores", "riesgos", "gastos",
+        "penalizaciones",
+    )
     return extracts.but(**{name: (lambda n=name: source[n]) for name in children})

@@ -17,7 +17,14 @@ from pyspark.sql import functions as F
 from starpipe.functions import columns as C
 from starpipe.functions.keys import dense_id
 from starpipe.functions.lookups import lookup
-from starpipe.operators.dims import calendar_key, known_projects, penalty_span, widened
+from starpipe.operators.dims import (
+    calendar_key,
+    known_projects,
+    penalties_by_contract,
+    penalty_span,
+    staff_days,
+    widened,
+)
 from starpipe.operators.extract import EXTRACTION_ORDER
 
 Extracts = Mapping[str, DataFrame]
@@ -38,21 +45,17 @@ def costs_by_project(expenses: DataFrame) -> DataFrame:
     )
 
 
-def penalties_by_contract(penalties: DataFrame) -> DataFrame:
-    return penalties.groupBy("ID_Contrato").agg(F.sum("Monto").alias("contract_penalty"))
-
-
 def first_risks(risks: DataFrame) -> DataFrame:
     return risks.groupBy("ID_Proyecto").agg(
         F.min_by("ID_Riesgo", F.struct("FechaRegistro", "ID_Riesgo")).alias("first_risk")
     )
 
 
-def staff_by_project(assignments: DataFrame) -> DataFrame:
-    return assignments.groupBy("ID_Proyecto").agg(
-        F.count_distinct("ID_Empleado").alias("staff"),
-        F.min("FechaAsignacion").alias("assigned_first"),
-        F.max("FechaAsignacion").alias("assigned_last"),
+def staff_by_project(t: Extracts) -> DataFrame:
+    return staff_days(t).groupBy("ID_Proyecto").agg(
+        F.count("ID_Empleado").alias("staff"),
+        F.min("first").alias("assigned_first"),
+        F.max("last").alias("assigned_last"),
     )
 
 
@@ -154,7 +157,7 @@ def schedule_by_project(t: Extracts) -> DataFrame:
 _PARTS: dict[str, Callable[[Extracts], DataFrame]] = {
     "costs": lambda t: costs_by_project(t["gastos"]),
     "risks": lambda t: first_risks(t["riesgos"]),
-    "staff": lambda t: staff_by_project(t["asignaciones"]),
+    "staff": staff_by_project,
     "milestones": milestones_by_project,
     "tasks": tasks_by_project,
     "defects": defects_by_project,
@@ -172,11 +175,10 @@ def project_rollup(t: Extracts, parts: Iterable[str] = ALL_PARTS) -> DataFrame:
         "FechaInicio",
         "FechaFin",
         "ValorTotalContrato",
-        "EstadoContrato",
     )
     if "penalties" in parts:
         # First, because the extracted projects are already spread by contract.
-        penalties = penalties_by_contract(t["penalizaciones"])
+        penalties = penalties_by_contract(t).select("ID_Contrato", "contract_penalty")
         rollup = rollup.join(penalties, "ID_Contrato", "left")
     for name in parts:
         if name != "penalties":
@@ -218,9 +220,7 @@ def _budget() -> Column:
 
 
 def _penalties() -> Column:
-    # Only closed contracts have their penalties extracted.
-    of_contract = F.when(C.is_closed(F.col("EstadoContrato")), F.col("contract_penalty"))
-    return _money("expense_penalty") + F.coalesce(of_contract, F.lit(0).cast(Money))
+    return _money("expense_penalty") + _money("contract_penalty")
 
 
 def _productivity() -> Column:

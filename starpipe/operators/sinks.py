@@ -1,15 +1,19 @@
 """Typed replace and append loads of the star.
 
-A load first writes every table to the shared folder. Only when all of them are complete are the
-targets replaced, parents before children, from those copies: a failing computation never leaves a
-half-new warehouse. An empty table leaves its target as it was.
+A Parquet warehouse is loaded by writing every table once into a new version folder and then adding
+one file to the list of what makes up each table: readers see the old star until all of the new one
+is there, and a failure at any point leaves the old one as it was. Other targets have no such switch;
+there every table is computed and written to the shared folder before the first target is replaced,
+parents before children. An empty table leaves its target as it was.
 """
 
 from __future__ import annotations
 
+import uuid
 from abc import ABC, abstractmethod
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -34,18 +38,73 @@ class Sink(ABC):
     @abstractmethod
     def read(self, spark: SparkSession, table: str) -> DataFrame: ...
 
+    def load(
+        self, tables: Mapping[str, DataFrame], tiers: Iterable[Iterable[str]], mode: str
+    ) -> dict[str, int]:
+        """Rows loaded by table; a tier starts when the one before it is loaded."""
+        staged = each(lambda name: materialise(tables[name], f"load-{name}"), tables)
+
+        def publish(name: str) -> int:
+            # Counting the written copy only reads Parquet footers.
+            rows = staged[name].count()
+            if rows:
+                self.write(staged[name], name, mode)
+            return rows
+
+        loaded: dict[str, int] = {}
+        for tier in tiers:
+            loaded.update(each(publish, [name for name in tier if name in tables]))
+        return loaded
+
+
+_PARTS_OF_TABLES = "load bigint, tabla string, carpeta string, modo string"
+
 
 class ParquetSink(Sink):
-    """``root/<table>`` directories."""
+    """``root/_versions/<load>/<table>`` folders, and in ``root/_tables`` which of them count."""
 
     def __init__(self, root: str):
         self.root = root.rstrip("/")
 
+    def _listed(self, spark: SparkSession) -> DataFrame:
+        try:
+            return spark.read.schema(_PARTS_OF_TABLES).parquet(f"{self.root}/_tables")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], _PARTS_OF_TABLES)
+
     def write(self, df: DataFrame, table: str, mode: str) -> None:
-        df.write.mode(_SAVE_MODE[mode]).parquet(f"{self.root}/{table}")
+        self.load({table: df}, ((table,),), mode)
+
+    def load(
+        self, tables: Mapping[str, DataFrame], tiers: Iterable[Iterable[str]], mode: str
+    ) -> dict[str, int]:
+        if not tables:
+            return {}
+        spark = next(iter(tables.values())).sparkSession
+        folder = f"{self.root}/_versions/{uuid.uuid4().hex}"
+
+        def put(name: str) -> int:
+            tables[name].write.parquet(f"{folder}/{name}")
+            return spark.read.schema(tables[name].schema).parquet(f"{folder}/{name}").count()
+
+        loaded = each(put, tables)
+        newest = self._listed(spark).agg(F.max("load")).first()[0] or 0
+        rows = [(newest + 1, n, f"{folder}/{n}", mode) for n, count in loaded.items() if count]
+        if rows:
+            # One file, which appears as a whole: all tables change at once.
+            listed = spark.createDataFrame(rows, _PARTS_OF_TABLES).coalesce(1)
+            listed.write.mode("append").parquet(f"{self.root}/_tables")
+        return loaded
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.schema(ddl(STAR[table])).parquet(f"{self.root}/{table}")
+        """The last replaced version and what was appended to it since."""
+        parts = self._listed(spark).where(F.col("tabla") == table).orderBy("load").collect()
+        if not parts:
+            raise ValueError(f"{table} was never loaded to {self.root}")
+        first = max((i for i, part in enumerate(parts) if part.modo == "replace"), default=0)
+        return spark.read.schema(ddl(STAR[table])).parquet(*[part.carpeta for part in parts[first:]])
 
 
 class CatalogSink(Sink):
@@ -64,10 +123,11 @@ class CatalogSink(Sink):
 class JdbcSink(Sink):
     """Tables of a database; a replace empties the table and keeps its definition.
 
-    At most ``connections`` tasks write at a time, each in batches of ``batch`` rows.
+    At most ``connections`` tasks write at a time, which is the database's limit to name, each in
+    batches of ``batch`` rows.
     """
 
-    def __init__(self, options: dict[str, str], batch: int = 1000, connections: int = 16):
+    def __init__(self, options: dict[str, str], connections: int, batch: int = 1000):
         self.options = {
             **options,
             "batchsize": str(batch),
@@ -84,14 +144,17 @@ class JdbcSink(Sink):
 
 
 def conformed(df: DataFrame, table: str, zero_to_null: bool = False) -> DataFrame:
-    """The target's columns and types; NaN and infinities have no decimal form and become null."""
+    """The target's columns and types.
+
+    Ratios that the target's type cannot hold, NaN, infinities and others too large for it, become
+    null; ``audits.unstorable`` counts them.
+    """
     nullable = NULLABLE_KEYS.get(table, ()) if zero_to_null else ()
 
     def column(name: str, kind: str) -> Column:
         value = F.col(name)
         if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
-            finite = ~F.isnan(value) & (F.abs(value) < float("inf"))
-            value = F.when(finite, value)
+            value = value.try_cast(kind)
         if name in nullable:
             value = F.nullif(value, F.lit(0))
         return value.cast(kind).alias(name)
@@ -113,20 +176,6 @@ def load_all(
 ) -> dict[str, int]:
     """Load the tables tier by tier; a table that is not given counts 0 rows."""
     tiers = [tuple(tier) for tier in tiers]
-
-    def stage(name: str) -> DataFrame:
-        return materialise(conformed(tables[name], name, zero_to_null), f"load-{name}")
-
-    staged = each(stage, [name for tier in tiers for name in tier if name in tables])
-
-    def publish(name: str) -> int:
-        # Counting the written copy only reads Parquet footers.
-        rows = staged[name].count() if name in staged else 0
-        if rows:
-            sink.write(staged[name], name, mode)
-        return rows
-
-    loaded: dict[str, int] = {}
-    for tier in tiers:
-        loaded.update(each(publish, tier))
-    return loaded
+    names = [name for tier in tiers for name in tier]
+    ready = {name: conformed(tables[name], name, zero_to_null) for name in names if name in tables}
+    return dict.fromkeys(names, 0) | sink.load(ready, tiers, mode)

@@ -7,11 +7,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 
+from starpipe.control.watermark import Watermark, utc_now
 from starpipe.operators.extract import extract_all
 from starpipe.operators.sinks import Sink, load_all
 from starpipe.plans.star import build_star
+from starpipe.session import check_settings
 from starpipe.sources.tables import Tables, each
-from starpipe.streaming.watermark import Watermark
 from starpipe.workspace import materialise
 
 
@@ -36,21 +37,34 @@ def run_pipeline(
     load: bool = True,
     as_of: Column | None = None,
     changed_column: str | None = None,
+    collation: str | None = None,
+    stamp: bool = False,
+    zero_to_null: bool = False,
     **star_options,
 ) -> Run | None:
     """Extract, build the star and load it; None when the source has nothing in scope.
 
     Each extract and the calendar are written once to the shared folder, so that the project scope
     is joined once and every later step scans only the columns it needs of the written copy.
-    An incremental run is a full extraction unless ``changed_column`` names a project column to
-    compare with the watermark. The watermark moves last, after everything else succeeded.
+    An incremental run is a full extraction, since a load replaces the star: surrogate keys are
+    dense over the whole of it. ``changed_column`` names a project column to compare with the
+    watermark for looking at what changed, and is refused together with a load, which would delete
+    everything unchanged. The watermark moves last, after a successful load, to the instant before
+    the first read. ``collation`` and ``stamp`` are those of ``extract_all``, ``zero_to_null`` that
+    of ``load_all``.
     """
     if load and sink is None:
         raise ValueError("a load needs a sink")
+    if load and changed_column:
+        raise ValueError("a load replaces the star; with changed_column it would lose what is unchanged")
+    check_settings(next(iter(source.values())).sparkSession)
+    started = utc_now()
     since = None
     if incremental and control and changed_column:
         since = (changed_column, control.current())
-    extracts = extract_all(source, as_of=as_of, since=since, keep=materialise)
+    extracts = extract_all(
+        source, as_of=as_of, collation=collation, since=since, keep=materialise, stamp=stamp
+    )
     extracted = each(lambda name: extracts[name].count(), extracts)
     if not any(extracted.values()):
         return None
@@ -58,9 +72,9 @@ def run_pipeline(
     star = build_star(extracts, keep=materialise, **star_options)
     run = Run(extracts, star, extracted)
     if load:
-        run.loaded = load_all(star, sink)
-    if incremental and control:
-        control.advance()
+        run.loaded = load_all(star, sink, zero_to_null=zero_to_null)
+        if incremental and control:
+            control.advance(started)
     return run
 
 

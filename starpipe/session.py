@@ -15,29 +15,39 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
     # Recording the Python line of every column costs a round trip each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-MB = 1 << 20
-TB = 1 << 40
+#: Source bytes that one shuffle partition stands for to begin with; adaptive execution merges
+#: smaller ones. Spark's own number is the least.
+BYTES_PER_PARTITION = 512 << 20
+LEAST_PARTITIONS = 200
+#: What results and costs depend on; ``run_pipeline`` insists on these.
+NEEDED = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
 
 
 def sized_for(source_bytes: int) -> dict[str, str]:
-    """Partitioning for a source of that size.
-
-    One shuffle partition per 512 MB of source to begin with, at least Spark's default and at most
-    50,000, beyond which the number of shuffle blocks costs more than smaller partitions save.
-    Above 10 TB, scans take 512 MB per task, so that 100 TB are 200,000 tasks and not 800,000.
-    """
-    partitions = min(max(source_bytes // (512 * MB), 200), 50_000)
-    settings = {
+    """Shuffle partitions for a source of that size, by one rule for all sizes."""
+    partitions = max(-(-source_bytes // BYTES_PER_PARTITION), LEAST_PARTITIONS)
+    return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
     }
-    if source_bytes > 10 * TB:
-        settings["spark.sql.files.maxPartitionBytes"] = "512m"
-    return settings
+
+
+def resize(spark: SparkSession, source_bytes: int) -> None:
+    """Give a running session the partitions for a source of that size."""
+    for key, value in sized_for(source_bytes).items():
+        spark.conf.set(key, value)
+
+
+def check_settings(spark: SparkSession) -> None:
+    """Raise if the session lacks a setting that keeps hot keys from landing in one task."""
+    missing = [key for key in NEEDED if spark.conf.get(key, "true").lower() != "true"]
+    if missing:
+        raise ValueError(f"the session must set to true: {', '.join(missing)}")
 
 
 def build_session(

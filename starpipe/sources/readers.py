@@ -30,6 +30,14 @@ def parquet_source(spark: SparkSession, root: str) -> Tables:
     )
 
 
+def folder_bytes(spark: SparkSession, root: str) -> int:
+    """Size of all files below a folder, as its store reports it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.getContentSummary(path).getLength()
+
+
 def catalog_source(spark: SparkSession, database: str) -> Tables:
     return _each(lambda name: typed(spark.table(f"{database}.{name}"), name))
 
@@ -60,12 +68,12 @@ def jdbc_source(
     spark: SparkSession,
     options: dict[str, str],
     bounds: dict[str, tuple[int, int]] | None = None,
-    partitions: int = 64,
+    keys_per_task: int = 1_000_000,
 ) -> Tables:
     """A database as source; ``options`` as for Spark's JDBC format (url, user, fetchsize...).
 
-    Every relation is read by ``partitions`` tasks, each a range of its primary key. ``bounds``
-    gives a relation's key range; where it is missing the database is asked for it (one row).
+    Every relation is read by ranges of ``keys_per_task`` primary keys, so the number of tasks grows
+    with the key range. ``bounds`` gives a relation's key range; where it is missing the database is asked for it (one row).
     Column lists and single-table filters are pushed into the database by Spark.
     """
 
@@ -80,7 +88,7 @@ def jdbc_source(
 
     def read(name: str) -> DataFrame:
         low, high = (bounds or {}).get(name) or key_range(name)
-        split = partition_options(name, low, high, partitions)
+        split = partition_options(name, low, high, -(-(high - low + 1) // keys_per_task))
         return typed(reader().options(**split).option("dbtable", name).load(), name)
 
     return _each(read)

@@ -2,26 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _RUN = uuid.uuid4().hex
-_own_folder: str | None = None
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a private one only in local mode."""
-    global _own_folder
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    """The folder named by ``spark.checkpoint.dir`` or set as the context's checkpoint folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    if _own_folder is None:
-        _own_folder = tempfile.mkdtemp(prefix="starpipe-")
-    return _own_folder
+    return folder.rstrip("/")
+
+
+def clear_run(spark: SparkSession) -> None:
+    """Delete what this process wrote to the shared folder; its DataFrames can't be read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/starpipe/{_RUN}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -31,8 +30,7 @@ def new_path(spark: SparkSession, label: str) -> str:
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts the lineage, survives lost executors, stays columnar.
 
-    The files outlive the session on purpose (a reader may still hold the DataFrame); expire the
-    folder as you expire Spark's own checkpoint files.
+    The files outlive the session (a reader may still hold the DataFrame) until ``clear_run``.
     """
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)

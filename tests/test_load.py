@@ -3,21 +3,23 @@ from __future__ import annotations
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from starpipe.__main__ import arguments, main
+from starpipe.control.watermark import HISTORY, INITIAL, Watermark, utc_now
 from starpipe.operators import audits, extract
 from starpipe.operators.sinks import CatalogSink, ParquetSink, conformed, load_all, load_table
 from starpipe.plans import pipeline
 from starpipe.plans.star import build_star
-from starpipe.schemas import LOAD_ORDER, SOURCE, STAR, primary_key
-from starpipe.session import MB, TB, sized_for
+from starpipe.schemas import LOAD_ORDER, LOAD_TIERS, SOURCE, STAR, primary_key
+from starpipe.session import check_settings, sized_for
 from starpipe.sources.readers import (
     catalog_source,
+    folder_bytes,
     frame_source,
     parquet_source,
     partition_options,
 )
-from starpipe.streaming.watermark import HISTORY, INITIAL, Watermark
 from starpipe.workspace import materialise, shared_folder
 from tests.world import WORLD, by_key, frames, rows
 
@@ -39,12 +41,29 @@ def test_shared_folder_comes_from_the_session(spark):
 
 
 def test_partitioning_follows_the_source_size():
+    MB, TB = 1 << 20, 1 << 40
     small, large = sized_for(10 * MB), sized_for(100 * TB)
     assert small["spark.sql.shuffle.partitions"] == "200"
-    assert "spark.sql.files.maxPartitionBytes" not in small
     assert sized_for(TB)["spark.sql.shuffle.partitions"] == "2048"
-    assert large["spark.sql.shuffle.partitions"] == "50000"
-    assert large["spark.sql.files.maxPartitionBytes"] == "512m"
+    assert large["spark.sql.shuffle.partitions"] == "204800"
+    assert set(small) == set(large)
+
+
+def test_folder_size_is_measured(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x").write_bytes(b"12345")
+    (tmp_path / "y").write_bytes(b"123")
+    assert folder_bytes(spark, str(tmp_path)) == 8
+
+
+def test_needed_settings_are_checked(spark):
+    check_settings(spark)
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="skewJoin"):
+            check_settings(spark)
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
 
 
 def test_replace_append_and_empty(spark, star, sink):
@@ -170,17 +189,70 @@ def test_watermark(spark, tmp_path):
 
 def test_run_loads_and_then_moves_the_watermark(spark, world, sink, tmp_path):
     control = Watermark(spark, str(tmp_path / "control"))
+    before = utc_now()
     run = pipeline.run_pipeline(world, sink, control)
     assert set(run.extracted) == set(SOURCE) and run.extracted["proyectos"] == 5
     assert run.loaded["dim_proyectos"] == 4
-    assert control.current() != INITIAL
+    assert before <= control.current() <= utc_now()
     assert run.preview()["dim_tiempo"].count() == 3
     assert rows(sink.read(spark, "dim_proyectos")) == rows(run.star["dim_proyectos"])
 
 
+def test_watermark_is_the_instant_before_the_first_read(spark, world, sink, tmp_path, monkeypatch):
+    """Rows changed while a run takes its time lie after the watermark."""
+    control, instants = Watermark(spark, str(tmp_path / "control")), iter(["2024-05-01 10:00:00"])
+    monkeypatch.setattr(pipeline, "utc_now", lambda: next(instants))
+    pipeline.run_pipeline(world, sink, control)
+    assert control.current() == "2024-05-01 10:00:00"
+
+
+def test_run_without_load_keeps_the_watermark(spark, world, tmp_path):
+    control = Watermark(spark, str(tmp_path / "control"))
+    assert pipeline.run_extract_transform(world, control=control) is not None
+    assert control.current() == INITIAL
+
+
+def test_load_refuses_a_restricted_extraction(spark, world, sink, tmp_path):
+    control = Watermark(spark, str(tmp_path / "control"))
+    with pytest.raises(ValueError, match="lose"):
+        pipeline.run_pipeline(world, sink, control, changed_column="FechaFin")
+
+
+def test_options_reach_extraction_and_sink(spark, sink):
+    shouting = frames(spark, WORLD)
+    for name in ("contratos", "proyectos"):
+        shouting[name] = shouting[name].withColumn("Estado", F.upper("Estado"))
+    run = pipeline.run_pipeline(
+        frame_source(shouting), sink, collation="UNICODE_CI_AI", stamp=True, zero_to_null=True
+    )
+    assert all("fecha_extraccion" in run.extracts[name].columns for name in SOURCE)
+    assert by_key(sink.read(spark, "hechos_proyectos"), "ID_Proyecto")[101]["ID_Finanza"] is None
+    assert run.loaded["hechos_proyectos"] == 4
+
+
+@pytest.mark.parametrize("tier", [0, 1, 2])
+def test_failure_in_any_tier_leaves_the_old_star(spark, star, sink, tier):
+    tables = {name: star[name] for name in LOAD_ORDER}
+    load_all(tables, sink)
+    broken = LOAD_TIERS[tier][0]
+    fails = star[broken].withColumn(star[broken].columns[-1], F.raise_error(F.lit("broken")))
+    shorter = {name: df.limit(1) for name, df in tables.items()}
+    with pytest.raises(Exception, match="broken"):
+        load_all({**shorter, broken: fails}, sink)
+    assert sink.read(spark, "hechos_proyectos").count() == 4
+    assert sink.read(spark, "dim_clientes").count() == 2
+
+
+def test_huge_ratio_loads_and_is_counted(star):
+    fact = star["hechos_proyectos"].withColumn("ProporcionCAPEX_OPEX", F.lit(1e12))
+    stored = conformed(fact, "hechos_proyectos")
+    assert stored.where("ProporcionCAPEX_OPEX IS NULL").count() == 4
+    assert audits.unstorable(fact, stored, "ProporcionCAPEX_OPEX").first().valores == 4
+
+
 def test_failed_run_keeps_the_watermark(spark, world, tmp_path):
     class Broken(ParquetSink):
-        def write(self, df, table, mode):
+        def load(self, tables, tiers, mode):
             raise OSError("disk full")
 
     control = Watermark(spark, str(tmp_path / "control"))
@@ -218,9 +290,13 @@ def test_job_flags(spark, tmp_path, capsys, monkeypatch):
         df.write.parquet(str(tmp_path / "src" / name))
     folders = ["--source", str(tmp_path / "src"), "--target", str(tmp_path / "dw"),
                "--control", str(tmp_path / "control")]
+    sizes, cleared = [], []
     monkeypatch.setattr("starpipe.__main__.build_session", lambda **_: spark)
+    monkeypatch.setattr("starpipe.__main__.resize", lambda _, size: sizes.append(size))
+    monkeypatch.setattr("starpipe.__main__.clear_run", cleared.append)
     main([*folders, "--full-load"])
     assert "hechos_proyectos: 4" in capsys.readouterr().out
+    assert sizes[0] > 0 and len(cleared) == 1
     main([*folders, "--status"])
     assert INITIAL in capsys.readouterr().out
     with pytest.raises(SystemExit):

@@ -8,6 +8,7 @@ from starpipe.operators import extract, facts
 from starpipe.plans.star import build_star
 from starpipe.schemas import LOAD_ORDER
 from starpipe.sources.readers import parquet_source
+from starpipe.workspace import materialise
 from tests.world import WORLD, frames, rows
 
 
@@ -60,6 +61,17 @@ def test_large_joins_shuffle_and_results_stay_the_same(stored, no_broadcast):
     assert rows(star["dim_riesgos"]) == [(4, 0, 0), (5, 1, 1), (6, 1, 2), (7, 2, 1)]
 
 
+@pytest.mark.parametrize("name", ["tareas", "pruebas", "errores"])
+def test_children_join_the_written_scope_once(stored, no_broadcast, name):
+    x = extract.extract_all(stored, keep=materialise)
+    owners = {"errores": ("tareas", ["ID_Tarea", "ID_Hito", "ID_Proyecto"])}
+    parent, columns = owners.get(name, ("hitos", ["ID_Hito", "ID_Proyecto"]))
+    build = getattr(extract, f"extract_{name}")
+    plan = plan_of(build(stored[name], x[parent].select(*columns)))
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("SortMergeJoin") == 1
+    assert rows(x[name]) == rows(extract.extract_all(stored)[name])
+
+
 def test_no_plan_multiplies_rows_or_leaves_the_jvm(stored):
     star = build_star(extract.extract_all(stored))
     for name in LOAD_ORDER:

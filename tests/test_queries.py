@@ -1,8 +1,4 @@
-"""Registered queries against their SQL on the smallest given tables.
-
-A selection by default; STARPIPE_ALL_QUERIES=1 runs every one (``python -m checks.compare`` does
-the same at any scale).
-"""
+"""Registered queries against their SQL on the smallest given tables."""
 
 from __future__ import annotations
 
@@ -14,26 +10,6 @@ from checks import oracles, registry
 from checks.compare import database, difference, spark_rows, sql_rows, suspects
 
 SF_DIR = "/root/testdata/sf0.001"
-SELECTED = (
-    "x02_empleados",
-    "x04_proyectos",
-    "x05_hitos",
-    "x07_asignaciones",
-    "x09_errores",
-    "x12_penalizaciones",
-    "w1_dense_id",
-    "d03_dim_proyectos",
-    "d04_dim_tiempo_recent",
-    "d06_dim_hitos_recent",
-    "d09_dim_finanzas",
-    "d12_dim_riesgos",
-    "d13_hechos_proyectos",
-    "d14_hechos_asignaciones",
-    "l5_fk_audit",
-    "q1_rentabilidad",
-    "q8_coste_hora",
-)
-
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="given tables are missing")
 
 
@@ -46,9 +22,7 @@ def test_every_query_has_sql():
     assert set(registry.QUERIES) == set(oracles.all_sql())
 
 
-@pytest.mark.parametrize(
-    "name", list(registry.QUERIES) if os.environ.get("STARPIPE_ALL_QUERIES") else SELECTED
-)
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query_equals_sql(spark, con, name):
     df = registry.QUERIES[name](spark, SF_DIR)
     assert difference(spark_rows(df), sql_rows(con, oracles.all_sql()[name])) is None

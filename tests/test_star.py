@@ -214,6 +214,28 @@ def test_reducing_the_source_equals_reducing_the_extracts(world, x, star):
         assert rows(reduced[name]) == rows(star[name])
 
 
+def test_unknown_employee_counts_on_neither_path(spark):
+    late = date(2033, 1, 1)
+    extra = {**WORLD, "asignaciones": [*WORLD["asignaciones"], (99, 103, 77, Decimal(1), Decimal(1), late)]}
+    source = frame_source({n: materialise(df, n) for n, df in frames(spark, extra).items()})
+    x = extract.extract_all(source)
+    star, reduced = build_star(x), build_star(x, fact_inputs=extract.unscoped_children(source, x))
+    assert by_key(reduced["hechos_proyectos"], "ID_Proyecto")[103]["ProductividadPromedio"] == Decimal("30.00")
+    for name in ("dim_tiempo", "hechos_proyectos"):
+        assert rows(reduced[name]) == rows(star[name])
+
+
+def test_collation_reaches_the_penalties(spark, star):
+    shouting = frames(spark, WORLD)
+    for name in ("contratos", "proyectos"):
+        shouting[name] = shouting[name].withColumn("Estado", F.upper("Estado"))
+    source = frame_source({n: materialise(df, n) for n, df in shouting.items()})
+    x = extract.extract_all(source, collation="UNICODE_CI_AI")
+    for inputs in (None, extract.unscoped_children(source, x)):
+        fact = build_star(x, fact_inputs=inputs)["hechos_proyectos"]
+        assert rows(fact) == rows(star["hechos_proyectos"])
+
+
 def test_calendar_from_rollup_equals_calendar_from_dates(x, star):
     kept = build_star(x, keep=lambda df, name: df)
     assert rows(kept["dim_tiempo"]) == rows(star["dim_tiempo"])
