@@ -8,18 +8,20 @@ there. Sets that differ at a position are in different lists, so whole blocks of
 index are skipped without being read, and passages that many documents share do not bring these
 together: a list holds only sets that agree in all elements of a position.
 
-Positions that are empty in both sets agree for nothing. The number of positions therefore exceeds
-H(U) + 1 by a slack; a set with more empty positions than that enters the lists of its empty
-positions, too. So one of two linked sets, at least, shares a list with the other that is not
-empty, or both are in a list of empty ones: no link is lost.
+Positions that hold one element or none agree too easily. The number of positions therefore exceeds
+H(U) + 1 by a slack, and a set enters the lists of its larger positions only; one with more small
+positions than the slack enters those of the small ones, too. So two linked sets share a list of a
+larger position, or both are in all their lists: no link is lost.
 
 **Answers from answers.** Equal sets are one class. In each list only the smallest member, its
 leader, is compared with the others. Sets linked with the same leader are in one component, and
-nothing more is asked of them. For lists that still hold several components the comparisons with
-the leader decide which other pairs can link at all: Jaccard distance is a metric, so if two
-members' distances from the leader differ by more than the threshold's, the pair is skipped. Members
-are put into blocks by that distance; only equal or adjacent blocks of different components are
-compared.
+nothing more is asked of them. In lists that still hold several components, pairs across components
+are left, and the answers for the leader skip those that cannot link: Jaccard distance is a metric,
+so two members whose distances from the leader differ by more than the threshold's are no pair.
+
+A set also carries the parities of its elements in 64 parts of the hash range. A difference of k
+elements changes at most k of them, so pairs whose parities differ in more than H(U) are skipped
+before any set is read, in all of these steps.
 """
 
 from __future__ import annotations
@@ -42,6 +44,7 @@ PERCENT = 85
 #: Words whose hashes a task remembers; a full memory is emptied.
 CACHED_WORDS = 500_000
 BATCH_ROWS = 100_000
+_NEAR = "bit_count({0} ^ {1}) <= {2}"
 #: Comparisons with one leader that one task makes at most, on average.
 LEADER_ROWS = 2_000
 #: 64-bit words of the filter of document ids (1 MB, whatever the corpus).
@@ -107,31 +110,34 @@ class Bands:
         return int(np.searchsorted(self.first, size, side="right")) - 1
 
     @lru_cache(maxsize=None)  # noqa: B019  one object a task, some hundred bands
-    def positions(self, band: int) -> tuple[int, int]:
-        """Number of positions, and how many of them may be empty without a list."""
+    def positions(self, band: int) -> tuple[int, int, int]:
+        """Number of positions, how many small ones need no list, most elements that differ."""
         last = self.first[band + 1] - 1
         bound = difference_bound(last * 100 // self.percent, last, self.percent)
-        slack = bound // 30 + 3 if bound else 0
-        return bound + 1 + slack, slack
+        slack = bound * 15 // 100 + 3 if bound else 0
+        return bound + 1 + slack, slack, bound
 
-    def lists(self, hashes: np.ndarray) -> np.ndarray:
-        """The names of the lists that a set enters."""
+    def lists(self, hashes: np.ndarray) -> list[tuple[np.ndarray, int]]:
+        """The names of the lists that a set enters, with the most that two linked sets differ by."""
         own = self.of(len(hashes))
-        names = [self._names(hashes, own)]
+        bands = [own]
         if own and 100 * (self.first[own] - 1) >= self.percent * len(hashes):
-            names.append(self._names(hashes, own - 1))
-        return np.concatenate(names)
+            bands.append(own - 1)
+        return [(self._names(hashes, band), self.positions(band)[2]) for band in bands]
 
     def _names(self, hashes: np.ndarray, band: int) -> np.ndarray:
-        count, slack = self.positions(band)
+        count, slack, _ = self.positions(band)
         at = ((hashes >> _S32) * np.uint64(count)) >> _S32
         starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         content = np.add.reduceat(_mix(hashes + _M1), starts)
         position = at[starts]
-        if count - len(starts) > slack:
+        large = np.diff(starts, append=len(hashes)) > 1
+        if count - large.sum() > slack and count > 1:
             empty = np.setdiff1d(np.arange(count, dtype=np.uint64), position)
             position = np.concatenate((position, empty))
             content = np.concatenate((content, np.zeros(len(empty), np.uint64)))
+        elif count > 1:
+            position, content = position[large], content[large]
         return _mix(content + _mix(position + (np.uint64(band) << _S32)))
 
 
@@ -152,14 +158,13 @@ def _heads(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordB
 
 def _lists(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
     shingles, bands = Shingles(words), Bands(percent)
-    ids: list[np.ndarray] = []
-    names: list[np.ndarray] = []
+    held: list[tuple[np.ndarray, ...]] = []
     rows = 0
 
     def batch() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(names).view(np.int64)), pa.array(np.concatenate(ids))],
-            names=["list", "doc_id"],
+            [pa.array(np.concatenate(column)) for column in zip(*held)],
+            names=["list", "doc_id", "sketch", "bound"],
         )
 
     for doc_ids, texts in columns(batches):
@@ -167,16 +172,25 @@ def _lists(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Itera
             hashes = shingles(text)
             if not len(hashes):
                 continue
-            names.append(bands.lists(hashes))
-            ids.append(np.full(len(names[-1]), doc_id, np.int64))
-            rows += len(names[-1])
+            parities = _parities(hashes)
+            for names, bound in bands.lists(hashes):
+                size = len(names)
+                held.append((names.view(np.int64), np.full(size, doc_id, np.int64),
+                             np.full(size, parities, np.int64), np.full(size, bound, np.int32)))
+                rows += size
             if rows >= BATCH_ROWS:
                 yield batch()
-                ids, names, rows = [], [], 0
+                held, rows = [], 0
     if rows:
         yield batch()
 
 
+def _parities(hashes: np.ndarray) -> np.int64:
+    """A bit for each 64th of the hash range: whether it has an odd number of elements."""
+    odd = np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=64) & 1
+    return (odd.astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(dtype=np.uint64).astype(np.int64)
+
+
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     shingles = Shingles(words)
     for batch in batches:
@@ -257,24 +271,36 @@ class Join:
         )
 
     def lists(self, heads: DataFrame) -> DataFrame:
-        """(list, doc_id, leader, n) for every representative in a list but its leader, the
-        smallest. Lists with the same members are one, which stands for n of them."""
+        """A row for every representative in a list but its leader, the smallest: list, doc_id,
+        sketch, bound, leader, whether it is near the leader by their sketches, and n, for lists with
+        the same members are one."""
         words, percent = self.words, self.percent
         full = heads.where("doc_id IS NOT NULL AND n_shingles > 0")
         own, others = _split(self.docs, full.where("doc_id <> rep").select("doc_id"))
         reps = full.where("doc_id = rep").select("doc_id").distinct()
         chosen = own.union(others.join(reps, "doc_id", "left_semi").select("doc_id", "text"))
         entries = chosen.mapInArrow(
-            lambda batches: _lists(batches, words, percent), "list long, doc_id long"
+            lambda batches: _lists(batches, words, percent),
+            "list long, doc_id long, sketch long, bound int",
         )
         members = "OVER (PARTITION BY list)"
         led = entries.select(
             "doc_id",
-            F.expr(f"min(doc_id) {members}").alias("leader"),
+            "sketch",
+            "bound",
+            F.expr(f"min(struct(doc_id, sketch)) {members}").alias("first"),
             F.expr(f"bit_xor(xxhash64(doc_id)) {members}").alias("list"),
         )
+        rest = led.where("doc_id <> first.doc_id").withColumns(
+            {"leader": F.col("first.doc_id"), "near": F.expr(_NEAR.format("sketch", "first.sketch", "bound"))}
+        )
         return cut(
-            led.where("doc_id <> leader").groupBy("list", "doc_id", "leader").agg(F.count("*").alias("n")),
+            rest.groupBy("list", "doc_id", "leader").agg(
+                F.max("sketch").alias("sketch"),
+                F.max("bound").alias("bound"),
+                F.bool_or("near").alias("near"),
+                F.count("*").alias("n"),
+            ),
             "lists",
         )
 
@@ -363,13 +389,13 @@ def _links(join: Join, full: DataFrame, lists: DataFrame, percent: int) -> DataF
     compared = first.union(second)
     links = repeated.union(compared.where(link).select("a", "b"))
     labels = components(links)
-    third = _verified(_block_pairs(lists, labels, compared, sets, percent), sets)
+    third = _verified(_cross_pairs(lists, labels, compared, percent), sets)
     return links.union(third.where(link).select("a", "b"))
 
 
 def _leader_pairs(lists: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """(a, b, lists): leaders and members, where sizes allow a link, and how many lists they share."""
-    shared = lists.groupBy(F.col("leader").alias("a"), F.col("doc_id").alias("b")).agg(
+    shared = lists.where("near").groupBy(F.col("leader").alias("a"), F.col("doc_id").alias("b")).agg(
         F.sum("n").alias("lists")
     )
     leader = sizes.select(F.col("doc_id").alias("a"), F.col("least").alias("l"), F.col("most").alias("m"))
@@ -389,47 +415,37 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.where("ca <> cb").select("a", "b")
 
 
-def _block_pairs(
-    lists: DataFrame,
-    labels: DataFrame,
-    compared: DataFrame,
-    sets: DataFrame,
-    percent: int,
-) -> DataFrame:
-    """Pairs of members, other than with the leader, that may link across components."""
+def _cross_pairs(lists: DataFrame, labels: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of a list, other than with the leader, that may link across components."""
     entries = _labelled(
-        _labelled(lists.select("list", F.col("doc_id").alias("x"), F.col("leader").alias("y")), labels, "x", "cx"),
-        labels,
-        "y",
-        "cy",
+        _labelled(lists.withColumnsRenamed({"doc_id": "x", "leader": "y"}), labels, "x", "cx"), labels, "y", "cy"
     )
     # Lists with a member outside the leader's component, and another member beside it.
-    open_lists = (
+    several = (
         entries.groupBy("list")
-        .agg(F.max(F.expr("cx <> cy")).alias("open"), F.count("*").alias("n"))
-        .where("open AND n > 1")
+        .agg(F.min("cx").alias("low"), F.max("cx").alias("high"))
+        .where("low <> high")
         .select("list")
     )
-    entries = cut(entries.join(open_lists, "list", "left_semi"), "open")
-    asked = entries.select(F.col("y").alias("a"), F.col("x").alias("b")).distinct()
-    known = compared.union(_verified(asked.join(compared, ["a", "b"], "left_anti"), sets))
-    apart = 1 - F.col("shared") / F.col("union")
     # Slightly wider than the threshold's distance, against rounding.
     width = (100 - percent) / 100 + 1e-9
-    measured = (
-        entries.withColumns({"a": F.col("y"), "b": F.col("x")})
-        .join(known, ["a", "b"])
-        .select("list", "x", "cx", apart.alias("d"), F.floor(apart / width).alias("block"))
+    distances = compared.select(
+        F.col("a").alias("y"), F.col("b").alias("x"), (1 - F.col("shared") / F.col("union")).alias("d")
     )
-    left = measured.withColumn("block", F.explode(F.array("block", F.col("block") + 1)))
-    right = measured.select(
-        "list", "block", F.col("x").alias("z"), F.col("cx").alias("cz"), F.col("d").alias("e")
+    left = (
+        entries.join(several, "list", "left_semi")
+        .join(distances, ["x", "y"], "left")
+        .select("list", "x", "cx", "sketch", "bound", "d")
     )
-    pairs = left.join(right, ["list", "block"]).where(
-        (F.col("cx") != F.col("cz")) & (F.col("x") != F.col("z")) & (F.abs(F.col("d") - F.col("e")) <= width)
+    left = cut(left, "open")
+    right = left.select(
+        "list", F.col("x").alias("z"), F.col("cx").alias("cz"), F.col("sketch").alias("other"), F.col("d").alias("e")
     )
-    found = pairs.select(F.least("x", "z").alias("a"), F.greatest("x", "z").alias("b")).distinct()
-    return cut(found.join(known, ["a", "b"], "left_anti"), "blocks")
+    near = F.expr(_NEAR.format("sketch", "other", "bound"))
+    apart = F.coalesce(F.abs(F.col("d") - F.col("e")) <= width, F.lit(True))
+    across = (F.col("x") < F.col("z")) & (F.col("cx") != F.col("cz"))
+    found = left.join(right, "list").where(across & near & apart)
+    return cut(found.select(F.col("x").alias("a"), F.col("z").alias("b")).distinct(), "cross")
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
