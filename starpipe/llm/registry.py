@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starpipe.llm import url_filter
+from starpipe.llm import oracles, url_filter
 from starpipe.llm.common import read_table
 from starpipe.workspace import new_path
 
 
-
+#: Both texts of conversation -1.
+SAID = "</s>[INST] ok [/INST]"
 #: The secret of the registered queries; a real run passes its own.
 SECRET = "registered-query"
 
@@ -38,10 +39,9 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starpipe.llm.chat import Template, conversations, replies_of_turns
 
-    said = "</s>[INST] ok [/INST]"
     given = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.sql(
-        f"SELECT -1L AS conv_id, turn, role, '{said}' AS text "
+        f"SELECT -1L AS conv_id, turn, role, '{SAID}' AS text "
         "FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"
     )
     template = Template()
@@ -127,5 +127,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
-    "op2_url_filters": url_filter.oracle(),
+    "op2_url_filters": oracles.url_filters(),
+    "op3_chat": oracles.chat(SAID),
+    "op4_set_join": oracles.set_join(),
+    "op8_vectors": oracles.vectors(),
 }

@@ -133,36 +133,3 @@ def judge_urls(
         *[F.col(f"`{c}`") for c in carry], *[column.alias(name) for name, column in weighed.items()]
     ).withColumn("verdict", F.coalesce(*by_rule, by_words))
 
-
-def oracle(rules: Mapping[str, str] = RULES, vocabulary: Mapping[str, int] = VOCABULARY) -> str:
-    """The same judgement of the pages table in SQL."""
-    lower = f"translate(coalesce(url, ''), '{UPPER}', '{UPPER.lower()}')"
-    fitting = []
-    for rule, verdict in rules.items():
-        at, _, start = rule.partition("/")
-        fitting.append(
-            f"SELECT '{rule}' AS rule, '{verdict}' AS verdict, '{at}' AS at, '/{start}' AS start"
-        )
-    terms = " + ".join(
-        f"CASE WHEN regexp_matches({lower}, "
-        f"'(^|[^a-z0-9]){term}($|[^a-z0-9])') THEN {weight} ELSE 0 END"
-        for term, weight in vocabulary.items()
-    )
-    return f"""
-WITH rules AS ({' UNION ALL '.join(fitting)}),
-parts AS (
-  SELECT page_id, url,
-    translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), '{UPPER}', '{UPPER.lower()}') AS host,
-    regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path,
-    CAST({terms} AS BIGINT) AS term_weight
-  FROM pages
-),
-best AS (
-  SELECT p.*, (SELECT max_by(r.rule, length(r.rule)) FROM rules r
-    WHERE (p.host = r.at OR ends_with(p.host, '.' || r.at)) AND starts_with(p.path, r.start)) AS rule
-  FROM parts p
-)
-SELECT b.page_id, b.host, b.path, b.rule, b.term_weight,
-  coalesce(r.verdict, CASE WHEN b.term_weight >= {THRESHOLD} THEN '{BLOCK}' ELSE '{ALLOW}' END) AS verdict
-FROM best b LEFT JOIN rules r ON r.rule = b.rule
-"""

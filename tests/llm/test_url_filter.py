@@ -1,7 +1,8 @@
 import duckdb
 import pytest
 
-from starpipe.llm.url_filter import RULES, Vocabulary, judge_urls, oracle
+from starpipe.llm.oracles import url_filters
+from starpipe.llm.url_filter import RULES, Vocabulary, judge_urls
 
 URLS = [
     None, "", "no scheme", "://", "http://", "HTTP://A.Example.NET/EN/x", "http://a.example.net/en/x",
@@ -19,7 +20,7 @@ def test_agrees_with_sql(make):
     pages = make(rows, "page_id long, url string, host string").toPandas()
     db = duckdb.connect()
     db.register("pages", pages)
-    want = db.sql(oracle()).df()
+    want = db.sql(url_filters()).df()
     columns = sorted(got.columns)
 
     def plain(frame):
