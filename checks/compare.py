@@ -2,7 +2,8 @@
 
     python -m checks.compare [sf_dir] [name-prefix ...]
 
-Also names physical operators that do not scale, should one appear in an executed plan.
+Also names physical operators that do not scale, should one appear in an executed plan. Whole results
+are collected to compare them: a tool for small tables, not part of the library.
 """
 
 from __future__ import annotations
