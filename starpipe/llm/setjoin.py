@@ -358,24 +358,22 @@ def similar_sets(
     )
     heads = join.heads()
     full = heads.where("doc_id IS NOT NULL AND n_shingles > 0")
-    links = _links(join, full, join.lists(heads), percent)
-    labels = components(links)
+    labels = _labels(join, full, join.lists(heads), percent)
     found = heads.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     return found.select(
         "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")
     )
 
 
-def _links(join: Join, full: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b) between representatives, enough to connect whatever is connected."""
+def _labels(join: Join, full: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of the representatives that are linked with others."""
     same_id = full.groupBy("doc_id").agg(F.min("rep").alias("a"))
     repeated = full.join(same_id, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b"))
     sizes = full.where("doc_id = rep").groupBy("doc_id").agg(
         F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most")
     )
     pairs = cut(_leader_pairs(lists, sizes, percent), "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = join.sets(ids)
+    sets = join.sets(_ids(pairs))
 
     link = F.expr(f"100 * shared >= {percent} * union")
     # Each set is compared with the leader it shares most lists with; then with the other leaders,
@@ -384,13 +382,21 @@ def _links(join: Join, full: DataFrame, lists: DataFrame, percent: int) -> DataF
     first = _verified(best, sets)
     links = repeated.union(first.where(link).select("a", "b"))
     labels = components(links)
-    rest = _apart(pairs.join(first, ["a", "b"], "left_anti").select("a", "b"), labels)
-    second = _verified(rest, sets)
-    compared = first.union(second)
-    links = repeated.union(compared.where(link).select("a", "b"))
-    labels = components(links)
-    third = _verified(_cross_pairs(lists, labels, compared, percent), sets)
-    return links.union(third.where(link).select("a", "b"))
+    rest = cut(_apart(pairs.join(first, ["a", "b"], "left_anti").select("a", "b"), labels), "rest")
+    compared = first
+    if not rest.isEmpty():
+        compared = first.union(_verified(rest, sets))
+        links = repeated.union(compared.where(link).select("a", "b"))
+        labels = components(links)
+    cross = _cross_pairs(lists, labels, compared, percent)
+    if cross.isEmpty():
+        return labels
+    third = _verified(cross, join.sets(_ids(cross)))
+    return components(links.union(third.where(link).select("a", "b")))
+
+
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
 
 
 def _leader_pairs(lists: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
