@@ -29,11 +29,6 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return materialise(df, f"llm-{label}")
 
 
-def in_memory(df: DataFrame, schema: str) -> DataFrame:
-    """An empty frame of the given schema in the session of ``df``."""
-    return df.sparkSession.createDataFrame([], schema)
-
-
 def columns(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, ...]]:
     """The columns of each non-empty batch as Python lists."""
     for batch in batches:

@@ -6,10 +6,10 @@
    one put a text into one of few bins, and the labels in a bin give the bin's posterior, so that
    probabilities mean shares and texts without any such word are a bin of their own.
 2. Every document gets a posterior for each domain and its number of tokens, row by row.
-3. Rates r >= 0, at most ``max_rate``, are fitted by projected gradient steps so that the expected tokens of each domain,
-   the sum of rate * tokens * posterior, match the targets in the least-squares sense. A step needs
-   one number per domain from the whole corpus; the rates themselves never leave the table, since a
-   document's rate is a function of its posterior and the gradients so far.
+3. Rates r >= 0, at most ``max_rate``, are fitted by projected gradient steps so that the expected
+   tokens of each domain, the sum of rate * tokens * posterior, match the targets in the
+   least-squares sense. A step needs one number per domain from the whole corpus; the rates never
+   leave the table, since a document's rate is a function of its posterior and the gradients so far.
 4. A document's rate becomes a whole number of copies by rounding with a draw from its doc_id.
 """
 
@@ -29,8 +29,8 @@ from starpipe.llm.common import cut
 SAMPLE = 20_000
 #: Words of the model.
 VOCABULARY = 256
-#: A word counts if so large a part of a domain's labelled documents, and so many, have it, if that part is so many times the
-#: part elsewhere, and if the two differ by so many standard errors.
+#: A word counts if so large a part of a domain's labelled documents, and so many, have it, if that
+#: part is so many times the part elsewhere, and if the two differ by so many standard errors.
 LEAST_SHARE = 0.02
 LEAST_DOCS = 10
 LEAST_LIFT = 4.0

@@ -280,9 +280,10 @@ def pack(
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    Null and empty texts give one piece, the closing id. Rows that repeat a doc_id, or have none,
-    are documents of their own. ``tokenizer`` and ``ranks`` are files that every executor has. An empty table gives no piece. Other columns are ignored. A text is
-    encoded whole; the longest one must fit into a Python worker's memory.
+    ``tokenizer`` and ``ranks`` are files that every executor has. Null and empty texts give one
+    piece, the closing id. Rows that repeat a doc_id, or have none, are documents of their own. An
+    empty table gives no piece. Other columns are ignored. A text is encoded whole; the longest one
+    must fit into a Python worker's memory.
     """
     source = docs.select(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`").cast("string"))
     pieces = cut(
@@ -295,8 +296,10 @@ def pack(
         counts[row["length"]] = row["n"]
     where = slots(plan(counts, window)) if histogram else Slots(*[np.zeros(1, np.int64)] * 3)
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = by_part.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    ranked = pieces.join(offsets, ["part", "length"]).withColumn("rank", F.col("nth") + F.col("before"))
+    earlier = F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
+    offsets = by_part.select("part", "length", earlier)
+    rank = F.col("nth") + F.col("before")
+    ranked = pieces.join(offsets, ["part", "length"]).withColumn("rank", rank)
     return ranked.mapInArrow(
         lambda batches: _place(batches, where),
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "

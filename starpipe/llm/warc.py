@@ -222,8 +222,8 @@ def read_chunks(spark: SparkSession, path: str, token: str) -> DataFrame:
     """The chunk table of the archives in ``path``: a row for each record, as in ``CHUNKS``.
 
     ``origin`` names the first record of a payload, ``source`` the row it was written for (rows that
-    repeat a page have one origin), ``number`` counts its chunks from 1; digest and length are those of the whole payload. ``intact`` tells whether the block is what its own
-    digest says.
+    repeat a page have one origin), ``number`` counts its chunks from 1; digest and length are those
+    of the whole payload. ``intact`` tells whether the block is what its own digest says.
     """
     start = f"{VERSION}\r\n{_TOKEN}: {token}\r\n"
     lines = spark.read.option("lineSep", start).text(path).where("length(value) > 0")
