@@ -12,6 +12,7 @@ import datetime
 import decimal
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -84,7 +85,11 @@ def main() -> int:
     prefixes = tuple(sys.argv[2:]) or ("",)
     spark = build_session(
         f"local[{os.environ.get('BENCH_CPUS', '8')}]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"},
+        **{
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="starpipe-compare-"),
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = database(sf_dir)
