@@ -81,7 +81,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = new_path(spark, "archives")
     token = write_archives(read_table(spark, sf_dir, "pages"), path)
-    return payloads(read_chunks(spark, path, token))
+    return payloads(read_chunks(spark, path, token, blocks=False))
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -179,7 +179,7 @@ def _number(value: str | None) -> int | None:
     return None if value is None else int(value)
 
 
-def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parsed(batches: Iterator[pa.RecordBatch], blocks: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for value in batch.column(0):
@@ -189,12 +189,16 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             fields = dict(line.split(": ", 1) for line in lines)
             start = at + len(_END)
             block = data[start : start + int(fields["Content-Length"])]
-            declared = fields.get("WARC-Block-Digest")
-            intact = len(block) == int(fields["Content-Length"]) and (
-                declared is None or declared == f"sha1:{_base32(hashlib.sha1(block).digest())}"
-            )
             kind = fields["WARC-Type"]
             number = int(fields.get("WARC-Segment-Number", 1))
+            intact, single = True, "WARC-Segment-Number" not in fields
+            if kind != "revisit":
+                digest = f"sha1:{_base32(hashlib.sha1(block).digest())}"
+                intact = len(block) == int(fields["Content-Length"])
+                intact = intact and digest == fields["WARC-Block-Digest"]
+                if single:
+                    intact = intact and digest == fields["WARC-Payload-Digest"]
+                    intact = intact and len(block) == int(fields["X-Payload-Length"])
             rows.append((
                 _number(fields.get("X-Page-Id")),
                 "response" if kind == "continuation" else kind,
@@ -203,10 +207,10 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 fields.get("WARC-Segment-Origin-ID", fields["WARC-Record-ID"]),
                 fields["X-Source-Row"],
                 number,
-                "WARC-Segment-Total-Length" in fields or "WARC-Segment-Number" not in fields,
+                single or "WARC-Segment-Total-Length" in fields,
                 int(fields["X-Payload-Length"]),
                 fields["WARC-Payload-Digest"].removeprefix("sha1:"),
-                block,
+                block if blocks or not single else None,
                 intact,
             ))
         if rows:
@@ -218,16 +222,18 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def read_chunks(spark: SparkSession, path: str, token: str) -> DataFrame:
+def read_chunks(spark: SparkSession, path: str, token: str, blocks: bool = True) -> DataFrame:
     """The chunk table of the archives in ``path``: a row for each record, as in ``CHUNKS``.
 
     ``origin`` names the first record of a payload, ``source`` the row it was written for (rows that
     repeat a page have one origin), ``number`` counts its chunks from 1; digest and length are those
-    of the whole payload. ``intact`` tells whether the block is what its own digest says.
+    of the whole payload. ``intact`` tells whether the block is what its digests say. Without
+    ``blocks``, payloads of one record are judged but not returned, which saves their way back.
     """
     start = f"{VERSION}\r\n{_TOKEN}: {token}\r\n"
     lines = spark.read.option("lineSep", start).text(path).where("length(value) > 0")
-    return lines.select(F.col("value").cast("binary")).mapInArrow(_parsed, CHUNKS)
+    records = lines.select(F.col("value").cast("binary"))
+    return records.mapInArrow(lambda batches: _parsed(batches, blocks), CHUNKS)
 
 
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,9 +244,6 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = batch.schema.names
         for row in zip(*batch.columns):
             x = dict(zip(names, row))
-            if x["record_type"].as_py() == "revisit":
-                rows.append((x, x["payload_bytes"].as_py(), x["payload_digest"].as_py(), True))
-                continue
             if x["number"].as_py() == 1:
                 state, size, upto, whole = hashlib.sha1(), 0, 0, True
             block = x["chunk"].as_buffer()
@@ -270,9 +273,11 @@ def payloads(chunks: DataFrame) -> DataFrame:
     """A row for each payload of a chunk table, as in ``PAYLOADS``: length and digest as read, for
     revisits as declared; ``intact`` if all chunks are there and agree with what is declared.
 
-    Only chunks of payloads that take several are shuffled, to come together in their order.
+    Payloads of one record were judged when they were read. Only chunks of payloads that take
+    several are shuffled, to come together in their order.
     """
+    names = [field.split()[0] for field in PAYLOADS.split(", ")]
     single = F.col("last") & (F.col("number") == 1)
     several = chunks.where(~single).repartition("source")
     ordered = several.sortWithinPartitions("source", "number")
-    return chunks.where(single).mapInArrow(_checked, PAYLOADS).union(ordered.mapInArrow(_checked, PAYLOADS))
+    return chunks.where(single).select(*names).union(ordered.mapInArrow(_checked, PAYLOADS))
