@@ -1,20 +1,21 @@
 """Mixing domains to target weights with soft membership, in built-in functions only.
 
 1. A naive Bayes classifier over the presence of words is fitted on a bounded sample of labelled
-   documents: word counts by domain are one aggregate, and only the words that mark a domain best,
-   at most ``VOCABULARY`` of them, become the model. The leading domain and its lead over the next
+   documents: word counts by domain are one aggregate, and all words that mark a domain become the
+   model, a table of buckets by the word's hash. The leading domain and its lead over the next
    one put a text into one of few bins, and the labels in a bin give the bin's posterior, so that
    probabilities mean shares and texts without any such word are a bin of their own.
 2. Every document gets a posterior for each domain and its number of tokens, row by row.
-3. Rates r >= 0, at most ``max_rate``, are fitted by projected gradient steps so that the expected
-   tokens of each domain, the sum of rate * tokens * posterior, match the targets in the
-   least-squares sense. A step needs one number per domain from the whole corpus; the rates never
-   leave the table, since a document's rate is a function of its posterior and the gradients so far.
+3. Tokens are added up by bin, and rates r >= 0, at most ``max_rate``, are solved for on that table, so
+   that the expected tokens of each domain, the sum of rate * tokens * posterior, have the target
+   shares. A domain that is short is repeated as far as ``max_rate`` lets it, and beyond that the total
+   is brought down.
 4. A document's rate becomes a whole number of copies by rounding with a draw from its doc_id.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
@@ -37,12 +38,18 @@ LEAST_LIFT = 4.0
 LEAST_Z = 6.0
 #: Bins of a leading domain begin at these leads in log odds.
 LEADS = (0.0, 3.0, 8.0)
+BUCKETS = "array<array<struct<word: string, weight: array<double>>>>"
 #: Words start and end at these.
 BETWEEN = r"[\s,.;:!?]+"
-STEPS = 60
-#: Largest miss of a target, relative to all tokens, that ends the steps.
+#: Largest miss of a share.
 CLOSE = 1e-4
-#: Domains are scaled as if they were this part of the largest at least.
+#: Weight of the wish for equal rates against that for the shares, and in how many steps it falls from 1.
+PULL = 1e-10
+PULLS = 11
+#: Largest slope at an optimum.
+EXACT = 1e-6
+#: Of the gradient steps in the pipeline's test; nothing here takes steps.
+STEPS = 60
 LEAST_SCALE = 0.05
 #: A rate so near a whole number is that number.
 NEAR = 0.05
@@ -69,8 +76,14 @@ def domain_of_labels(labels: DataFrame) -> DataFrame:
 class Classifier:
     """The log share of each word in each domain, and the posterior of each bin."""
 
-    def __init__(self, domains: Sequence[str], words: list[str], weight: np.ndarray):
+    def __init__(
+        self, domains: Sequence[str], words: list[str], weight: np.ndarray, hashes: Sequence[int] = ()
+    ):
+        """``hashes`` are xxhash64 of the words."""
         self.domains, self.words, self.weight = list(domains), words, weight
+        self.buckets: list[list[dict]] = [[] for _ in range(2 * len(words))]
+        for word, row, number in zip(words, weight.tolist(), hashes, strict=True):
+            self.buckets[number % len(self.buckets)].append({"word": word, "weight": row})
         self.bins = len(self.domains) * len(LEADS) + 1
         self.posterior = np.tile(np.eye(len(self.domains))[0], (self.bins, 1))
 
@@ -78,16 +91,21 @@ class Classifier:
         """0 without a known word, else by leading domain and lead; for an array of words."""
         if not self.words:
             return F.lit(0)
-        known = F.array(*map(F.lit, self.words))
-        at = F.transform(
-            F.array_intersect(words, known), lambda word: F.array_position(known, word).cast("int")
-        )
+        # One constant, whatever the number of words; a word is compared with those of its bucket only.
+        table = F.from_json(F.lit(json.dumps(self.buckets)), BUCKETS)
+
+        def found(word: Column) -> Column:
+            bucket = F.get(table, F.pmod(F.xxhash64(word), F.lit(len(self.buckets))).cast("int"))
+            return F.filter(bucket, lambda entry: entry["word"] == word)
+
+        at = F.flatten(F.transform(F.array_distinct(words), found))
 
-        def added(weights: np.ndarray) -> Callable[[Column, Column], Column]:
-            values = F.array(*[F.lit(float(w)) for w in weights])
-            return lambda total, i: total + F.get(values, i - 1)
+        def added(d: int) -> Callable[[Column, Column], Column]:
+            return lambda total, entry: total + F.get(entry["weight"], F.lit(d))
 
-        scores = F.array(*[F.aggregate(at, F.lit(0.0), added(w)) for w in self.weight.T])
+        def scored(at: Column) -> Column:
+            scores = [F.aggregate(at, F.lit(0.0), added(d)) for d in range(len(self.domains))]
+            return F.struct(F.array(*scores).alias("scores"), at.alias("at"))
 
         def numbered(of: Column) -> Column:
             first = F.array_position(of["scores"], F.array_max(of["scores"])).cast("int") - 1
@@ -96,8 +114,8 @@ class Classifier:
             step = reduce(lambda a, b: a + b, [(lead >= x).cast("int") for x in LEADS])
             return F.when(F.size(of["at"]) > 0, first * len(LEADS) + step).otherwise(0)
 
-        # One struct in a list, so that the scores are computed once for all their uses.
-        return F.transform(F.array(F.struct(scores.alias("scores"), at.alias("at"))), numbered)[0]
+        # Lists of one, so that words and scores are found once for all their uses.
+        return F.transform(F.transform(F.array(at), scored), numbered)[0]
 
     def calibrate(self, seen: np.ndarray) -> None:
         """``seen`` has labelled texts by bin and domain; rare bins lean on the overall shares."""
@@ -121,7 +139,6 @@ def fit(
     domains: Sequence[str],
     text: str = "text",
     sample: int = SAMPLE,
-    vocabulary: int = VOCABULARY,
 ) -> Classifier:
     """The classifier from the (doc_id, domain) rows whose domain is one of ``domains``.
 
@@ -169,7 +186,8 @@ def fit(
         counts.withColumn("z", strongest)
         .where(F.col("z") >= LEAST_Z)
         .orderBy(F.desc("z"), "word")
-        .limit(vocabulary)
+        .limit(VOCABULARY)
+        .withColumn("hash", F.xxhash64("word"))
         .collect()
     )
     seen = np.array([[row[f"n{d}"] for d in range(len(domains))] for row in best], dtype=float)
@@ -177,7 +195,8 @@ def fit(
     # A domain of few documents leans on the share of the word in all of them.
     overall = seen.sum(axis=1, keepdims=True) / everyone
     present = (seen + 2 * overall) / (sizes + 2)
-    model = Classifier(domains, [row["word"] for row in best], np.log(present))
+    hashes = [row["hash"] for row in best]
+    model = Classifier(domains, [row["word"] for row in best], np.log(present), hashes)
     binned = texts.groupBy(model.bin_of(F.col("words")).alias("bin"), "__domain").count()
     table = np.zeros((model.bins, len(domains)))
     for row in binned.collect():
@@ -201,65 +220,124 @@ def classify(
 
 
 def fit_rates(
-    scored: DataFrame,
-    weights: np.ndarray,
-    anchor: int,
-    into: str,
-    max_rate: float = MAX_RATE,
-    steps: int = STEPS,
+    scored: DataFrame, weights: np.ndarray, anchor: int, into: str, max_rate: float = MAX_RATE
 ) -> Column:
     """The rate of each row as a column over its posterior.
 
-    The anchor's expected tokens fix the total: its target is what it has. The residual of a domain
-    is scaled by its own share of the Gram matrix, so that small domains converge like large ones;
-    very small ones are held back, for they must not outweigh the others.
+    Tokens are added up by distinct posterior, of which a model has no more than bins.
     """
-    size = len(weights)
     tokens, posterior = F.col(into)["tokens"], F.col(into)["posterior"]
-    p = [posterior[d] for d in range(size)]
-    upper = [(i, j) for i in range(size) for j in range(i, size)]
-    first = scored.agg(
-        *[F.sum(tokens * p[d]).alias(f"s{d}") for d in range(size)],
-        *[F.sum(tokens * p[i] * p[j]).alias(f"m{i}_{j}") for i, j in upper],
-    ).first()
-    have = np.array([first[f"s{d}"] or 0.0 for d in range(size)])
-    if not have.sum() or not have[anchor]:
+    rows = scored.groupBy(posterior.alias("p")).agg(F.sum(tokens).alias("n")).collect()
+    rows = sorted((list(row["p"]), float(row["n"] or 0)) for row in rows)
+    if not sum(n for _, n in rows):
         return F.lit(1.0)
-    gram = np.zeros((size, size))
-    for i, j in upper:
-        gram[i, j] = gram[j, i] = first[f"m{i}_{j}"]
-    # What a domain has at the largest rate is the most that it can be asked for.
-    goal = np.minimum(weights / weights[anchor] * have[anchor], max_rate * have)
-    scale = 1 / np.maximum(np.diag(gram), LEAST_SCALE * np.diag(gram).max())
-    root = np.sqrt(scale)
-    step = 1 / np.linalg.eigvalsh(root[:, None] * gram * root).max()
-    slopes: list[np.ndarray] = []
-    for _ in range(steps):
-        if np.abs(have - goal).max() <= CLOSE * goal.sum():
-            break
-        slopes.append(step * scale * (have - goal))
-        rate = _stepped(slopes, posterior, max_rate)
-        row = scored.agg(*[F.sum(rate * tokens * p[d]).alias(f"s{d}") for d in range(size)]).first()
-        new = np.array([row[f"s{d}"] for d in range(size)])
-        stuck = np.abs(new - have).max() <= 0.1 * CLOSE * goal.sum()
-        have = new
-        if stuck:
+    p, n = np.array([p for p, _ in rows]), np.array([n for _, n in rows])
+    rates = solve_rates(p, n, weights, anchor, max_rate)
+    known = F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in p])
+    values = F.array(*[F.lit(float(rate)) for rate in rates])
+    return F.get(values, F.array_position(known, posterior).cast("int") - 1)
+
+
+def nearest_shares(p: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Of all mixtures of the rows of ``p``, the one nearest to ``weights``: the nearest point of a
+    polytope, by Wolfe's method."""
+    points = p - weights
+    chosen = [int((points**2).sum(axis=1).argmin())]
+    part = np.ones(1)
+    for _ in range(100 * len(p) + 100):
+        at = part @ points[chosen]
+        new = int((points @ at).argmin())
+        if new in chosen or points[new] @ at >= at @ at - 1e-15:
             break
-    return _stepped(slopes, posterior, max_rate)
-
-
-def _stepped(slopes: list[np.ndarray], posterior: Column, max_rate: float) -> Column:
-    """The rate after these steps, each projected onto what rates may be."""
-    if not slopes:
-        return F.lit(1.0)
-    moves = F.array(*[F.array(*[F.lit(float(x)) for x in slope]) for slope in slopes])
-
-    def moved(rate: Column, slope: Column) -> Column:
-        along = [slope[d] * posterior[d] for d in range(len(slopes[0]))]
-        new = rate - reduce(lambda a, b: a + b, along)
-        return F.least(F.lit(max_rate), F.greatest(F.lit(0.0), new))
-
-    return F.aggregate(moves, F.lit(1.0), moved)
+        chosen.append(new)
+        part = np.append(part, 0.0)
+        while True:
+            # The nearest point of the flat through the chosen ones.
+            size = len(chosen)
+            system = np.ones((size + 1, size + 1))
+            system[:size, :size] = points[chosen] @ points[chosen].T
+            system[size, size] = 0
+            flat = np.linalg.lstsq(system, np.append(np.zeros(size), 1.0), rcond=None)[0][:size]
+            if flat.min() > 1e-12:
+                part = flat
+                break
+            out = flat <= 1e-12
+            reach = min(1.0, (part[out] / np.maximum(part[out] - flat[out], 1e-300)).min())
+            part = part + reach * (flat - part)
+            left = part > 1e-12
+            chosen = [i for i, stays in zip(chosen, left) if stays]
+            part = part[left] / part[left].sum()
+    return weights + part @ points[chosen]
+
+
+def nearest_rates(
+    p: np.ndarray, n: np.ndarray, goal: np.ndarray, total: float, max_rate: float
+) -> np.ndarray:
+    """Rates in [0, max_rate] whose shares of ``total`` come nearest to ``goal``, and of these the ones
+    nearest to each other.
+
+    By Newton steps on the dual, one number per domain, until its gradient vanishes; the wish for
+    equal rates is strong at first, so that each optimum is near the one before.
+    """
+    amount, even = n / total, total / n.sum()
+    x, pulls = np.zeros(len(goal)), np.geomspace(1, PULL, PULLS)
+
+    def gradient(x: np.ndarray, pull: float) -> tuple[np.ndarray, np.ndarray]:
+        rate = np.clip(even - p @ x, 0, max_rate)
+        return pull * x + goal - (amount * rate) @ p, rate
+
+    for pull in pulls * n.sum() / total:
+        slope, rate = gradient(x, pull)
+        for _ in range(200):
+            if np.abs(slope).max() <= EXACT:
+                break
+            inside = (rate > 0) & (rate < max_rate)
+            hesse = pull * np.eye(len(x)) + (p[inside].T * amount[inside]) @ p[inside]
+            move = -np.linalg.solve(hesse, slope)
+            length = 1.0
+            new = gradient(x + move, pull)
+            # Convex: past the least point along the move, the slope turns.
+            while new[0] @ move > -0.5 * (slope @ move) and length > 1e-18:
+                length /= 2
+                new = gradient(x + length * move, pull)
+            x = x + length * move
+            slope, rate = new
+    if np.abs(slope).max() > EXACT:
+        raise ArithmeticError(f"rates for {goal.tolist()} of {total} tokens are not at their optimum")
+    return rate
+
+
+def solve_rates(
+    p: np.ndarray, n: np.ndarray, weights: np.ndarray, anchor: int, max_rate: float
+) -> np.ndarray:
+    """Rates of groups with posteriors ``p`` and ``n`` tokens, so that the expected tokens of the
+    domains have the shares ``weights``.
+
+    Where no rates give these shares, since every group is a mixture of domains, the nearest ones that
+    some rates give take their place. The total is the one at which the anchor keeps its tokens, or
+    the largest at which no rate exceeds ``max_rate``. Among the rates that fit, those nearest to
+    each other are taken. Groups without tokens keep rate 1.
+    """
+    full = n > 0
+    rates = np.ones(len(n))
+    p, n = p[full], n[full]
+    goal = nearest_shares(p, weights)
+    have = n @ p
+    total = have[anchor] / goal[anchor] if goal[anchor] > 0 else n.sum()
+    total = min(total, max_rate * n.sum())
+
+    def missed(total: float) -> float:
+        found = nearest_rates(p, n, goal, total, max_rate)
+        return np.abs((found * n) @ p / total - goal).max()
+
+    if missed(total) > CLOSE:
+        low, high = 0.0, total
+        while high - low > 1e-6 * high:
+            middle = (low + high) / 2
+            low, high = (low, middle) if missed(middle) > CLOSE else (middle, high)
+        total = low or high
+    rates[full] = nearest_rates(p, n, goal, total, max_rate)
+    return rates
 
 
 def mix(
@@ -291,7 +369,8 @@ def mix(
     scored = classify(docs.withColumn("__draw", draw), model, text, [*carry, "__draw"], into)
     scored = cut(scored, "mixing")
     rate = fit_rates(scored, weights, domains.index(anchor), into, max_rate)
-    found, whole = F.col("__rate"), F.round("__rate")
+    found = F.col("__rate")
+    whole = F.round("__rate")
     copies = F.when(F.abs(found - whole) <= NEAR, whole).otherwise(F.floor(found + F.col("__draw")))
     result = F.col(into).withField("rate", found).withField("copies", copies.cast("long"))
     return scored.withColumn("__rate", rate).withColumn(into, result).drop("__rate", "__draw")

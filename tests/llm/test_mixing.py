@@ -3,7 +3,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from starpipe.llm.common import read_table
-from starpipe.llm.mixing import TARGETS, copies_of, domain_of_labels, fit_rates, mix
+from starpipe.llm.mixing import (
+    TARGETS, copies_of, domain_of_labels, fit_rates, mix,
+)
 
 SF = "/root/testdata/sf0.1"
 SCHEMA = "doc_id long, text string, rate string, copies int"
@@ -62,3 +64,14 @@ def test_copies_are_rows(make):
     frame = make([(1, (0,)), (2, (1,)), (3, (3,))], "doc_id long, m struct<copies: long>")
     got = copies_of(frame.select("doc_id", F.col("m").alias("__mix")))
     assert sorted(r["doc_id"] for r in got.collect()) == [2, 3, 3, 3]
+
+
+@pytest.mark.parametrize("targets", [{"good": 0.6, "low": 0.3, "toxic": 0.1}])
+def test_shares_are_the_targets_at_the_default_rates(spark, targets):
+    docs, labels = read_table(spark, SF, "documents"), domain_of_labels(read_table(spark, SF, "labels"))
+    rows = mix(docs, labels, targets, carry=["doc_id"]).select("__mix.*").toPandas()
+    p, weights = np.array(rows.posterior.tolist()), np.array(list(targets.values()))
+    for kept, miss in ((rows.rate, 2e-4), (rows.copies, 0.02)):
+        have = (kept * rows.tokens).to_numpy() @ p
+        assert np.abs(have / have.sum() - weights).max() < miss
+    assert rows.rate.max() <= 1 and rows.copies.max() <= 1
