@@ -51,8 +51,6 @@ EXACT = 1e-6
 #: Of the gradient steps in the pipeline's test; nothing here takes steps.
 STEPS = 60
 LEAST_SCALE = 0.05
-#: A rate so near a whole number is that number.
-NEAR = 0.05
 #: Documents are not repeated.
 MAX_RATE = 1.0
 
@@ -370,8 +368,7 @@ def mix(
     scored = cut(scored, "mixing")
     rate = fit_rates(scored, weights, domains.index(anchor), into, max_rate)
     found = F.col("__rate")
-    whole = F.round("__rate")
-    copies = F.when(F.abs(found - whole) <= NEAR, whole).otherwise(F.floor(found + F.col("__draw")))
+    copies = F.floor(found + F.col("__draw"))
     result = F.col(into).withField("rate", found).withField("copies", copies.cast("long"))
     return scored.withColumn("__rate", rate).withColumn(into, result).drop("__rate", "__draw")
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from starpipe.llm.common import read_table
 from starpipe.llm.mixing import (
-    TARGETS, copies_of, domain_of_labels, fit_rates, mix,
+    TARGETS, copies_of, domain_of_labels, fit_rates, mix, nearest_shares, solve_rates,
 )
 
 SF = "/root/testdata/sf0.1"
@@ -75,3 +75,34 @@ def test_shares_are_the_targets_at_the_default_rates(spark, targets):
         have = (kept * rows.tokens).to_numpy() @ p
         assert np.abs(have / have.sum() - weights).max() < miss
     assert rows.rate.max() <= 1 and rows.copies.max() <= 1
+
+
+def test_small_rates_keep_their_part(make):
+    rows = [(i, "word" if i < 8000 else "marker word", "x", 1) for i in range(10_000)]
+    labels = [(i, "good" if i < 8000 else "toxic") for i in range(10_000)]
+    mixed = mix(make(rows, SCHEMA), make(labels, "doc_id long, domain string"), {"good": 0.99, "toxic": 0.01}, carry=["doc_id"])
+    got = mixed.where("doc_id >= 8000").select("__mix.rate", "__mix.copies").toPandas()
+    assert 0 < got.rate.max() < 0.05
+    assert abs(got.copies.sum() - got.rate.sum()) < 4 * got.rate.sum() ** 0.5 and got.copies.sum() > 0
+
+
+@pytest.mark.parametrize("max_rate", [1.0, 3.0])
+def test_rates_are_at_the_optimum(max_rate):
+    draw = np.random.default_rng(5)
+    for _ in range(30):
+        p = draw.dirichlet([0.5, 0.3, 0.2], int(draw.integers(1, 10)))
+        n, weights = draw.integers(1, 10_000, len(p)).astype(float), draw.dirichlet([1, 1, 1])
+        shares = nearest_shares(p, weights)
+        # The nearest point of a polytope: no corner is further along the way to the weights.
+        assert (p @ (shares - weights)).min() >= shares @ (shares - weights) - 1e-9
+        rate = solve_rates(p, n, weights, 0, max_rate)
+        have = (rate * n) @ p
+        assert rate.min() >= 0 and rate.max() <= max_rate
+        assert np.abs(have / have.sum() - shares).max() < 3e-4
+        # A total 2% larger misses the shares, or the anchor has its tokens.
+        total, part = 1.02 * have.sum(), rate.copy()
+        system = p.T * n / total
+        step = 1 / np.linalg.eigvalsh(system @ system.T).max()
+        for _ in range(20_000):
+            part = np.clip(part - step * (system.T @ (system @ part - shares)), 0, max_rate)
+        assert have[0] >= 0.999 * (n @ p)[0] or np.abs(system @ part - shares).max() > 1e-4
