@@ -28,8 +28,6 @@ from starpipe.llm.common import cut
 
 #: Labelled documents that the classifier is fitted on: those with the smallest hashes.
 SAMPLE = 20_000
-#: Words of the model.
-VOCABULARY = 256
 #: A word counts if so large a part of a domain's labelled documents, and so many, have it, if that
 #: part is so many times the part elsewhere, and if the two differ by so many standard errors.
 LEAST_SHARE = 0.02
@@ -184,7 +182,6 @@ def fit(
         counts.withColumn("z", strongest)
         .where(F.col("z") >= LEAST_Z)
         .orderBy(F.desc("z"), "word")
-        .limit(VOCABULARY)
         .withColumn("hash", F.xxhash64("word"))
         .collect()
     )

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from starpipe.llm.common import read_table
 from starpipe.llm.mixing import (
-    TARGETS, copies_of, domain_of_labels, fit_rates, mix, nearest_shares, solve_rates,
+    TARGETS, copies_of, domain_of_labels, fit, fit_rates, mix, nearest_shares, solve_rates,
 )
 
 SF = "/root/testdata/sf0.1"
@@ -66,7 +66,7 @@ def test_copies_are_rows(make):
     assert sorted(r["doc_id"] for r in got.collect()) == [2, 3, 3, 3]
 
 
-@pytest.mark.parametrize("targets", [{"good": 0.6, "low": 0.3, "toxic": 0.1}])
+@pytest.mark.parametrize("targets", [{"good": 0.6, "low": 0.3, "toxic": 0.1}, TARGETS])
 def test_shares_are_the_targets_at_the_default_rates(spark, targets):
     docs, labels = read_table(spark, SF, "documents"), domain_of_labels(read_table(spark, SF, "labels"))
     rows = mix(docs, labels, targets, carry=["doc_id"]).select("__mix.*").toPandas()
@@ -106,3 +106,14 @@ def test_rates_are_at_the_optimum(max_rate):
         for _ in range(20_000):
             part = np.clip(part - step * (system.T @ (system @ part - shares)), 0, max_rate)
         assert have[0] >= 0.999 * (n @ p)[0] or np.abs(system @ part - shares).max() > 1e-4
+
+
+def test_every_word_that_marks_a_domain_is_in_the_model(make):
+    words = [[f"w{i}x{k}" for k in range(20)] for i in range(20)]
+    rows = [(i, "common " + " ".join(words[i // 20] if i < 400 else ["plain"]), "x", 1) for i in range(4000)]
+    labels = make([(i, "toxic" if i < 400 else "good") for i in range(4000)], "doc_id long, domain string")
+    docs = make(rows, SCHEMA)
+    model = fit(docs, labels, ["good", "toxic"])
+    assert set(sum(words, [])) <= set(model.words)
+    mixed = mix(docs, labels, {"good": 0.9, "toxic": 0.1}, carry=["doc_id"]).where("doc_id < 400")
+    assert mixed.where(F.col("__mix.posterior")[1] < 0.9).count() == 0
