@@ -4,8 +4,9 @@
 2. Each rule votes for (1) or against (-1) a document, or abstains (0).
 3. Documents are counted by vote pattern, at most 3 ** len(RULES) rows whatever the corpus, and
    expectation-maximisation over that table estimates, without labels, the share of good documents
-   and for each rule how often it is right on good and on bad ones.
-4. A document's posterior is a sum of log odds of its votes, a plain column expression.
+   and how often each rule votes against, abstains and votes for good and bad ones, so that a rule
+   that only ever votes against weighs what its votes say.
+4. A document's posterior is a sum of log odds of its outcomes, a plain column expression.
 
 Documents that fail the base test (too few words, too many repeated ones) are rejected whatever
 the posterior.
@@ -145,49 +146,66 @@ RULES = (
 )
 
 
+#: Places of a rule's outcomes in the model's tables.
+OUTCOMES = (-1, 0, 1)
+
+
 @dataclass(frozen=True)
 class LabelModel:
-    """Share of good documents; right[rule][class]: how often a vote is right; 0 bad, 1 good."""
+    """Share of good documents; of[rule][class][outcome]: how often a rule votes against, abstains and
+    votes for a document of the class; 0 bad, 1 good."""
 
     prior: float
-    right: np.ndarray
+    of: np.ndarray
+
+    @property
+    def right(self) -> np.ndarray:
+        """[rule][class]: how often a vote is right."""
+        bad, good = self.of[:, 0], self.of[:, 1]
+        return np.stack([bad[:, 0] / (bad[:, 0] + bad[:, 2]), good[:, 2] / (good[:, 0] + good[:, 2])], 1)
 
     def log_odds(self) -> tuple[float, list[tuple[float, float]]]:
-        """Of the prior, and of each rule's vote against and for."""
-        bad, good = self.right[:, 0], self.right[:, 1]
-        against, for_ = np.log((1 - good) / bad), np.log(good / (1 - bad))
-        return math.log(self.prior / (1 - self.prior)), list(zip(against.tolist(), for_.tolist()))
+        """Of a document all rules abstain on, and what each rule's vote against and for adds."""
+        odds = np.log(self.of[:, 1] / self.of[:, 0])
+        base = math.log(self.prior / (1 - self.prior)) + odds[:, 1].sum()
+        votes = odds[:, [0, 2]] - odds[:, 1:2]
+        return float(base), [tuple(row) for row in votes.tolist()]
 
 
 def fit(votes: np.ndarray, counts: np.ndarray, rounds: int = 500) -> LabelModel:
     """Expectation-maximisation over distinct vote patterns, with one pseudo document per cell.
 
-    A vote is at least as likely right as wrong, which tells the good class from the bad one.
+    A vote against is no rarer among bad documents than among good ones, and a vote for no rarer among
+    good ones, which tells the good class from the bad one. At first a vote is right four times in
+    five and abstaining says nothing.
     """
-    rules = votes.shape[1]
-    right = np.full((rules, 2), 0.8)
-    prior = 0.8
+    seen = np.stack([votes == outcome for outcome in OUTCOMES], axis=2).astype(float)
+    first = np.array([[0.8, 1.0, 0.2], [0.2, 1.0, 0.8]])
+    prior, of = 0.8, np.tile(first / first.sum(axis=1, keepdims=True), (votes.shape[1], 1, 1))
     for _ in range(rounds):
-        model = LabelModel(prior, right)
-        base, weights = model.log_odds()
-        score = base + sum(
-            np.where(votes[:, j] < 0, w[0], np.where(votes[:, j] > 0, w[1], 0.0))
-            for j, w in enumerate(weights)
-        )
+        score = math.log(prior / (1 - prior)) + np.einsum("pro,ro->p", seen, np.log(of[:, 1] / of[:, 0]))
         good = 1 / (1 + np.exp(-score))
-        share = (counts @ good + 1) / (counts.sum() + 2)
-        new = np.empty_like(right)
-        for klass, mass in ((0, counts * (1 - good)), (1, counts * good)):
-            correct = mass @ (votes == (1 if klass else -1))
-            voted = mass @ (votes != 0)
-            new[:, klass] = (correct + 4) / (voted + 5)
-        new = np.clip(new, 0.5, 0.9999)
-        share = float(np.clip(share, 0.01, 0.99))
-        done = abs(share - prior) < 1e-7 and np.abs(new - right).max() < 1e-7
-        prior, right = share, new
+        share = float(np.clip((counts @ good + 1) / (counts.sum() + 2), 0.01, 0.99))
+        mass = np.stack([counts * (1 - good), counts * good])
+        cells = np.einsum("cp,pro->rco", mass, seen) + 1
+        new = _ordered(cells)
+        done = abs(share - prior) < 1e-7 and np.abs(new - of).max() < 1e-7
+        prior, of = share, new
         if done:
             break
-    return LabelModel(prior, right)
+    return LabelModel(prior, of)
+
+
+def _ordered(cells: np.ndarray) -> np.ndarray:
+    """Shares of outcomes; where a vote would speak for the wrong class, its share is that of both."""
+    of = cells / cells.sum(axis=2, keepdims=True)
+    both = cells.sum(axis=1) / cells.sum(axis=(1, 2))[:, None]
+    for outcome, bad_more in ((0, True), (2, False)):
+        wrong = (of[:, 0, outcome] < of[:, 1, outcome]) == bad_more
+        wrong &= of[:, 0, outcome] != of[:, 1, outcome]
+        of[wrong, :, outcome] = both[wrong, None, outcome]
+    of[:, :, 1] = np.maximum(1 - of[:, :, 0] - of[:, :, 2], 1e-9)
+    return of / of.sum(axis=2, keepdims=True)
 
 
 def _votes(quality: Column, rules: Sequence[Rule]) -> Column:

@@ -75,3 +75,28 @@ def test_label_model_recovers_accuracies():
 
 def test_counts_are_the_declared_columns():
     assert len(count_text("some words")) == len(COUNTS.split(", "))
+
+
+@pytest.mark.parametrize("rule", range(3))
+def test_a_rule_that_only_votes_against_moves_the_verdict(rule):
+    draw = np.random.default_rng(7)
+    bad = draw.random(50_000) < 0.2
+    votes = []
+    for _ in range(5):
+        vote = np.where(draw.random(len(bad)) < 0.85, 1, -1) * np.where(bad, -1, 1)
+        votes.append(np.where(draw.random(len(bad)) < 0.7, vote, 0))
+    for _ in range(3):
+        votes.append(np.where(draw.random(len(bad)) < np.where(bad, 0.2, 0.0002), -1, 0))
+    patterns, counts = np.unique(np.stack(votes, axis=1), axis=0, return_counts=True)
+    base, weights = fit(patterns, counts.astype(float)).log_odds()
+    against = weights[5 + rule][0]
+    assert against < -4
+    # Two good votes and this rule's vote against.
+    two = base + weights[0][1] + weights[1][1]
+    assert two > 0 > two + against
+
+
+def test_documents_with_an_echo_are_rejected(spark):
+    rows = judge(read_table(spark, "/root/testdata/sf0.1", "documents"), carry=["doc_id"])
+    echo = rows.where("NOT __quality.base_failed AND 100 * __quality.n_echo > 15 * __quality.n_words")
+    assert echo.count() > 0 and echo.where("__quality.kept").count() == 0
