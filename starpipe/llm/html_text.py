@@ -56,13 +56,20 @@ AROUND = frozenset(
     "banner breadcrumb breadcrumbs footer header login masthead menu nav navbar navigation pagination "
     "search sidebar skip toolbar topbar widget widgets".split()
 )
-#: Words in classes and ids of what stands in or beside an article and is none, whatever it contains.
+#: Classes and ids made of these words alone name what stands in or beside an article and is none,
+#: whatever it contains.
 BESIDE = frozenset(
     "ad ads advert advertisement advertising adverts comment comments consent cookie cookies disqus "
     "gdpr modal newsletter notice notices overlay popup promo promoted promotion related replies reply "
     "respond share sharing signup social sponsor sponsored subscribe subscription teaser".split()
 )
 
+#: Words that only say that something is a box.
+BOX = frozenset(
+    "area bar block box btn button buttons container content form group inner item items link links list "
+    "main outer panel section slot thread top unit wrap wrapper".split()
+)
+
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 TEXTS = "page_id long, url string, text string, n_chars long"
@@ -75,6 +82,15 @@ class _Element:
         self.tag, self.key, self.noise, self.beside, self.region = tag, key, noise, beside, region
 
 
+def _is_beside(names: str) -> bool:
+    """Whether a class or id, as a whole, names what stands beside an article."""
+    for name in names.split():
+        words = {word.lower() for word in _WORDS.findall(name) if not word.isdigit()}
+        if words & BESIDE and words <= BESIDE | BOX:
+            return True
+    return False
+
+
 class _Page(HTMLParser):
     """Collects blocks: (path, text, in which region) for text outside of noise, and shapes."""
 
@@ -126,7 +142,9 @@ class _Page(HTMLParser):
         words = {word.lower() for word in _WORDS.findall(names)}
         frame = tag in ("html", "body")
         text_body = tag in ("article", "main")
-        beside = up.beside or tag in NOISE_TAGS or (not frame and bool(words & BESIDE))
+        # The name of an article's own element is often made of its title.
+        beside = up.beside or tag in NOISE_TAGS
+        beside = beside or (not frame and not text_body and _is_beside(names))
         beside = beside or (attrs.get("role") or "").lower() in NOISE_ROLES
         around = not up.region and (tag == "header" or bool(words & AROUND))
         noise = beside or (not text_body and not frame and (up.noise or around))

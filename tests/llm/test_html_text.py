@@ -54,3 +54,13 @@ def test_importance(make):
     assert nodes["article div.a"]["importance"] == pytest.approx(0)
     assert nodes["article h2"]["importance"] == pytest.approx(0.25)
     assert nodes["article p"]["pages"] == 16
+
+
+@pytest.mark.parametrize("page", [
+    '<article id="how-to-share-files"><p>text</p></article>', '<div id="post-social-security-reform"><p>text</p></div>',
+    '<article class="post comments-open">text</article>', '<main class="content with-social-bar">text</main>',
+    '<div class="entry has-related">text</div>', '<p>text</p><div class="social-share-bar">x</div><p class="ads">y</p>',
+    '<div id="relatedPosts2" class="related">x</div>text', '<main class="promo">text</main>',
+])
+def test_one_word_of_a_name_discards_nothing(page):
+    assert text_of(page) == "text"
