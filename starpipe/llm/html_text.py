@@ -5,7 +5,8 @@ of one host are merged: a node of the host's style tree is a presentation, and w
 on the host's pages, their text and the order of their children, has an entropy. A node whose text
 and shape are the same on page after page says nothing about any one of them: its importance, the
 larger entropy relative to that of as many different contents, is low, and its branch is removed from
-every page of the host. Elements whose tag or name says what they are (menus, footers, adverts,
+every page of the host. Where no article or main element says what the text is, each text at a node
+is judged, too: its importance is the entropy that the node would have if all other pages differed. Elements whose tag or name says what they are (menus, footers, adverts,
 forms, comments ...) are removed on any page, since their contents may well differ.
 
 Trees are merged as counts of (host, node, content) with partial aggregates, so a host with a third of
@@ -212,12 +213,14 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for path, tag in page.children:
                 if path in texts:
                     shapes.setdefault(path, []).append(tag)
+            leaves = {} if any(region for *_, region in page.blocks) else dict.fromkeys(blocks)
             own = _hash("\n".join(text for _, text in blocks))
             for kind, values in (("text", texts), ("shape", shapes)):
                 rows += [
                     (host, own, " ".join(path), kind, _hash("\n".join(parts)))
                     for path, parts in values.items()
                 ]
+            rows += [(host, own, " ".join(path), "leaf", _hash(text)) for path, text in leaves]
         if rows:
             kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
@@ -226,15 +229,24 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, node, pages, importance) of the style trees of (host, html).
+def node_counts(pages: DataFrame) -> DataFrame:
+    """(host, node, kind, value, n): on how many pages of (host, html) a node has a content.
 
     Pages with equal main text count once, so copies of a page make none of it unimportant.
     """
     rows = pages.where("host <> ''").mapInArrow(
         _nodes, "host string, page long, node string, kind string, value long"
     )
-    counts = rows.distinct().groupBy("host", "node", "kind", "value").agg(F.count("*").alias("n"))
+    return rows.distinct().groupBy("host", "node", "kind", "value").agg(F.count("*").alias("n"))
+
+
+def style_tree(pages: DataFrame) -> DataFrame:
+    """(host, node, pages, importance) of the style trees of (host, html)."""
+    return node_importance(node_counts(pages))
+
+
+def node_importance(counts: DataFrame) -> DataFrame:
+    counts = counts.where("kind <> 'leaf'")
     total = F.sum("n")
     # Entropy of n_i / N relative to log N: 1 if all contents differ, 0 if all are equal.
     entropy = 1 - F.sum(F.col("n") * F.log("n")) / (total * F.log(total))
@@ -246,11 +258,24 @@ def style_tree(pages: DataFrame) -> DataFrame:
     )
 
 
+def dull_leaves(counts: DataFrame, nodes: DataFrame, min_pages: int, least: float) -> DataFrame:
+    """(host, node, value) of texts that are on nearly all pages that have their node."""
+    leaves = counts.where((F.col("kind") == "leaf") & (F.col("n") >= min_pages))
+    joined = leaves.join(nodes.select("host", "node", "pages"), ["host", "node"])
+    same = F.col("n") * F.log("n") / (F.col("pages") * F.log("pages"))
+    return joined.where(1 - same < least).select("host", "node", "value")
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for html, low in zip(batch.column("html").to_pylist(), batch.column("low").to_pylist()):
-            blocks = main_blocks(parse(html))
+        columns = [batch.column(name).to_pylist() for name in ("html", "low", "leaves")]
+        for html, low, leaves in zip(*columns):
+            page = parse(html)
+            blocks = main_blocks(page)
+            if leaves and not any(region for *_, region in page.blocks):
+                dull = {(leaf["node"], leaf["value"]) for leaf in leaves}
+                blocks = [(path, text) for path, text in blocks if (" ".join(path), _hash(text)) not in dull]
             if low:
                 nodes = {tuple(node.split(" ")) for node in low}
                 blocks = [
@@ -290,9 +315,14 @@ def main_texts(
         F.col(f"`{url}`").cast("string").alias("url"),
         F.col(f"`{html}`").cast("string").alias("html"),
     ).withColumn("host", host_of(F.col("url")))
-    tree = style_tree(given.select("host", "html"))
+    counts = cut(node_counts(given.select("host", "html")), "style-counts")
+    tree = cut(node_importance(counts), "style-nodes")
     dull = tree.where((F.col("pages") >= min_pages) & (F.col("importance") < min_importance))
-    # One row for each host with such nodes; written, so that Spark knows its size when it joins.
-    low = cut(dull.groupBy("host").agg(F.collect_list("node").alias("low")), "style-trees")
-    joined = given.join(low, "host", "left").select("page_id", "url", "html", "low")
+    leaf = F.struct("node", "value")
+    leaves = dull_leaves(counts, tree, min_pages, min_importance).groupBy("host")
+    # One row for each host with such nodes or texts; written, so that Spark knows its size when it joins.
+    low = dull.groupBy("host").agg(F.collect_list("node").alias("low"))
+    low = low.join(leaves.agg(F.collect_list(leaf).alias("leaves")), "host", "full")
+    joined = given.join(cut(low, "style-trees"), "host", "left")
+    joined = joined.select("page_id", "url", "html", "low", "leaves")
     return joined.mapInArrow(_texts, TEXTS)

@@ -64,3 +64,14 @@ def test_importance(make):
 ])
 def test_one_word_of_a_name_discards_nothing(page):
     assert text_of(page) == "text"
+
+
+def test_same_text_in_unnamed_boxes_goes(make):
+    def page(i):
+        return f"<body><div>Home News</div><div>Text of {i}</div><p>Body {i}</p><p>Read our terms</p><div>Imprint</div></body>"
+
+    rows = [(i, f"http://a.com/{i}", page(i), None) for i in range(20)]
+    rows += [(100 + i, f"http://few.com/{i}", page(i), None) for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in main_texts(make(rows, SCHEMA)).collect()}
+    assert got[7] == "Text of 7\nBody 7"
+    assert got[101] == "Home News\nText of 1\nBody 1\nRead our terms\nImprint"
