@@ -20,18 +20,32 @@ ROUNDS = 8
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
+#: Characters of an account number by country, so that a grouped one ends where it does.
+_IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN = "|".join(
+    rf"(?:{names.replace(' ', '|')})\d\d(?:[ -]?[A-Z0-9]){{{size - 4}}}" for size, names in _IBAN_SIZES.items()
+)
+
 #: Candidates by kind, in the order in which they are tried at a place. Possessive quantifiers and
 #: the conditions on what stands before keep the search linear in long runs of letters or digits.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d\d[A-Z0-9]{11,30}(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:{_IBAN}|[A-Z]{{2}}\d\d[A-Z0-9]{{11,30}})(?![A-Za-z0-9])",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)",
-    "iso_date": r"(?<![\d-])\d{4}-\d\d-\d\d(?![\d-])",
-    "date": r"(?<![\d./])\d{1,2}([./])\d{1,2}\1\d{4}(?![\d/])",
+    "iso_date": r"(?<![\d-])\d{4}-\d\d-\d\d(?![\d-])|(?<![\d./])\d{4}(?<y>[./])\d\d\k<y>\d\d(?![\d/]|\.\d)",
+    "date": r"(?<![\d./-])\d{1,2}(?<d>[./-])\d{1,2}\k<d>\d{4}(?![\d/]|-\d)",
     "ssn": r"(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-])",
     "phone": r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
-    r"|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
-    "card": r"(?<!\d)(?:\d{13,19}|\d{4}([ -])\d{4}\2\d{4}\2\d{4}|\d{4}([ -])\d{6}\3\d{5})(?!\d)",
+    r"|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])"
+    r"|(?<![\d+])\+\d{1,3}[ .-]\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,5}(?!\d)"
+    r"|(?<![\d.-])(?<!\d )\d{3}(?<p>[ .])\d{3}\k<p>\d{4}(?!\d|[ .]\d)",
+    "card": r"(?<!\d)(?:\d{13,19}|\d{4}(?<c>[ .-])\d{4}\k<c>\d{4}\k<c>\d{4}(?:\k<c>\d{1,3})?"
+    r"|\d{4}(?<a>[ .-])\d{6}\k<a>\d{4,5})(?!\d)",
 }
 PATTERN = "|".join(PATTERNS.values())
 
@@ -118,9 +132,9 @@ def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
 
-def _refill(shape: Column, digits: Column) -> Column:
-    """``shape`` with its digits replaced, in order, by ``digits``."""
-    between = F.split(shape, "[0-9]", -1)
+def _refill(shape: Column, digits: Column, places: str = "[0-9]") -> Column:
+    """``shape`` with its digits, or what ``places`` matches, replaced, in order, by ``digits``."""
+    between = F.split(shape, places, -1)
     return F.array_join(
         F.transform(between, lambda gap, i: F.concat(gap, F.substr(digits, i + 1, F.lit(1)))), ""
     )
@@ -179,13 +193,14 @@ def _email(value: Column, secret: str) -> Column:
     return F.concat(permute_text(head, secret, "email"), last)
 
 
-def _iban(value: Column, secret: str) -> Column:
+def _iban(written: Column, secret: str) -> Column:
+    value = F.regexp_replace(written, "[ -]", "")
     country, account = F.substr(value, F.lit(1), F.lit(2)), F.substr(value, F.lit(5))
     check = F.substr(value, F.lit(3), F.lit(2))
     new = permute_text(account, secret, "iban")
     check_of = F.lpad((98 - _mod_97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
     valid = _mod_97(F.concat(account, country, check)) == 1
-    return F.when(valid, F.concat(country, check_of, new)).otherwise(value)
+    return F.when(valid, _refill(written, F.concat(country, check_of, new), "[A-Z0-9]")).otherwise(written)
 
 
 def _ip(value: Column, secret: str) -> Column:
@@ -209,26 +224,39 @@ def _permuted_day(day: Column, secret: str) -> Column:
     return F.date_add(first, (number - place + done["a"] * _CYCLE[1] + done["b"]).cast("int"))
 
 
-def _iso_date(value: Column, secret: str) -> Column:
+def _iso_date(written: Column, secret: str) -> Column:
+    value = F.regexp_replace(written, "[./]", "-")
     new = F.date_format(_permuted_day(F.try_to_date(value, "yyyy-MM-dd"), secret), "yyyy-MM-dd")
     # Days that leave the years of four digits stay.
-    return F.when(F.length(new) == 10, new).otherwise(value)
+    return F.when(F.length(new) == 10, _refill(written, _digits(new))).otherwise(written)
 
 
 def _date(value: Column, secret: str) -> Column:
-    """Days first with dots; with slashes months first, where that is a date."""
+    """Days first with dots; with slashes months first, with hyphens days, where that is a date."""
+    is_date = lambda form: F.try_to_date(value, form).isNotNull()
     tried = [
         (value.contains("."), "d.M.yyyy"),
-        (value.contains("/") & F.try_to_date(value, "M/d/yyyy").isNotNull(), "M/d/yyyy"),
+        (value.contains("/") & is_date("M/d/yyyy"), "M/d/yyyy"),
         (value.contains("/"), "d/M/yyyy"),
+        (value.contains("-") & is_date("d-M-yyyy"), "d-M-yyyy"),
+        (value.contains("-"), "M-d-yyyy"),
     ]
+    day = form = F.lit(None)
+    for condition, tried_form in reversed(tried):
+        day = F.when(condition, F.try_to_date(value, tried_form)).otherwise(day)
+        form = F.when(condition, tried_form).otherwise(form)
     padded = value.rlike(r"^\d\d.\d\d.")
-    result = F.lit(None).cast("string")
-    for condition, form in reversed(tried):
-        day = _permuted_day(F.try_to_date(value, form), secret)
-        wide = form.replace("d", "dd").replace("M", "MM")
-        new = F.when(padded, F.date_format(day, wide)).otherwise(F.date_format(day, form))
-        result = F.when(condition, new).otherwise(result)
+
+    def written(day: Column) -> Column:
+        result = F.lit(None).cast("string")
+        for _, tried_form in tried:
+            wide = tried_form.replace("d", "dd").replace("M", "MM")
+            new = F.when(padded, F.date_format(day, wide)).otherwise(F.date_format(day, tried_form))
+            result = F.when(form == tried_form, new).otherwise(result)
+        return result
+
+    # A list of one, so that the day is computed once for all forms.
+    result = F.transform(F.array(_permuted_day(day.cast("date"), secret)), written)[0]
     return F.when(result.rlike(r"^\d{1,2}.\d{1,2}.\d{4}$"), result).otherwise(value)
 
 
@@ -259,14 +287,27 @@ def _phone(value: Column, secret: str) -> Column:
 
 
 def _card(value: Column, secret: str) -> Column:
-    """All digits but the first, which names the kind of issuer; the last is the check digit."""
+    """All digits but the first, which names the kind of issuer; the last is the check digit.
+
+    A number behind the four groups of a card may belong to it or not; the check digit tells.
+    """
+    head = F.substr(value, F.lit(1), F.lit(19))
+    more = value.rlike(r"^(\d{4}[ .-]){4}\d") & (luhn(_digits(head)) % 10 == 0)
+    valid = F.when(luhn(_digits(value)) % 10 == 0, value).when(more, head)
+
+    def changed(card: Column) -> Column:
+        return F.concat(_permuted_card(card, secret), F.substr(value, F.length(card) + 1))
+
+    return F.coalesce(F.transform(F.array(valid), changed)[0], value)
+
+
+def _permuted_card(value: Column, secret: str) -> Column:
     digits = _digits(value)
     size = F.length(digits)
     first, middle = F.substr(digits, F.lit(1), F.lit(1)), F.substr(digits, F.lit(2), size - 2)
     body = F.concat(first, _permute_digits(middle, secret, "card"))
     check = F.pmod(-luhn(F.concat(body, F.lit("0"))), F.lit(10))
-    new = F.concat(body, check.cast("string"))
-    return F.when(luhn(digits) % 10 == 0, _refill(value, new)).otherwise(value)
+    return _refill(value, F.concat(body, check.cast("string")))
 
 
 def pseudonym(value: Column, secret: str) -> Column:
@@ -275,10 +316,10 @@ def pseudonym(value: Column, secret: str) -> Column:
         F.when(value.contains("@"), _email(value, secret))
         .when(value.rlike("^[A-Z]"), _iban(value, secret))
         .when(value.rlike(r"^\d+\.\d+\.\d+\.\d+$"), _ip(value, secret))
-        .when(value.rlike(r"^\d{4}-\d\d-\d\d$"), _iso_date(value, secret))
-        .when(value.rlike(r"^\d{1,2}[./]\d{1,2}[./]"), _date(value, secret))
+        .when(value.rlike(r"^\d{4}([-./])\d\d\1\d\d$"), _iso_date(value, secret))
+        .when(value.rlike(r"^\d{1,2}([./-])\d{1,2}\1\d{4}$"), _date(value, secret))
         .when(value.rlike(r"^\d{3}-\d\d-\d{4}$"), _ssn(value, secret))
-        .when(value.rlike(r"^[+(]|^\d{3}-\d{3}-"), _phone(value, secret))
+        .when(value.rlike(r"^[+(]|^\d{3}([ .-])\d{3}\1\d{4}$"), _phone(value, secret))
         .otherwise(_card(value, secret))
     )
 

@@ -84,3 +84,23 @@ def test_nulls_and_other_columns(make):
     assert got.columns == ["doc_id", "text", "secret", "n"]
     assert got.where("doc_id = 1").distinct().count() == 1 and got.where("text IS NULL AND n IS NULL").count() == 1
     assert pseudonymise(make([], SCHEMA), KEY, count="c").count() == 0
+
+
+@pytest.mark.parametrize("value", [
+    "GB29 NWBK 6016 1331 9268 19", "DE89 3704 0044 0532 0130 00", "DE89-3704-0044-0532-0130-00", "555.123.4567", "555 123 4567",
+    "+33 1 23 45 67 89", "1999/12/03", "1999.12.03", "03-12-1999", "31-1-1999", "4111 1111 1111 1111 110", "4111.1111.1111.1111",
+])
+def test_other_written_forms_are_found(make, value):
+    ((new, n),) = replaced(make, [f"see {value} AND 7 more"])
+    assert n == 1 and value not in new
+    shape = lambda t: re.sub("[A-Z]", "A", re.sub(r"\d+", "9", t))
+    assert shape(new) == shape(f"see {value} AND 7 more")
+
+
+def test_grouped_numbers_are_those_without_groups(make):
+    pairs = [("GB29 NWBK 6016 1331 9268 19", "GB29NWBK60161331926819"), ("4111 1111 1111 1111 110", "4111111111111111110"), ("1999/12/03", "1999-12-03")]
+    for a, b in pairs:
+        (x, _), (y, _) = replaced(make, [a, b])
+        assert re.sub(r"\W", "", x) == re.sub(r"\W", "", y) != re.sub(r"\W", "", a)
+    ((new, n),) = replaced(make, ["4111 1111 1111 1111 123 Main St"])
+    assert n == 1 and new.endswith(" 123 Main St") and "1111 1111 1111" not in new
