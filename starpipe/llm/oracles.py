@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from starpipe.llm.chat import ESCAPE, Template
 from starpipe.llm.common import UPPER
+from starpipe.llm.fim import RATE, SENTINELS, SPM
+from starpipe.llm.phrases import LEAST, MOST_WORDS, NO_LANG, TOP
+from starpipe.llm.phrases import PERCENT as ACCOUNTS
 from starpipe.llm.setjoin import PERCENT, WORDS
 from starpipe.llm.url_filter import BLOCK, RULES, THRESHOLD, VOCABULARY
 from starpipe.llm.vectors import COSINE
@@ -123,3 +126,81 @@ linked AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, coalesce(l.n, 0) AS n_links, r.component_id, e.vec_id = r.component_id AS kept
 FROM embeddings e JOIN roots r ON r.node = e.vec_id LEFT JOIN linked l ON l.a = e.vec_id
 """
+
+
+def duplicates() -> str:
+    return """
+WITH whole AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = max(doc_id) OVER same AS kept, sha256(text) AS text_sha256
+FROM whole WINDOW same AS (PARTITION BY text)
+"""
+
+
+def fill_in_middle() -> str:
+    return f"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w
+  FROM documents
+),
+numbers AS (
+  SELECT *, len(w) AS n, [CAST('0x' || substr(h, 8 * i + 1, 8) AS BIGINT) FOR i IN range(4)] AS x FROM drawn
+),
+cuts AS (
+  SELECT *, least(x[1] % (n + 1), x[2] % (n + 1)) AS one, greatest(x[1] % (n + 1), x[2] % (n + 1)) AS two,
+    CASE WHEN text = '' OR {" OR ".join(f"contains(text, '{s}')" for s in SENTINELS)} OR x[3] % 100 >= {RATE}
+      THEN 'plain' WHEN x[4] % 100 < {SPM} THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers
+),
+parts AS (
+  SELECT *, array_to_string(w[1:one], '') AS prefix, array_to_string(w[one + 1:two], '') AS middle,
+    array_to_string(w[two + 1:n], '') AS suffix
+  FROM cuts
+)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+def phrases() -> str:
+    return f"""
+WITH pieces AS (
+  SELECT coalesce(lang, '{NO_LANG}') AS lang,
+    unnest(string_split_regex({_lower("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, m, unnest([array_to_string(w[i:i + m - 1], ' ') FOR i IN range(1, len(w) - m + 2)]) AS phrase
+  FROM words, range(1, {MOST_WORDS + 1}) AS sizes(m)
+),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= {LEAST}),
+inside AS (
+  SELECT c.lang, c.phrase FROM f c JOIN f d ON c.lang = d.lang AND c.m < d.m AND c.m > 1
+    AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' ') AND 100 * d.a >= {ACCOUNTS} * c.a
+),
+cuts AS (
+  SELECT lang, phrase, a, k, string_split(phrase, ' ') AS w, m
+  FROM f, range(1, {MOST_WORDS}) AS ks(k) WHERE k < m
+),
+scores AS (
+  SELECT c.lang, c.phrase, c.a, k, l.a AS l, r.a AS r, n,
+    CAST((1000 * CAST(c.a AS HUGEINT) * n) // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+  FROM cuts c JOIN totals t ON t.lang = c.lang
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[k + 1:c.m], ' ')
+  WHERE (c.lang, c.phrase) NOT IN (SELECT (lang, phrase) FROM inside)
+),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM lowest QUALIFY rank <= {TOP}
+"""

@@ -113,6 +113,32 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "__mix.tokens", *shares, "__mix.rate", "__mix.copies")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starpipe.llm.digest_index import keep_last
+
+    docs = read_table(spark, sf_dir, "documents")
+    return keep_last(docs, new_path(spark, "digest-index"), carry=["doc_id"]).select(
+        "given.doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starpipe.llm.fim import fill_in_middle, restore
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return restore(fill_in_middle(docs, carry=["doc_id"])).select(
+        "given.doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starpipe.llm.phrases import collocations
+
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_url_filters": op2_url_filters,
@@ -124,6 +150,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vectors": op8_vectors,
     "op9_pii": op9_pii,
     "op10_mixing": op10_mixing,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_phrases": op13_phrases,
 }
 
 ORACLES: dict[str, str] = {
@@ -131,4 +160,7 @@ ORACLES: dict[str, str] = {
     "op3_chat": oracles.chat(SAID),
     "op4_set_join": oracles.set_join(),
     "op8_vectors": oracles.vectors(),
+    "op11_exact_dedup": oracles.duplicates(),
+    "op12_fill_in_middle": oracles.fill_in_middle(),
+    "op13_phrases": oracles.phrases(),
 }
