@@ -1,20 +1,20 @@
 """Collocations: frequent phrases of up to five words and how strongly their parts hang together.
 
 Texts are cut once into blocks of one language: a dictionary of the block's words and the words as
-numbers of it. Then one round per phrase length:
+numbers of it, and the blocks are dealt to groups. Then one round per phrase length:
 
 * Rabin-Karp: prefix polynomials over the words' codes (themselves such polynomials over the words'
-  bytes) give the fingerprint of every phrase of that length in a block by a subtraction; a shuffle
-  aggregates fingerprints, with the blocks they occur in as occurrence pointers.
-* The fingerprints that are frequent go back to the blocks that hold them, along the pointers. A phrase
+  bytes) give the fingerprint of every phrase of that length in a block by a subtraction; a group's
+  are added up, and a shuffle aggregates them, with the groups they occur in as occurrence pointers.
+* The fingerprints that are frequent go back to the groups that hold them, along the pointers. A phrase
   of the next length is fingerprinted only where both phrases one word shorter are frequent, which
   every frequent phrase satisfies. So what is shuffled shrinks from round to round and nothing is broadcast by hint.
 * There, too, occurrences of a fingerprint are compared word by word, by the block's exact numbers, and
   only such phrases become text. They are counted again by text, so a collision of fingerprints
   can only let a rare phrase come that far, never change a count or lose a phrase.
 
-Blocks are bucketed by their number, so texts are shuffled once; a block's words fit in memory, its
-size being bounded by ``BLOCK`` and the longest piece.
+Blocks are bucketed by group, so texts are shuffled once; a block's words fit in memory, its size
+being bounded by ``BLOCK`` and the longest piece, and so do a group's counts, bounded by ``HELD``.
 """
 
 from __future__ import annotations
@@ -40,8 +40,12 @@ LEAST = 100
 PERCENT = 100
 TOP = 2000
 NO_LANG = "und"
-#: Bytes of text in a block.
-BLOCK = 8 << 20
+#: Bytes of text in a block, and in a group of blocks whose counts are added up before the shuffle.
+BLOCK = 4 << 20
+GROUP = 64 << 20
+LEAST_GROUPS = 8
+#: Distinct fingerprints that a group's counts may hold before they are handed on.
+HELD = 4 << 20
 #: Spark's own limit of buckets per table.
 MOST_BUCKETS = 100_000
 #: Parts in which a language's best phrases are looked for first.
@@ -52,8 +56,8 @@ _NORMAL = bytes.maketrans(BREAKS + SPACES + _UPPER, b"\n" * len(BREAKS) + b" " *
 _BASE = 0x9E3779B97F4A7C15
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
-_BLOCKS = "lang string, n long, words binary, ids binary"
-_FOUND = "block long, lang string, gram long, n long, phrase string"
+_BLOCKS = "lang string, bytes long, n long, words binary, ids binary"
+_FOUND = "grp int, lang string, gram long, n long, phrase string"
 
 
 class Polynomial:
@@ -114,11 +118,10 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sizes: Counter = Counter()
 
     def block(lang: str) -> pa.RecordBatch:
-        del sizes[lang]
-        rows = [[lang], *([value] for value in _numbered(held.pop(lang)))]
-        kinds = [pa.string(), pa.int64(), pa.binary(), pa.binary()]
+        rows = [[lang], [sizes.pop(lang)], *([value] for value in _numbered(held.pop(lang)))]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(row, kind) for row, kind in zip(rows, kinds)], ["lang", "n", "words", "ids"]
+            [pa.array(row, kind) for row, kind in zip(rows, kinds)], ["lang", "bytes", "n", "words", "ids"]
         )
 
     for batch in batches:
@@ -175,63 +178,114 @@ class Block:
         return found
 
 
+class Tally:
+    """Counts of one group of blocks: of fingerprints, and of phrases by language."""
+
+    def __init__(self):
+        self.group = None
+        self._clear()
+
+    def _clear(self) -> None:
+        self.grams, self.counts, self.held = [], [], 0
+        self.phrases: dict[str, Counter] = {}
+        self.texts = 0
+
+    def add_grams(self, grams: np.ndarray, counts: np.ndarray) -> None:
+        self.grams.append(grams)
+        self.counts.append(counts)
+        self.held += len(grams)
+        if self.held > HELD:
+            self._merge()
+
+    def add_phrases(self, lang: str, found: Counter) -> None:
+        held = self.phrases.setdefault(lang, Counter())
+        self.texts -= len(held)
+        held.update(found)
+        self.texts += len(held)
+
+    def _merge(self) -> None:
+        grams, which = np.unique(np.concatenate(self.grams), return_inverse=True)
+        counts = np.zeros(len(grams), np.int64)
+        np.add.at(counts, which, np.concatenate(self.counts))
+        self.grams, self.counts, self.held = [grams], [counts], len(grams)
+
+    def full(self) -> bool:
+        return self.held > HELD // 2 or self.texts > HELD // 8
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """What was counted since the last time."""
+        for lang, found in self.phrases.items():
+            yield _rows(self.group, lang, None, list(found.values()), list(found))
+        if self.grams:
+            self._merge()
+            yield _rows(self.group, None, self.grams[0], self.counts[0], None)
+        self._clear()
+
+
 def _round(size: int, most: int):
     """Rows of a round: texts of the frequent phrases one word shorter, then fingerprints of ``size`` words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally, frequent = Tally(), np.zeros(0, np.int64)
         for batch in batches:
             for i in range(batch.num_rows):
-                number, lang, words, ids = (batch.column(c)[i].as_py() for c in range(4))
+                group, lang, words, ids = (batch.column(c)[i].as_py() for c in range(4))
+                if group != tally.group or tally.full():
+                    yield from tally.rows()
+                    if size > 1 and group != tally.group:
+                        frequent = np.sort(batch.column(4)[i].values.to_numpy(zero_copy_only=False))
+                    tally.group = group
                 block = Block(lang, words, ids)
                 places = block.places(size) if size <= most else np.zeros(0, np.int64)
                 if size > 1:
-                    frequent = np.sort(batch.column(4)[i].values.to_numpy(zero_copy_only=False))
                     shorter = block.places(size - 1)
                     grams = block.grams(shorter, size - 1)
                     hit = frequent[np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)] == grams
                     flags = np.zeros(len(block.ids) + 1, bool)
                     flags[shorter[hit]] = True
-                    found = block.texts(shorter[hit], grams[hit], size - 1)
-                    yield _rows(number, lang, None, list(found.values()), list(found))
+                    tally.add_phrases(lang, block.texts(shorter[hit], grams[hit], size - 1))
                     places = places[flags[places] & flags[places + 1]]
                 if len(places):
-                    grams, counts = np.unique(block.grams(places, size), return_counts=True)
-                    yield _rows(number, None, grams, counts, None)
+                    tally.add_grams(*np.unique(block.grams(places, size), return_counts=True))
+        yield from tally.rows()
 
     return run
 
 
-def _rows(block, lang, grams, counts, phrases) -> pa.RecordBatch:
+def _rows(group, lang, grams, counts, phrases) -> pa.RecordBatch:
     size = len(counts)
     arrays = [
-        pa.repeat(pa.scalar(block, pa.int64()), size),
+        pa.repeat(pa.scalar(group, pa.int32()), size),
         pa.repeat(pa.scalar(lang, pa.string()), size),
         pa.nulls(size, pa.int64()) if grams is None else pa.array(grams, pa.int64()),
         pa.array(counts, pa.int64()),
         pa.nulls(size, pa.string()) if phrases is None else pa.array(phrases, pa.string()),
     ]
-    return pa.RecordBatch.from_arrays(arrays, ["block", "lang", "gram", "n", "phrase"])
+    return pa.RecordBatch.from_arrays(arrays, ["grp", "lang", "gram", "n", "phrase"])
 
 
 def blocks_of(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The blocks, written bucketed by their number, so that rounds join them without an exchange."""
+    """The blocks in groups of about ``GROUP`` bytes, bucketed by group, so that rounds join them
+    without an exchange."""
     spark = docs.sparkSession
     given = docs.select(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(NO_LANG)).alias("lang"),
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
     )
     packed = given.mapInArrow(_pack, _BLOCKS).withColumn("block", F.monotonically_increasing_id())
-    packed = cut(packed.select("block", "lang", "words", "ids", "n"), "phrase-blocks")
-    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_BUCKETS)
+    packed = cut(packed, "phrase-blocks")
+    size = packed.agg(F.sum("bytes")).first()[0] or 0
+    groups = min(max(-(-size // GROUP), LEAST_GROUPS), MOST_BUCKETS)
+    dealt = packed.withColumn("grp", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
     name = f"phrase_blocks_{uuid.uuid4().hex}"
-    dealt = packed.repartition(buckets, "block").write.option("path", new_path(spark, "phrase-buckets"))
-    dealt.bucketBy(buckets, "block").saveAsTable(name)
+    writer = dealt.select("grp", "lang", "words", "ids", "n").repartition(groups, "grp").write
+    writer.option("path", new_path(spark, "phrase-groups")).bucketBy(groups, "grp").sortBy("grp").saveAsTable(name)
     return spark.table(name)
 
 
 def frequent_phrases(blocks: DataFrame, least: int = LEAST, most: int = MOST_WORDS) -> DataFrame:
     """(lang, phrase, size, a): all phrases of 1 to ``most`` words that occur ``least`` times or more."""
-    given = ("block", "lang", "words", "ids")
+    given = ("grp", "lang", "words", "ids")
     source, texts = blocks.select(*given), []
     for size in range(1, most + 2):
         found = cut(source.mapInArrow(_round(size, most), _FOUND), f"phrases-of-{size}")
@@ -241,10 +295,12 @@ def frequent_phrases(blocks: DataFrame, least: int = LEAST, most: int = MOST_WOR
             )
         if size > most:
             break
-        grams = found.where("gram IS NOT NULL").select("gram", "n", "block")
-        totals = grams.groupBy("gram").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-        back = grams.join(totals, "gram", "left_semi").groupBy("block").agg(F.collect_list("gram").alias("grams"))
-        source = blocks.select(*given).join(back, "block")
+        grams = found.where("gram IS NOT NULL").select("gram", "n", "grp")
+        totals = grams.groupBy("gram").agg(F.sum("n").alias("a")).where(F.col("a") >= least).select("gram")
+        # Written first: its size is known then, and the fingerprints need no second exchange if it is small.
+        totals = cut(totals, f"frequent-of-{size}")
+        back = grams.join(totals, "gram", "left_semi").groupBy("grp").agg(F.collect_list("gram").alias("grams"))
+        source = blocks.select(*given).join(back, "grp")
     whole = texts[0]
     for more in texts[1:]:
         whole = whole.union(more)
