@@ -23,10 +23,11 @@ import hashlib
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starpipe.llm.common import cut
@@ -41,16 +42,20 @@ PERCENT = 100
 TOP = 2000
 NO_LANG = "und"
 #: Bytes of text in a block, and in a group of blocks whose counts are added up before the shuffle.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 GROUP = 64 << 20
 LEAST_GROUPS = 8
 #: Distinct fingerprints that a group's counts may hold before they are handed on.
-HELD = 4 << 20
+HELD = 2 << 20
 #: Spark's own limit of buckets per table.
 MOST_BUCKETS = 100_000
 #: Parts in which a language's best phrases are looked for first.
 PARTS = 64
 
+#: Blocks in an Arrow batch, and what keeps as few of them in a reader's memory.
+BATCH = 8
+_SMALL_ROW_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "4"}
+
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 _NORMAL = bytes.maketrans(BREAKS + SPACES + _UPPER, b"\n" * len(BREAKS) + b" " * len(SPACES) + _UPPER.lower())
 _BASE = 0x9E3779B97F4A7C15
@@ -279,16 +284,30 @@ def blocks_of(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
     dealt = packed.withColumn("grp", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
     name = f"phrase_blocks_{uuid.uuid4().hex}"
     writer = dealt.select("grp", "lang", "words", "ids", "n").repartition(groups, "grp").write
-    writer.option("path", new_path(spark, "phrase-groups")).bucketBy(groups, "grp").sortBy("grp").saveAsTable(name)
+    writer = writer.options(path=new_path(spark, "phrase-groups"), **_SMALL_ROW_GROUPS)
+    writer.bucketBy(groups, "grp").sortBy("grp").saveAsTable(name)
     return spark.table(name)
 
 
+@contextmanager
+def _few_rows_at_a_time(spark: SparkSession):
+    """Blocks are large rows: fewer of them in a batch than of others."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def frequent_phrases(blocks: DataFrame, least: int = LEAST, most: int = MOST_WORDS) -> DataFrame:
     """(lang, phrase, size, a): all phrases of 1 to ``most`` words that occur ``least`` times or more."""
     given = ("grp", "lang", "words", "ids")
     source, texts = blocks.select(*given), []
     for size in range(1, most + 2):
-        found = cut(source.mapInArrow(_round(size, most), _FOUND), f"phrases-of-{size}")
+        with _few_rows_at_a_time(blocks.sparkSession):
+            found = cut(source.mapInArrow(_round(size, most), _FOUND), f"phrases-of-{size}")
         if size > 1:
             texts.append(
                 found.where("phrase IS NOT NULL").select("lang", "phrase", F.lit(size - 1).alias("size"), "n")
@@ -297,10 +316,11 @@ def frequent_phrases(blocks: DataFrame, least: int = LEAST, most: int = MOST_WOR
             break
         grams = found.where("gram IS NOT NULL").select("gram", "n", "grp")
         totals = grams.groupBy("gram").agg(F.sum("n").alias("a")).where(F.col("a") >= least).select("gram")
-        # Written first: its size is known then, and the fingerprints need no second exchange if it is small.
+        # Written first, so that their sizes are known: fingerprints need no second exchange where those
+        # that are frequent fit in memory, and blocks none at all.
         totals = cut(totals, f"frequent-of-{size}")
         back = grams.join(totals, "gram", "left_semi").groupBy("grp").agg(F.collect_list("gram").alias("grams"))
-        source = blocks.select(*given).join(back, "grp")
+        source = blocks.select(*given).join(cut(back, f"frequent-of-{size}-by-group"), "grp")
     whole = texts[0]
     for more in texts[1:]:
         whole = whole.union(more)
