@@ -46,13 +46,14 @@ BLOCK = 2 << 20
 GROUP = 64 << 20
 LEAST_GROUPS = 8
 #: Distinct fingerprints that a group's counts may hold before they are handed on.
-HELD = 2 << 20
+HELD = 4 << 20
 #: Spark's own limit of buckets per table.
 MOST_BUCKETS = 100_000
 #: Parts in which a language's best phrases are looked for first.
 PARTS = 64
 
-#: Blocks in an Arrow batch, and what keeps as few of them in a reader's memory.
+#: Texts and blocks in an Arrow batch, and what keeps as few blocks in a reader's memory.
+TEXTS = 1000
 BATCH = 8
 _SMALL_ROW_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "4"}
 
@@ -209,13 +210,15 @@ class Tally:
         self.texts += len(held)
 
     def _merge(self) -> None:
-        grams, which = np.unique(np.concatenate(self.grams), return_inverse=True)
-        counts = np.zeros(len(grams), np.int64)
-        np.add.at(counts, which, np.concatenate(self.counts))
-        self.grams, self.counts, self.held = [grams], [counts], len(grams)
+        grams, counts = np.concatenate(self.grams), np.concatenate(self.counts)
+        order = np.argsort(grams)
+        grams, counts = grams[order], counts[order]
+        first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+        self.grams, self.counts = [grams[first]], [np.add.reduceat(counts, first)]
+        self.held = len(first)
 
     def full(self) -> bool:
-        return self.held > HELD // 2 or self.texts > HELD // 8
+        return self.held > HELD * 3 // 4 or self.texts > HELD // 8
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         """What was counted since the last time."""
@@ -223,7 +226,9 @@ class Tally:
             yield _rows(self.group, lang, None, list(found.values()), list(found))
         if self.grams:
             self._merge()
-            yield _rows(self.group, None, self.grams[0], self.counts[0], None)
+            for start in range(0, self.held, HELD // 8):
+                some = slice(start, start + HELD // 8)
+                yield _rows(self.group, None, self.grams[0][some], self.counts[0][some], None)
         self._clear()
 
 
@@ -269,6 +274,18 @@ def _rows(group, lang, grams, counts, phrases) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["grp", "lang", "gram", "n", "phrase"])
 
 
+@contextmanager
+def _few_rows_at_a_time(spark: SparkSession, rows: int):
+    """Texts and blocks are large rows: fewer of them in a batch than of others."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def blocks_of(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The blocks in groups of about ``GROUP`` bytes, bucketed by group, so that rounds join them
     without an exchange."""
@@ -278,7 +295,8 @@ def blocks_of(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
     )
     packed = given.mapInArrow(_pack, _BLOCKS).withColumn("block", F.monotonically_increasing_id())
-    packed = cut(packed, "phrase-blocks")
+    with _few_rows_at_a_time(spark, TEXTS):
+        packed = cut(packed, "phrase-blocks")
     size = packed.agg(F.sum("bytes")).first()[0] or 0
     groups = min(max(-(-size // GROUP), LEAST_GROUPS), MOST_BUCKETS)
     dealt = packed.withColumn("grp", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
@@ -289,24 +307,12 @@ def blocks_of(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
     return spark.table(name)
 
 
-@contextmanager
-def _few_rows_at_a_time(spark: SparkSession):
-    """Blocks are large rows: fewer of them in a batch than of others."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(BATCH))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def frequent_phrases(blocks: DataFrame, least: int = LEAST, most: int = MOST_WORDS) -> DataFrame:
     """(lang, phrase, size, a): all phrases of 1 to ``most`` words that occur ``least`` times or more."""
     given = ("grp", "lang", "words", "ids")
     source, texts = blocks.select(*given), []
     for size in range(1, most + 2):
-        with _few_rows_at_a_time(blocks.sparkSession):
+        with _few_rows_at_a_time(blocks.sparkSession, BATCH):
             found = cut(source.mapInArrow(_round(size, most), _FOUND), f"phrases-of-{size}")
         if size > 1:
             texts.append(
