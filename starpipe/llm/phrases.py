@@ -43,7 +43,7 @@ TOP = 2000
 NO_LANG = "und"
 #: Bytes of text in a block, and in a group of blocks whose counts are added up before the shuffle.
 BLOCK = 2 << 20
-GROUP = 64 << 20
+GROUP = 32 << 20
 LEAST_GROUPS = 8
 #: Distinct fingerprints that a group's counts may hold before they are handed on.
 HELD = 4 << 20
@@ -309,11 +309,15 @@ def blocks_of(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
 
 def frequent_phrases(blocks: DataFrame, least: int = LEAST, most: int = MOST_WORDS) -> DataFrame:
     """(lang, phrase, size, a): all phrases of 1 to ``most`` words that occur ``least`` times or more."""
-    given = ("grp", "lang", "words", "ids")
+    spark, given = blocks.sparkSession, ("grp", "lang", "words", "ids")
     source, texts = blocks.select(*given), []
     for size in range(1, most + 2):
-        with _few_rows_at_a_time(blocks.sparkSession, BATCH):
-            found = cut(source.mapInArrow(_round(size, most), _FOUND), f"phrases-of-{size}")
+        with _few_rows_at_a_time(spark, BATCH):
+            path = new_path(spark, f"phrases-of-{size}")
+            # Small row groups, so that counting them takes many small tasks.
+            rows = source.mapInArrow(_round(size, most), _FOUND)
+            rows.write.option("parquet.block.size", str(8 << 20)).parquet(path)
+            found = spark.read.schema(rows.schema).parquet(path)
         if size > 1:
             texts.append(
                 found.where("phrase IS NOT NULL").select("lang", "phrase", F.lit(size - 1).alias("size"), "n")
