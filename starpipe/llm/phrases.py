@@ -8,7 +8,7 @@ numbers of it, and the blocks are dealt to groups. Then one round per phrase len
   are added up, and a shuffle aggregates them, with the groups they occur in as occurrence pointers.
 * The fingerprints that are frequent go back to the groups that hold them, along the pointers. A phrase
   of the next length is fingerprinted only where both phrases one word shorter are frequent, which
-  every frequent phrase satisfies. So what is shuffled shrinks from round to round and nothing is broadcast by hint.
+  every frequent phrase satisfies. So what is shuffled shrinks from round to round.
 * There, too, occurrences of a fingerprint are compared word by word, by the block's exact numbers, and
   only such phrases become text. They are counted again by text, so a collision of fingerprints
   can only let a rare phrase come that far, never change a count or lose a phrase.
@@ -43,15 +43,17 @@ TOP = 2000
 NO_LANG = "und"
 #: Bytes of text in a block, and in a group of blocks whose counts are added up before the shuffle.
 BLOCK = 2 << 20
-GROUP = 32 << 20
+GROUP = 48 << 20
 LEAST_GROUPS = 8
 #: Distinct fingerprints that a group's counts may hold before they are handed on.
-HELD = 4 << 20
+HELD = 5 << 20
 #: Spark's own limit of buckets per table.
 MOST_BUCKETS = 100_000
 #: Parts in which a language's best phrases are looked for first.
 PARTS = 64
 
+#: Frequent fingerprints of a round that are sent to all executors at most (a few dozen MB); more are joined.
+MOST_SENT = 1 << 20
 #: Texts and blocks in an Arrow batch, and what keeps as few blocks in a reader's memory.
 TEXTS = 1000
 BATCH = 8
@@ -198,7 +200,7 @@ class Tally:
 
     def add_grams(self, grams: np.ndarray, counts: np.ndarray) -> None:
         self.grams.append(grams)
-        self.counts.append(counts)
+        self.counts.append(counts.astype(np.int32))
         self.held += len(grams)
         if self.held > HELD:
             self._merge()
@@ -329,6 +331,7 @@ def frequent_phrases(blocks: DataFrame, least: int = LEAST, most: int = MOST_WOR
         # Written first, so that their sizes are known: fingerprints need no second exchange where those
         # that are frequent fit in memory, and blocks none at all.
         totals = cut(totals, f"frequent-of-{size}")
+        totals = F.broadcast(totals) if totals.count() <= MOST_SENT else totals
         back = grams.join(totals, "gram", "left_semi").groupBy("grp").agg(F.collect_list("gram").alias("grams"))
         source = blocks.select(*given).join(cut(back, f"frequent-of-{size}-by-group"), "grp")
     whole = texts[0]
