@@ -629,6 +629,7 @@ BODIES = {
     "d15_star_sizes": counts([(t, t) for t, _ in STAR_KEYS + SUB_KEYS]),
     "l1_roundtrip": "SELECT * FROM dim_proyectos",
     "l2_append": "SELECT * FROM dim_clientes UNION ALL SELECT * FROM dim_clientes",
+    "l2_append_batch": "SELECT * FROM dim_clientes UNION ALL SELECT * FROM dim_clientes",
     "l3_sink_types": """
         SELECT * REPLACE (
           nullif(ID_TiempoInicio, 0) AS ID_TiempoInicio,
@@ -642,6 +643,22 @@ BODIES = {
         SELECT count(*) AS filas, count(nullif(ID_TiempoInicio, 0)) AS con_inicio,
                count(nullif(ID_Riesgo, 0)) AS con_riesgo, count(nullif(ID_Finanza, 0)) AS con_finanza
         FROM hechos_proyectos""",
+    "l5_gate": """
+        SELECT 'dim_hitos' AS tabla, count(*) AS filas, 0 AS retenidas
+        FROM dim_hitos WHERE Retraso_days <= 0
+        UNION ALL SELECT 'dim_tareas', count(*) FILTER (Retraso_days <= 0),
+          count(*) FILTER (Retraso_days > 0) FROM dim_tareas JOIN dim_hitos USING (ID_Hito)
+        UNION ALL SELECT 'dim_pruebas', count(*) FILTER (Retraso_days <= 0),
+          count(*) FILTER (Retraso_days > 0) FROM dim_pruebas JOIN dim_hitos USING (ID_Hito)""",
+    "e1_incremental_load": """
+        SELECT * EXCLUDE (ID_Hecho) REPLACE (
+          CASE WHEN isfinite(ProporcionCAPEX_OPEX)
+            THEN CAST(ProporcionCAPEX_OPEX AS DECIMAL(10,2)) END AS ProporcionCAPEX_OPEX)
+        FROM hechos_proyectos""",
+    "e1_incremental_counts": counts(_star_counts),
+    "i5_status": """
+        SELECT strftime(max(FechaFin), '%Y-%m-%d 00:00:00') AS last_extraction,
+               'incremental' AS next_mode FROM s_proyectos""",
     "e1_full_run": counts(_star_counts),
     "e2_reset_and_run": counts(_star_counts),
     "l5_fk_audit": fk_audit(FOREIGN_KEYS),

@@ -16,10 +16,12 @@ from starpipe.functions import columns as C
 from starpipe.functions.keys import dense_id
 from starpipe.functions.lookups import lookup, semi_if_any
 from starpipe.operators import analytics, audits, dims, extract, facts
+from starpipe.operators.gate import Gate
 from starpipe.operators.sinks import ParquetSink, conformed, load_all, load_table
+from starpipe.plans.incremental import StarWarehouse, dense_days
 from starpipe.plans.pipeline import reset_and_run, run_pipeline
 from starpipe.plans.star import build_star
-from starpipe.schemas import LOAD_ORDER, SOURCE, STAR
+from starpipe.schemas import FOREIGN_KEYS, LOAD_ORDER, SOURCE, STAR
 from starpipe.sources.order_system import order_system
 from starpipe.sources.readers import parquet_source
 from starpipe.sources.tables import Tables
@@ -560,6 +562,16 @@ def _append(c):
     return sink.read(c.spark, "dim_clientes")
 
 
+@query("l2_append_batch")
+def _append_batch(c):
+    # The job for a batch is started twice; its rows arrive once.
+    sink = ParquetSink(new_path(c.spark, "warehouse"))
+    load_table(c.star["dim_clientes"], "dim_clientes", sink)
+    for _ in range(2):
+        load_table(c.star["dim_clientes"], "dim_clientes", sink, mode="append", batch="2002-01-01")
+    return sink.read(c.spark, "dim_clientes")
+
+
 @query("l3_sink_types")
 def _sink_types(c):
     return conformed(c.star["hechos_proyectos"], "hechos_proyectos", zero_to_null=True)
@@ -586,6 +598,19 @@ def _load_all_nulls(c):
     )
 
 
+@query("l5_gate", staged=True)
+def _gate(c):
+    # Milestones that were late are kept from the load, so their tasks and tests have no parent.
+    tables = {n: c.star[n] for n in ("dim_hitos", "dim_tareas", "dim_pruebas")}
+    tables["dim_hitos"] = tables["dim_hitos"].where("Retraso_days <= 0")
+    keys = tuple(key for key in FOREIGN_KEYS if key[2] == "dim_hitos")
+    sink = ParquetSink(new_path(c.spark, "warehouse"), gate=Gate(keys=keys))
+    load_all(tables, sink)
+    held = [(name, sink.quarantined.get(name, 0)) for name in tables]
+    counts = audits.row_counts({n: sink.read(c.spark, n) for n in tables}, tables)
+    return counts.join(c.spark.createDataFrame(held, "tabla string, retenidas long"), "tabla")
+
+
 @query("l5_fk_audit", staged=True)
 def _fk_audit(c):
     return audits.foreign_key_audit(c.star)
@@ -624,6 +649,40 @@ def _incremental_scope(c):
     return extract.extract_all(c.src, since=since)["proyectos"]
 
 
+def _grown(c) -> StarWarehouse:
+    """A star of the projects that had started by a day, which then takes in the later ones."""
+    day = "1998-06-30"
+    started = c.src["proyectos"].where(F.coalesce(F.col("FechaInicio") <= day, F.lit(True)))
+    early = Tables({n: (lambda n=n: c.src[n]) for n in SOURCE}).but(proyectos=lambda: started)
+    house = StarWarehouse(c.spark, new_path(c.spark, "warehouse"), parts=8)
+    house.load(early)
+    house.merge(c.src, extract.changed_since(c.src["proyectos"], "FechaInicio", f"{day} 00:00:00"))
+    return house
+
+
+@query("e1_incremental_load")
+def _incremental_load(c):
+    # Keys of the calendar count from the first load's first day; here they are dense again.
+    house = _grown(c)
+    calendar = house.calendar()
+    days = {k: dense_days(F.col(k), calendar) for k in ("ID_TiempoInicio", "ID_TiempoFinalizacion")}
+    return house.read("hechos_proyectos").withColumns(days).drop("ID_Hecho")
+
+
+@query("e1_incremental_counts")
+def _incremental_counts(c):
+    house = _grown(c)
+    return audits.row_counts({n: house.read(n) for n in LOAD_ORDER}, LOAD_ORDER)
+
+
+@query("i5_status")
+def _status(c):
+    control = Watermark(c.spark, new_path(c.spark, "control"))
+    last = c.src["proyectos"].agg(F.max("FechaFin")).first()[0]
+    control.advance(f"{last} 00:00:00")
+    return control.status()
+
+
 @query("e1_full_run")
 def _full_run(c):
     sink = ParquetSink(new_path(c.spark, "warehouse"))

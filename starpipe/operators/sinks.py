@@ -1,8 +1,9 @@
 """Typed replace and append loads of the star.
 
-A Parquet warehouse is loaded by writing every table once into a new version folder and then adding
-one file to the list of what makes up each table: readers see the old star until all of the new one
-is there, and a failure at any point leaves the old one as it was. Other targets have no such switch;
+A Parquet warehouse is loaded by writing every table once into a new version folder and then creating
+the next numbered list of what makes up each table: readers see the old star until all of the new one
+is there, a failure at any point leaves the old one as it was, and of two loads at once the second
+builds on the first. Other targets have no such switch;
 there every table is computed and written to the shared folder before the first target is replaced,
 parents before children. An empty table leaves its target as it was.
 """
@@ -13,11 +14,12 @@ import uuid
 from abc import ABC, abstractmethod
 from collections.abc import Iterable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from starpipe.control.versions import Conflict, Part, Version, Versions
+from starpipe.operators.gate import Gate, pass_gate
 from starpipe.schemas import LOAD_TIERS, STAR, ddl
 from starpipe.sources.tables import each
 from starpipe.workspace import materialise
@@ -39,9 +41,15 @@ class Sink(ABC):
     def read(self, spark: SparkSession, table: str) -> DataFrame: ...
 
     def load(
-        self, tables: Mapping[str, DataFrame], tiers: Iterable[Iterable[str]], mode: str
+        self,
+        tables: Mapping[str, DataFrame],
+        tiers: Iterable[Iterable[str]],
+        mode: str,
+        batch: str | None = None,
     ) -> dict[str, int]:
         """Rows loaded by table; a tier starts when the one before it is loaded."""
+        if batch is not None:
+            raise ValueError("this target keeps no ledger of batches")
         staged = each(lambda name: materialise(tables[name], f"load-{name}"), tables)
 
         def publish(name: str) -> int:
@@ -57,54 +65,101 @@ class Sink(ABC):
         return loaded
 
 
-_PARTS_OF_TABLES = "load bigint, tabla string, carpeta string, modo string"
-
-
 class ParquetSink(Sink):
-    """``root/_versions/<load>/<table>`` folders, and in ``root/_tables`` which of them count."""
+    """``root/_versions/<load>/<table>`` folders, and in ``root/_log`` which of them count.
 
-    def __init__(self, root: str):
-        self.root = root.rstrip("/")
+    With a ``gate`` a load is audited between writing and publishing: a repeated key stops it, rows
+    without their parent go to ``root/_quarantine/<load>/<table>`` and into ``quarantined``.
+    """
 
-    def _listed(self, spark: SparkSession) -> DataFrame:
-        try:
-            return spark.read.schema(_PARTS_OF_TABLES).parquet(f"{self.root}/_tables")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], _PARTS_OF_TABLES)
+    def __init__(self, root: str, gate: Gate | None = None):
+        self.root = root.rstrip("/")
+        self.gate = gate
+        #: Rows that the last load held back, by table.
+        self.quarantined: dict[str, int] = {}
 
     def write(self, df: DataFrame, table: str, mode: str) -> None:
         self.load({table: df}, ((table,),), mode)
 
     def load(
-        self, tables: Mapping[str, DataFrame], tiers: Iterable[Iterable[str]], mode: str
+        self,
+        tables: Mapping[str, DataFrame],
+        tiers: Iterable[Iterable[str]],
+        mode: str,
+        batch: str | None = None,
     ) -> dict[str, int]:
+        """A batch that was loaded before, by this job or another, loads nothing."""
         if not tables:
             return {}
         spark = next(iter(tables.values())).sparkSession
-        folder = f"{self.root}/_versions/{uuid.uuid4().hex}"
+        versions = Versions(spark, self.root)
+        if batch is not None and batch in versions.newest().lotes:
+            return dict.fromkeys(tables, 0)
+        load = uuid.uuid4().hex
+        folders = {name: f"{self.root}/_versions/{load}/{name}" for name in tables}
 
         def put(name: str) -> int:
-            tables[name].write.parquet(f"{folder}/{name}")
-            return spark.read.schema(tables[name].schema).parquet(f"{folder}/{name}").count()
+            return stored(tables[name], folders[name]).count()
 
         loaded = each(put, tables)
-        newest = self._listed(spark).agg(F.max("load")).first()[0] or 0
-        rows = [(newest + 1, n, f"{folder}/{n}", mode) for n, count in loaded.items() if count]
-        if rows:
-            # One file, which appears as a whole: all tables change at once.
-            listed = spark.createDataFrame(rows, _PARTS_OF_TABLES).coalesce(1)
-            listed.write.mode("append").parquet(f"{self.root}/_tables")
+        self.quarantined = {}
+        audited = self._audit(spark, load, folders, loaded, mode) if self.gate else None
+        filled = [name for name, rows in loaded.items() if rows]
+
+        def change(base: Version) -> Version:
+            if batch is not None and batch in base.lotes:
+                return base
+            if audited is not None and base.number != audited:
+                raise Conflict("another load was published after the audit")
+            made = base
+            for name in filled:
+                parts = [Part(name, folders[name])]
+                made = made.replaced(name, parts) if mode == "replace" else made.appended(parts)
+            return made if batch is None else made.with_batch(batch)
+
+        done = versions.publish(change)
+        if batch is not None and filled and not any(p.carpeta == folders[filled[0]] for p in done.parts):
+            return dict.fromkeys(tables, 0)
         return loaded
 
-    def read(self, spark: SparkSession, table: str) -> DataFrame:
-        """The last replaced version and what was appended to it since."""
-        parts = self._listed(spark).where(F.col("tabla") == table).orderBy("load").collect()
+    def _audit(self, spark, load: str, folders: dict, loaded: dict, mode: str) -> int:
+        """Put the cleaned tables in the place of those with orphans, and correct the counts; the
+        number of the version that they were audited against."""
+        base = Versions(spark, self.root).newest()
+        filled = [name for name, rows in loaded.items() if rows]
+        stay = {part.tabla for part in base.parts if mode == "append" or part.tabla not in filled}
+
+        def store(name: str, df: DataFrame, held: bool) -> DataFrame:
+            if held:
+                return stored(df, f"{self.root}/_quarantine/{load}/{name}")
+            folders[name] = f"{self.root}/_versions/{load}/{name}-passed"
+            return stored(df, folders[name])
+
+        passed, self.quarantined = pass_gate(
+            self.gate,
+            {name: spark.read.schema(ddl(STAR[name])).parquet(folders[name]) for name in filled},
+            {name: self.read(spark, name, base) for name in stay if name in STAR},
+            store,
+        )
+        for name in self.quarantined:
+            loaded[name] = passed[name].count()
+        return base.number
+
+    def read(self, spark: SparkSession, table: str, version: Version | None = None) -> DataFrame:
+        """The table as of a version (the newest): what was replaced last and appended since."""
+        parts = (version or Versions(spark, self.root).newest()).of(table)
         if not parts:
             raise ValueError(f"{table} was never loaded to {self.root}")
-        first = max((i for i, part in enumerate(parts) if part.modo == "replace"), default=0)
-        return spark.read.schema(ddl(STAR[table])).parquet(*[part.carpeta for part in parts[first:]])
+        return spark.read.schema(ddl(STAR[table])).parquet(*[part.carpeta for part in parts])
+
+    def clean(self, spark: SparkSession, grace_seconds: float) -> list[str]:
+        """Remove superseded versions and what failed loads left; see ``Versions.clean``."""
+        return Versions(spark, self.root).clean(grace_seconds)
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 class CatalogSink(Sink):
@@ -143,8 +198,10 @@ class JdbcSink(Sink):
         return spark.read.format("jdbc").options(**self.options).option("dbtable", table).load()
 
 
-def conformed(df: DataFrame, table: str, zero_to_null: bool = False) -> DataFrame:
-    """The target's columns and types.
+def conformed(
+    df: DataFrame, table: str, zero_to_null: bool = False, extra: Iterable[str] = ()
+) -> DataFrame:
+    """The target's columns and types, and ``extra`` columns as they are.
 
     Ratios that the target's type cannot hold, NaN, infinities and others too large for it, become
     null; ``audits.unstorable`` counts them.
@@ -159,12 +216,14 @@ def conformed(df: DataFrame, table: str, zero_to_null: bool = False) -> DataFram
             value = F.nullif(value, F.lit(0))
         return value.cast(kind).alias(name)
 
-    return df.select(*[column(name, kind) for name, kind in STAR[table].items()])
+    return df.select(*[column(name, kind) for name, kind in STAR[table].items()], *extra)
 
 
-def load_table(df: DataFrame, table: str, sink: Sink, mode: str = "replace") -> int:
+def load_table(
+    df: DataFrame, table: str, sink: Sink, mode: str = "replace", batch: str | None = None
+) -> int:
     """Replace or extend one table; returns the rows loaded, 0 if there were none."""
-    return load_all({table: df}, sink, tiers=((table,),), mode=mode)[table]
+    return load_all({table: df}, sink, tiers=((table,),), mode=mode, batch=batch)[table]
 
 
 def load_all(
@@ -173,9 +232,13 @@ def load_all(
     tiers: Iterable[Iterable[str]] = LOAD_TIERS,
     mode: str = "replace",
     zero_to_null: bool = False,
+    batch: str | None = None,
 ) -> dict[str, int]:
-    """Load the tables tier by tier; a table that is not given counts 0 rows."""
+    """Load the tables tier by tier; a table that is not given counts 0 rows.
+
+    ``batch`` names the load in the target's ledger: started again, it loads nothing.
+    """
     tiers = [tuple(tier) for tier in tiers]
     names = [name for tier in tiers for name in tier]
     ready = {name: conformed(tables[name], name, zero_to_null) for name in names if name in tables}
-    return dict.fromkeys(names, 0) | sink.load(ready, tiers, mode)
+    return dict.fromkeys(names, 0) | sink.load(ready, tiers, mode, batch)
