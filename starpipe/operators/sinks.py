@@ -241,4 +241,5 @@ def load_all(
     tiers = [tuple(tier) for tier in tiers]
     names = [name for tier in tiers for name in tier]
     ready = {name: conformed(tables[name], name, zero_to_null) for name in names if name in tables}
-    return dict.fromkeys(names, 0) | sink.load(ready, tiers, mode, batch)
+    ledger = {} if batch is None else {"batch": batch}
+    return dict.fromkeys(names, 0) | sink.load(ready, tiers, mode, **ledger)
