@@ -29,11 +29,15 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starpipe.llm.quality import judge
 
     judged = judge(read_table(spark, sf_dir, "documents"), carry=["doc_id"])
-    return judged.select("doc_id", "__quality.*")
+    fixed = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    more = [c for c in judged.schema["__quality"].dataType.names if c not in fixed]
+    return judged.select("doc_id", *[f"__quality.{c}" for c in (*fixed, *more)])
 
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), carry=["page_id"])
+    judged = url_filter.judge_urls(read_table(spark, sf_dir, "pages"), carry=["page_id"])
+    fixed = ["page_id", "host", "path", "rule", "verdict"]
+    return judged.select(*fixed, *[c for c in judged.columns if c not in fixed])
 
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
