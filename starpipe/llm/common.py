@@ -24,6 +24,14 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, UPPER, UPPER.lower())
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it, for a column that is added on the way."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Written once to the shared folder and read again: survives lost executors."""
     return materialise(df, f"llm-{label}")

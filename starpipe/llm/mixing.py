@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starpipe.llm.common import cut
+from starpipe.llm.common import cut, unused
 
 #: Labelled documents that the classifier is fitted on: those with the smallest hashes.
 SAMPLE = 20_000
@@ -150,8 +150,9 @@ def fit(
         .limit(sample)
     )
     # At most ``sample`` rows of two numbers, whatever the corpus.
-    texts = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select(
-        "__domain", F.array_distinct(words_of(F.col(f"`{text}`").cast("string"))).alias("words")
+    given = docs.select("doc_id", F.col(f"`{text}`").cast("string").alias("text"))
+    texts = given.join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select(
+        "__domain", F.array_distinct(words_of(F.col("text"))).alias("words")
     )
     texts = cut(texts, "labelled")
     sizes = np.zeros(len(domains))
@@ -361,13 +362,14 @@ def mix(
     model = fit(docs, labelled, domains, text)
     # The draw depends on the doc_id alone.
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("mix")), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    scored = classify(docs.withColumn("__draw", draw), model, text, [*carry, "__draw"], into)
+    draw_name, rate_name = unused(docs, "__draw"), unused(docs, "__rate")
+    scored = classify(docs.withColumn(draw_name, draw), model, text, [*carry, draw_name], into)
     scored = cut(scored, "mixing")
     rate = fit_rates(scored, weights, domains.index(anchor), into, max_rate)
-    found = F.col("__rate")
-    copies = F.floor(found + F.col("__draw"))
+    found = F.col(rate_name)
+    copies = F.floor(found + F.col(draw_name))
     result = F.col(into).withField("rate", found).withField("copies", copies.cast("long"))
-    return scored.withColumn("__rate", rate).withColumn(into, result).drop("__rate", "__draw")
+    return scored.withColumn(rate_name, rate).withColumn(into, result).drop(rate_name, draw_name)
 
 
 def copies_of(mixed: DataFrame, into: str = "__mix") -> DataFrame:

@@ -9,18 +9,27 @@ different pseudonyms, and check digits stay right. Everything else in the text s
 A Feistel step adds to one half of a value a keyed hash of the other half, modulo the number of
 values that half can take, which is a permutation for any two moduli; no value is ever outside the
 format and nothing has to be tried twice.
+
+The secret stays on the driver. A key derived from it comes in as a scalar subquery, so neither stands
+in a plan, and with it in ``explain``, event logs or messages; executors hold the key in memory.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+import hmac
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starpipe.llm.common import unused
+
 ROUNDS = 8
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
-#: Characters of an account number by country, so that a grouped one ends where it does.
+#: Characters of an account number by country, so that a grouped one ends where it does. Fixed values of
+#: the standard.
 _IBAN_SIZES = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
     22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
@@ -54,7 +63,7 @@ _CYCLE = (189, 773)
 _FIRST_DAY = "1800-01-01"
 
 
-def _hashed(secret: str, kind: str, step: Column, value: Column) -> Column:
+def _hashed(secret: Column | str, kind: str, step: Column, value: Column) -> Column:
     """The hexadecimal digest of a half, under the secret."""
     return F.sha2(F.concat_ws("|", F.lit(secret), F.lit(kind), step.cast("string"), value), 256)
 
@@ -64,7 +73,7 @@ def _number(hexadecimal: Column) -> Column:
 
 
 def permute_pair(
-    a: Column, size_a: Column, b: Column, size_b: Column, secret: str, kind: str
+    a: Column, size_a: Column, b: Column, size_b: Column, secret: Column | str, kind: str
 ) -> Column:
     """A keyed permutation of the pairs a < size_a, b < size_b; a struct of both."""
 
@@ -84,7 +93,7 @@ def permute_pair(
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step)
 
 
-def permute_text(text: Column, secret: str, kind: str) -> Column:
+def permute_text(text: Column, secret: Column | str, kind: str) -> Column:
     """A keyed permutation of the texts with the same places of digits, capitals, small letters.
 
     The text has two characters at least. Characters of other kinds stay.
@@ -140,7 +149,7 @@ def _refill(shape: Column, digits: Column, places: str = "[0-9]") -> Column:
     )
 
 
-def _permute_digits(digits: Column, secret: str, kind: str) -> Column:
+def _permute_digits(digits: Column, secret: Column | str, kind: str) -> Column:
     """Of 2 to 36 digits, as many again."""
     size = F.length(digits)
     half = F.floor(size / 2).cast("int")
@@ -186,14 +195,14 @@ def _mod_97(text: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(text)), F.lit(0), add)
 
 
-def _email(value: Column, secret: str) -> Column:
+def _email(value: Column, secret: Column | str) -> Column:
     """All but the last label."""
     last = F.regexp_extract(value, r"\.[A-Za-z0-9-]+$", 0)
     head = F.substr(value, F.lit(1), F.length(value) - F.length(last))
     return F.concat(permute_text(head, secret, "email"), last)
 
 
-def _iban(written: Column, secret: str) -> Column:
+def _iban(written: Column, secret: Column | str) -> Column:
     value = F.regexp_replace(written, "[ -]", "")
     country, account = F.substr(value, F.lit(1), F.lit(2)), F.substr(value, F.lit(5))
     check = F.substr(value, F.lit(3), F.lit(2))
@@ -203,7 +212,7 @@ def _iban(written: Column, secret: str) -> Column:
     return F.when(valid, _refill(written, F.concat(country, check_of, new), "[A-Z0-9]")).otherwise(written)
 
 
-def _ip(value: Column, secret: str) -> Column:
+def _ip(value: Column, secret: Column | str) -> Column:
     octets = F.transform(F.split(value, r"\."), lambda x: x.cast("long"))
     size = F.lit(1 << 16)
     done = permute_pair(
@@ -213,7 +222,7 @@ def _ip(value: Column, secret: str) -> Column:
     return F.concat_ws(".", *[part.cast("string") for part in parts])
 
 
-def _permuted_day(day: Column, secret: str) -> Column:
+def _permuted_day(day: Column, secret: Column | str) -> Column:
     first = F.to_date(F.lit(_FIRST_DAY))
     days = _CYCLE[0] * _CYCLE[1]
     number = F.datediff(day, first)
@@ -224,14 +233,14 @@ def _permuted_day(day: Column, secret: str) -> Column:
     return F.date_add(first, (number - place + done["a"] * _CYCLE[1] + done["b"]).cast("int"))
 
 
-def _iso_date(written: Column, secret: str) -> Column:
+def _iso_date(written: Column, secret: Column | str) -> Column:
     value = F.regexp_replace(written, "[./]", "-")
     new = F.date_format(_permuted_day(F.try_to_date(value, "yyyy-MM-dd"), secret), "yyyy-MM-dd")
     # Days that leave the years of four digits stay.
     return F.when(F.length(new) == 10, _refill(written, _digits(new))).otherwise(written)
 
 
-def _date(value: Column, secret: str) -> Column:
+def _date(value: Column, secret: Column | str) -> Column:
     """Days first with dots; with slashes months first, with hyphens days, where that is a date."""
     is_date = lambda form: F.try_to_date(value, form).isNotNull()
     tried = [
@@ -260,7 +269,7 @@ def _date(value: Column, secret: str) -> Column:
     return F.when(result.rlike(r"^\d{1,2}.\d{1,2}.\d{4}$"), result).otherwise(value)
 
 
-def _ssn(value: Column, secret: str) -> Column:
+def _ssn(value: Column, secret: Column | str) -> Column:
     """Areas 001 to 899 without 666, groups from 01, serials from 0001."""
     part = lambda i: F.split(value, "-")[i].cast("long")
     area, group, serial = part(0), part(1), part(2)
@@ -276,7 +285,7 @@ def _ssn(value: Column, secret: str) -> Column:
     return F.when(valid, new).otherwise(value)
 
 
-def _phone(value: Column, secret: str) -> Column:
+def _phone(value: Column, secret: Column | str) -> Column:
     """All digits but those that follow the plus sign directly; 7 to 15 digits in all."""
     country = F.regexp_extract(value, r"^\+(\d{1,3}(?=\D)|\d)", 0)
     rest = F.substr(value, F.length(country) + 1, F.length(value))
@@ -286,7 +295,7 @@ def _phone(value: Column, secret: str) -> Column:
     return F.when(valid, F.concat(country, new)).otherwise(value)
 
 
-def _card(value: Column, secret: str) -> Column:
+def _card(value: Column, secret: Column | str) -> Column:
     """All digits but the first, which names the kind of issuer; the last is the check digit.
 
     A number behind the four groups of a card may belong to it or not; the check digit tells.
@@ -301,7 +310,7 @@ def _card(value: Column, secret: str) -> Column:
     return F.coalesce(F.transform(F.array(valid), changed)[0], value)
 
 
-def _permuted_card(value: Column, secret: str) -> Column:
+def _permuted_card(value: Column, secret: Column | str) -> Column:
     digits = _digits(value)
     size = F.length(digits)
     first, middle = F.substr(digits, F.lit(1), F.lit(1)), F.substr(digits, F.lit(2), size - 2)
@@ -310,7 +319,7 @@ def _permuted_card(value: Column, secret: str) -> Column:
     return _refill(value, F.concat(body, check.cast("string")))
 
 
-def pseudonym(value: Column, secret: str) -> Column:
+def pseudonym(value: Column, secret: Column | str) -> Column:
     """Another value of the same format; what isn't valid in its format stays as it is."""
     return (
         F.when(value.contains("@"), _email(value, secret))
@@ -324,6 +333,12 @@ def pseudonym(value: Column, secret: str) -> Column:
     )
 
 
+def derived_key(spark: SparkSession, secret: str) -> DataFrame:
+    """One row with a key of the secret, from which the secret can't be found."""
+    key = hmac.new(secret.encode(), b"pseudonyms", hashlib.sha256).hexdigest()
+    return spark.sql("SELECT * FROM VALUES (:key) AS t(key)", args={"key": key})
+
+
 def pseudonymise(
     docs: DataFrame, secret: str, text: str = "text", count: str | None = None
 ) -> DataFrame:
@@ -333,27 +348,31 @@ def pseudonymise(
     stay null and empty ones empty, with a count of 0. Other columns pass unchanged, whatever their
     names; one named like ``count`` is replaced. An empty table gives an empty result.
     """
+    if not secret:
+        raise ValueError("pseudonyms need a secret")
     original = F.col(f"`{text}`")
+    key_name, pairs_name = unused(docs, "__key"), unused(docs, "__pairs")
+    keyed = docs.withColumn(key_name, derived_key(docs.sparkSession, secret).scalar())
     # A cheap test first: every kind has a digit or an @.
     touched = original.rlike("[0-9@]")
     found = F.when(touched, F.regexp_extract_all(original, F.lit(PATTERN), F.lit(0)))
-    pairs = F.transform(found, lambda old: F.struct(old.alias("old"), pseudonym(old, secret).alias("new")))
+    pairs = F.transform(found, lambda old: F.struct(old.alias("old"), pseudonym(old, F.col(key_name)).alias("new")))
     gaps = F.split(original, PATTERN, -1)
     filled = F.array_join(
         F.transform(
             gaps,
             lambda gap, i: F.concat(
-                gap, F.coalesce(F.get(F.col("__pairs"), i)["new"], F.get(F.col("__pairs"), i)["old"], F.lit(""))
+                gap, F.coalesce(F.get(F.col(pairs_name), i)["new"], F.get(F.col(pairs_name), i)["old"], F.lit(""))
             ),
         ),
         "",
     )
-    replaced = F.size(F.filter(F.col("__pairs"), lambda pair: pair["old"] != pair["new"])).cast("long")
+    replaced = F.size(F.filter(F.col(pairs_name), lambda pair: pair["old"] != pair["new"])).cast("long")
     kept = [c for c in docs.columns if c != count]
     columns = [
-        F.when(F.size("__pairs") > 0, filled).otherwise(original).alias(c) if c == text else F.col(f"`{c}`")
+        F.when(F.size(pairs_name) > 0, filled).otherwise(original).alias(c) if c == text else F.col(f"`{c}`")
         for c in kept
     ]
     if count is not None:
-        columns.append(F.when(F.size("__pairs") > 0, replaced).otherwise(F.lit(0)).alias(count))
-    return docs.withColumn("__pairs", pairs).select(*columns)
+        columns.append(F.when(F.size(pairs_name) > 0, replaced).otherwise(F.lit(0)).alias(count))
+    return keyed.withColumn(pairs_name, pairs).select(*columns)

@@ -229,17 +229,16 @@ def _split(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     def word(h: Column) -> Column:
         return F.pmod(F.shiftrightunsigned(h, 6), F.lit(FILTER_WORDS)).cast("int")
 
-    bit = F.expr("shiftleft(1L, cast(__h & 63L as int))")
-    bits = (
-        ids.select(F.xxhash64("doc_id").alias("__h"))
-        .groupBy(word(F.col("__h")).alias("__word"))
-        .agg(F.bit_or(bit).alias("__bits"))
-    )
-    hashed = docs.withColumn("__h", F.xxhash64(F.col("doc_id").cast("long")))
-    joined = hashed.withColumn("__word", word(F.col("__h"))).join(F.broadcast(bits), "__word", "left")
-    marked = F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return joined.where(~marked).select(*columns), joined.where(marked).select(*columns)
+    def bit(h: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int"))
+
+    h = F.xxhash64("doc_id")
+    bits = ids.groupBy(word(h).alias("word")).agg(F.bit_or(bit(h)).alias("bits"))
+    # The rows travel as one struct, so that no column of theirs meets one of this function's.
+    rows = docs.select(F.xxhash64(F.col("doc_id").cast("long")).alias("h"), F.struct("*").alias("given"))
+    joined = rows.withColumn("word", word(F.col("h"))).join(F.broadcast(bits), "word", "left")
+    marked = F.coalesce(F.col("bits").bitwiseAND(bit(F.col("h"))) != 0, F.lit(False))
+    return joined.where(~marked).select("given.*"), joined.where(marked).select("given.*")
 
 
 class Join:
@@ -462,17 +461,17 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     """
     found = cut(similar_sets(docs, words=words, percent=percent), "components")
     counted = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.min("component_id").alias("__component"), F.count("*").alias("__rows")
+        F.min("component_id").alias("component"), F.count("*").alias("rows")
     )
-    special = counted.where("__component <> doc_id OR __rows > 1")
+    special = counted.where("component <> doc_id OR rows > 1")
     clear, rest = _split(docs, special.select("doc_id"))
-    decided = rest.join(special.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"), "left")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    single = decided.where("__id IS NULL").select(*columns)
+    rows = rest.select(F.col("doc_id").cast("long").alias("id"), F.struct("*").alias("given"))
+    decided = rows.join(special.withColumnRenamed("doc_id", "id"), "id", "left")
+    single = decided.where("component IS NULL").select("given.*")
     repeated = (
-        decided.where("__component = __id")
-        .groupBy("__id")
-        .agg(F.min_by(F.struct(*columns), F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("__row"))
-        .select("__row.*")
+        decided.where("component = id")
+        .groupBy("id")
+        .agg(F.min_by("given", F.coalesce(F.col("given.text").cast("string"), F.lit(""))).alias("given"))
+        .select("given.*")
     )
     return clear.union(single).union(repeated)

@@ -60,6 +60,15 @@ def test_edge_cases_have_defined_results(make):
     assert mix(make([], SCHEMA), labels).count() == 0
 
 
+def test_columns_named_like_internal_ones_stay(make):
+    names = ["__rate", "__draw", "__domain", "__id", "words", "text", "z"]
+    frame = make([(1, "some words", *names[:5], *names[6:])],
+                 "doc_id long, body string, " + ", ".join(f"{n} string" for n in names if n != "text"))
+    labels = make([(1, "good")], "doc_id long, domain string")
+    (row,) = mix(frame, labels, text="body").collect()
+    assert all(row[n] == n for n in names if n != "text") and row["__mix"]["tokens"] == 2
+
+
 def test_copies_are_rows(make):
     frame = make([(1, (0,)), (2, (1,)), (3, (3,))], "doc_id long, m struct<copies: long>")
     got = copies_of(frame.select("doc_id", F.col("m").alias("__mix")))

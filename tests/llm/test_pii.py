@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starpipe.llm.common import read_table
-from starpipe.llm.pii import luhn, permute_pair, pseudonymise
+from starpipe.llm.pii import derived_key, luhn, permute_pair, pseudonymise
 
 SCHEMA = "doc_id long, text string, secret string, n long"
 KEY = "key"
@@ -78,6 +78,23 @@ def test_planted_data_goes_and_the_rest_stays(spark):
     assert hits > 20
 
 
+def test_columns_named_like_internal_ones_stay(make):
+    frame = make([(1, "from 80.146.204.55", "a", 7)], "doc_id long, text string, __pairs string, __KEY long")
+    (row,) = pseudonymise(frame, KEY, count="n").collect()
+    assert (row["__pairs"], row["__KEY"], row["n"]) == ("a", 7, 1) and "80.146.204.55" not in str(row)
+
+
+def test_secret_and_key_stand_in_no_plan(spark, make):
+    frame = pseudonymise(make([(1, "from 80.146.204.55", "a", 7)], SCHEMA), "a-long-secret")
+    frame.collect()
+    key = derived_key(spark, "a-long-secret").first()[0]
+    plans = frame._jdf.queryExecution()
+    shown = [str(plans.toString()), str(plans.logical()), str(plans.executedPlan().treeString())]
+    assert len(key) == 64 and not any(x in text for text in shown for x in ("a-long-secret", key))
+    with pytest.raises(ValueError):
+        pseudonymise(frame, "")
+
+
 def test_nulls_and_other_columns(make):
     rows = [(None, None, None, None), (1, "1.2.3.4", "s", 7), (1, "1.2.3.4", "s", 7)]
     got = pseudonymise(make(rows, SCHEMA), KEY)

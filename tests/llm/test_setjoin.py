@@ -88,6 +88,14 @@ def test_one_of_each_group_stays(make):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "7", "8", "None"]
 
 
+def test_columns_named_like_internal_ones_stay(make):
+    names = ["__h", "__word", "__bits", "__id", "__component", "__rows", "__row", "h", "word", "bits", "id", "component", "rows", "given"]
+    rows = [(i, "one two three four five", *names) for i in (3, 1, 1)] + [(7, "other words", *names)]
+    kept = one_of_each(make(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names)))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 7]
+    assert kept.columns == ["doc_id", "text", *names] and all(tuple(r)[2:] == tuple(names) for r in kept.collect())
+
+
 @pytest.mark.parametrize("percent", [80, 85, 90])
 def test_bands_and_bounds_lose_no_pair(percent):
     bands = Bands(percent)
