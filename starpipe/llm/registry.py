@@ -11,7 +11,8 @@ from starpipe.llm import oracles, url_filter
 from starpipe.llm.common import read_table
 from starpipe.workspace import new_path
 
-
+#: Payload bytes of a record in the registered archives: the longer given pages take several.
+ARCHIVE_CHUNK = 16 << 10
 #: Both texts of conversation -1.
 SAID = "</s>[INST] ok [/INST]"
 #: The secret of the registered queries; a real run passes its own.
@@ -84,7 +85,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starpipe.llm.warc import payloads, read_chunks, write_archives
 
     path = new_path(spark, "archives")
-    token = write_archives(read_table(spark, sf_dir, "pages"), path)
+    token = write_archives(read_table(spark, sf_dir, "pages"), path, chunk=ARCHIVE_CHUNK)
     return payloads(read_chunks(spark, path, token, blocks=False))
 
 

@@ -29,6 +29,8 @@ from starpipe.llm.common import cut
 VERSION = "WARC/1.1"
 #: Payload bytes of one record.
 CHUNK = 1 << 20
+#: Bytes of records that a writing task holds before it passes them on.
+HELD = 4 << 20
 #: Smaller payloads are never revisits.
 MIN_REVISIT_BYTES = 0
 #: Fixed value of the format.
@@ -71,9 +73,13 @@ def _record(token: str, fields: dict[str, object], block: bytes | memoryview = b
 
 
 def _records(
-    page_id: int | None, url: str | None, payload: bytes, original: int | None, size: int, token: str
+    page_id: int | None, url: str | None, payload: memoryview, original: int | None, size: int, token: str
 ) -> Iterator[bytes]:
-    digest = hashlib.sha1(payload).digest()
+    """The records of a payload; its digest is carried on chunk by chunk, and no copy of the whole is made."""
+    state = hashlib.sha1()
+    for start in range(0, len(payload), size):
+        state.update(payload[start : start + size])
+    digest = state.digest()
     common = {
         "WARC-Date": "1970-01-01T00:00:00Z",
         "WARC-Target-URI": None if url is None else _uri(url),
@@ -94,9 +100,8 @@ def _records(
         })
         return
     chunks = max(1, -(-len(payload) // size))
-    view = memoryview(payload)
     for number in range(1, chunks + 1):
-        block = view[(number - 1) * size : number * size]
+        block = payload[(number - 1) * size : number * size]
         segment = {}
         if chunks > 1:
             segment["WARC-Segment-Number"] = number
@@ -115,16 +120,18 @@ def _records(
 
 
 def _written(batches: Iterator[pa.RecordBatch], size: int, token: str) -> Iterator[pa.RecordBatch]:
-    """A few records at a time, never more than some chunks."""
+    """A few records at a time: never more than ``HELD`` bytes and one record."""
     held: list[bytes] = []
+    amount = 0
     for batch in batches:
-        for row in zip(*batch.columns):
-            page_id, url, payload, original = (value.as_py() for value in row)
-            for record in _records(page_id, url, payload, original, size, token):
+        for page_id, url, payload, original in zip(*batch.columns):
+            view = memoryview(payload.as_buffer())
+            for record in _records(page_id.as_py(), url.as_py(), view, original.as_py(), size, token):
                 held.append(record)
-                if sum(map(len, held)) >= 4 * size:
+                amount += len(record)
+                if amount >= HELD:
                     yield _binary(held)
-                    held = []
+                    held, amount = [], 0
     if held:
         yield _binary(held)
 

@@ -4,6 +4,7 @@ import hashlib
 import pytest
 
 from starpipe.llm.common import read_table
+from starpipe.llm.registry import ARCHIVE_CHUNK, op6_warc
 from starpipe.llm.warc import payloads, read_chunks, write_archives
 from starpipe.workspace import new_path
 
@@ -56,6 +57,16 @@ def test_files_are_split_and_payloads_come_back_whole(spark, make):
     assert whole == {r["page_id"]: r["html"].encode() for r in pages.collect()}
 
 
+def test_registered_query_takes_pages_through_several_chunks(spark):
+    pages = read_table(spark, "/root/testdata/sf0.01", "pages")
+    rows = [(r["page_id"], None, r["html"]) for r in pages.select("page_id", "html").collect()]
+    assert any(len((html or "").encode()) > ARCHIVE_CHUNK for _, _, html in rows)
+    found = op6_warc(spark, "/root/testdata/sf0.01").collect()
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert all(r["intact"] for r in found)
+    assert sorted(str(tuple(r[n] for n in names)) for r in found) == expected(rows, 0)
+
+
 def test_damage_is_noticed_and_empty_tables_pass(spark, make):
     path = new_path(spark, "warc")
     token = write_archives(make([(1, "u", "abcdef" * 50, "x")], SCHEMA), path, chunk=100)
