@@ -690,6 +690,13 @@ def _full_run(c):
     return audits.row_counts({n: sink.read(c.spark, n) for n in LOAD_ORDER}, LOAD_ORDER)
 
 
+@query("e1_run_report")
+def _run_report(c):
+    sink = ParquetSink(new_path(c.spark, "warehouse"))
+    run = run_pipeline(c.src, sink, as_of=F.lit(AS_OF).cast("date"))
+    return run.report.frame(c.spark)
+
+
 @query("e2_reset_and_run")
 def _reset_and_run(c):
     sink = ParquetSink(new_path(c.spark, "warehouse"))

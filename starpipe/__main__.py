@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
+from starpipe.control.report import EXTRACT, LOAD, ROWS
 from starpipe.control.watermark import Watermark
 from starpipe.operators.sinks import ParquetSink
 from starpipe.plans import pipeline
@@ -36,6 +39,13 @@ def main(argv: list[str] | None = None) -> None:
     if args.status:
         control.status().show(truncate=False)
         return
+    try:
+        run_and_show(args, spark, control)
+    finally:
+        clear_run(spark)
+
+
+def run_and_show(args: argparse.Namespace, spark: SparkSession, control: Watermark) -> None:
     source = parquet_source(spark, args.source)
     sink = ParquetSink(args.target)
     if args.full or args.full_load:
@@ -51,11 +61,13 @@ def main(argv: list[str] | None = None) -> None:
         return
     for name, rows in {**run.extracted, **run.loaded}.items():
         print(f"{name}: {rows}")
+    for stage, table, measure, number in run.report.entries():
+        if number and (stage, measure) not in ((EXTRACT, ROWS), (LOAD, ROWS)):
+            print(f"{table}: {number} {measure} ({stage})")
     if not run.loaded:
         for name, head in run.preview().items():
             print(name)
             head.show(truncate=False)
-    clear_run(spark)
 
 
 if __name__ == "__main__":

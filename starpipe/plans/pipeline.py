@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 
+from starpipe.control.report import EXTRACT, LOAD, RunReport
 from starpipe.control.watermark import Watermark, utc_now
 from starpipe.operators.extract import extract_all
 from starpipe.operators.sinks import Sink, load_all
@@ -18,12 +19,13 @@ from starpipe.workspace import materialise
 
 @dataclass
 class Run:
-    """What a run produced: extracts and star as DataFrames, row counts by table."""
+    """What a run produced: extracts and star as DataFrames, row counts by table, and the report."""
 
     extracts: Tables
     star: Tables
     extracted: dict[str, int]
     loaded: dict[str, int] = field(default_factory=dict)
+    report: RunReport = field(default_factory=RunReport)
 
     def preview(self, rows: int = 3) -> dict[str, DataFrame]:
         return {name: df.limit(rows) for name, df in self.star.items()}
@@ -50,7 +52,7 @@ def run_pipeline(
     dense over the whole of it. ``changed_column`` names a project column to compare with the
     watermark for looking at what changed, and is refused together with a load, which would delete
     everything unchanged. The watermark moves last, after a successful load, to the instant before
-    the first read. ``collation`` and ``stamp`` are those of ``extract_all``, ``zero_to_null`` that
+    the first read. All counts are taken by the jobs that write, see ``RunReport``. ``collation`` and ``stamp`` are those of ``extract_all``, ``zero_to_null`` that
     of ``load_all``.
     """
     if load and sink is None:
@@ -62,17 +64,22 @@ def run_pipeline(
     since = None
     if incremental and control and changed_column:
         since = (changed_column, control.current())
+    report = RunReport()
     extracts = extract_all(
-        source, as_of=as_of, collation=collation, since=since, keep=materialise, stamp=stamp
+        source, as_of=as_of, collation=collation, since=since, keep=report.keep(EXTRACT), stamp=stamp
     )
-    extracted = each(lambda name: extracts[name].count(), extracts)
+    # Asking for an extract writes it, and the write counts it.
+    each(lambda name: extracts[name], extracts)
+    extracted = report.rows(EXTRACT, extracts)
     if not any(extracted.values()):
         return None
 
     star = build_star(extracts, keep=materialise, **star_options)
-    run = Run(extracts, star, extracted)
+    run = Run(extracts, star, extracted, report=report)
     if load:
-        run.loaded = load_all(star, sink, zero_to_null=zero_to_null)
+        run.loaded = load_all(report.star(star), sink, zero_to_null=zero_to_null)
+        for name in run.loaded:
+            report.written(LOAD, name)
         if incremental and control:
             control.advance(started)
     return run
