@@ -15,13 +15,19 @@ larger position, or both are in all their lists: no link is lost.
 
 **Answers from answers.** Equal sets are one class. In each list only the smallest member, its
 leader, is compared with the others. Sets linked with the same leader are in one component, and
-nothing more is asked of them. In lists that still hold several components, pairs across components
-are left, and the answers for the leader skip those that cannot link: Jaccard distance is a metric,
-so two members whose distances from the leader differ by more than the threshold's are no pair.
-
-A set also carries the parities of its elements in 64 parts of the hash range. A difference of k
-elements changes at most k of them, so pairs whose parities differ in more than H(U) are skipped
-before any set is read, in all of these steps.
+nothing more is asked of them.
+
+Where the members of a leader's lists still lie in several components, they are dealt into blocks of
+bounded size, and each pair of blocks is one group of rows (``cross_links``). A group keeps an index
+from elements to the sets of one block. The answers of a pivot set, its overlaps with all sets of the
+block, are counted from the index; those of a set that is highly similar to the pivot are derived from
+them, by adding the lists of the elements it has beside the pivot's and subtracting the lists of those
+it lacks. Only links leave the group, at most one for each two components it joins, so that the rows
+grow with the sets and not with the square of a group.
+
+A set also has the parities of its elements in 64 parts of the hash range. A difference of k elements
+changes at most k of them, so pairs whose parities differ in more than linked sets can are skipped
+before any element is looked at, in all of these steps.
 """
 
 from __future__ import annotations
@@ -42,11 +48,13 @@ WORDS = 4
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 85
 #: Words whose hashes a task remembers; a full memory is emptied.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 100_000
 BATCH_ROWS = 100_000
 _NEAR = "bit_count({0} ^ {1}) <= {2}"
 #: Comparisons with one leader that one task makes at most, on average.
 LEADER_ROWS = 2_000
+#: Sets, and elements of them, that a block of a leader's members holds, on average.
+BLOCK_ROWS, BLOCK_ELEMENTS = 2_000, 500_000
 #: 64-bit words of the filter of document ids (1 MB, whatever the corpus).
 FILTER_WORDS = 1 << 17
 
@@ -204,6 +212,70 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), arrays], names=["doc_id", "hashes"])
 
 
+class _Index:
+    """From elements to the sets of a block that have them, and the overlaps of any set with these."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.count = len(sets)
+        elements = np.concatenate(sets)
+        order = np.argsort(elements, kind="stable")
+        self.elements = elements[order]
+        self.owners = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])[order]
+        self.pivot: np.ndarray | None = None
+        self.answers = np.zeros(0, np.int64)
+
+    def counts(self, elements: np.ndarray) -> np.ndarray:
+        """How many of these elements each set has; lists of other elements aren't read."""
+        first = np.searchsorted(self.elements, elements, side="left")
+        sizes = np.searchsorted(self.elements, elements, side="right") - first
+        ends = np.cumsum(sizes)
+        rows = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + sizes, sizes)
+        return np.bincount(self.owners[rows], minlength=self.count)
+
+    def overlaps(self, own: np.ndarray) -> np.ndarray:
+        """The overlaps of a set: derived from the pivot's, if these two differ in less than the half."""
+        if self.pivot is not None:
+            more = np.setdiff1d(own, self.pivot, assume_unique=True)
+            less = np.setdiff1d(self.pivot, own, assume_unique=True)
+            if 2 * (len(more) + len(less)) < len(own):
+                return self.answers + self.counts(more) - self.counts(less)
+        self.pivot, self.answers = own, self.counts(own)
+        return self.answers
+
+
+def _links(table: pa.Table, percent: int) -> pa.Table:
+    """(a, b): links that join the components of two blocks' members, one for each two joined."""
+    ids, component, block, low, high = (
+        table.column(name).to_numpy() for name in ("doc_id", "component", "block", "low", "high")
+    )
+    sets = [x.values.to_numpy() for x in table.column("hashes")]
+    # Sets that share their smallest hash follow each other: these are often highly similar.
+    order = sorted(range(len(sets)), key=lambda k: (sets[k][0], len(sets[k]), ids[k]))
+    left = np.array([k for k in order if block[k] == low[k]], np.int64)
+    right = left if low[0] == high[0] else np.array([k for k in order if block[k] == high[k]], np.int64)
+    a, b = [], []
+    if len(left) and len(right):
+        size = np.array([len(x) for x in sets], np.int64)
+        parity = np.array([_parities(x.view(np.uint64)) for x in sets])
+        index = _Index([sets[k] for k in right])
+        label = component.copy()
+        for k in left:
+            both = size[k] + size[right]
+            most = (100 - percent) * both // (100 + percent)
+            open_ = (label[right] != label[k]) & (np.abs(size[right] - size[k]) <= most)
+            open_ &= np.bitwise_count((parity[right] ^ parity[k]).view(np.uint64)) <= most
+            if not open_.any():
+                continue
+            shared = index.overlaps(sets[k])
+            linked = right[open_ & (100 * shared >= percent * (both - shared))]
+            for other in linked:
+                if label[other] != label[k]:
+                    a.append(ids[k])
+                    b.append(ids[other])
+                    label[label == label[other]] = label[k]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         left, right = (batch.column(name) for name in ("left", "right"))
@@ -382,16 +454,14 @@ def _labels(join: Join, full: DataFrame, lists: DataFrame, percent: int) -> Data
     links = repeated.union(first.where(link).select("a", "b"))
     labels = components(links)
     rest = cut(_apart(pairs.join(first, ["a", "b"], "left_anti").select("a", "b"), labels), "rest")
-    compared = first
     if not rest.isEmpty():
-        compared = first.union(_verified(rest, sets))
-        links = repeated.union(compared.where(link).select("a", "b"))
+        second = _verified(rest, sets)
+        links = links.union(second.where(link).select("a", "b"))
         labels = components(links)
-    cross = _cross_pairs(lists, labels, compared, percent)
-    if cross.isEmpty():
+    crossing = cut(cross_links(join, lists, labels, sizes, percent), "cross")
+    if crossing.isEmpty():
         return labels
-    third = _verified(cross, join.sets(_ids(cross)))
-    return components(links.union(third.where(link).select("a", "b")))
+    return components(links.union(crossing))
 
 
 def _ids(pairs: DataFrame) -> DataFrame:
@@ -420,37 +490,44 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.where("ca <> cb").select("a", "b")
 
 
-def _cross_pairs(lists: DataFrame, labels: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of a list, other than with the leader, that may link across components."""
-    entries = _labelled(
-        _labelled(lists.withColumnsRenamed({"doc_id": "x", "leader": "y"}), labels, "x", "cx"), labels, "y", "cy"
-    )
-    # Lists with a member outside the leader's component, and another member beside it.
+def cross_links(join: Join, lists: DataFrame, labels: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links of members of a leader's lists, other than with the leader, across components.
+
+    Members of a leader are dealt into blocks, so that no group of rows grows with their number; a
+    member goes with each block once.
+    """
+    entries = _labelled(lists.select("list", "leader", "doc_id"), labels, "doc_id", "component")
+    # Lists whose members besides the leader lie in several components.
     several = (
         entries.groupBy("list")
-        .agg(F.min("cx").alias("low"), F.max("cx").alias("high"))
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .where("low <> high")
         .select("list")
     )
-    # Slightly wider than the threshold's distance, against rounding.
-    width = (100 - percent) / 100 + 1e-9
-    distances = compared.select(
-        F.col("a").alias("y"), F.col("b").alias("x"), (1 - F.col("shared") / F.col("union")).alias("d")
-    )
-    left = (
+    members = cut(
         entries.join(several, "list", "left_semi")
-        .join(distances, ["x", "y"], "left")
-        .select("list", "x", "cx", "sketch", "bound", "d")
+        .groupBy("leader", "doc_id")
+        .agg(F.min("component").alias("component"))
+        .join(sizes.select("doc_id", "most"), "doc_id"),
+        "members",
     )
-    left = cut(left, "open")
-    right = left.select(
-        "list", F.col("x").alias("z"), F.col("cx").alias("cz"), F.col("sketch").alias("other"), F.col("d").alias("e")
+    blocks = members.groupBy("leader").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("most") / BLOCK_ELEMENTS)).cast("int").alias("blocks")
+    )
+    dealt = (
+        members.drop("most")
+        .join(blocks, "leader")
+        .withColumn("block", F.expr("cast(pmod(xxhash64(doc_id, leader), blocks) as int)"))
+        .join(join.sets(members.select("doc_id").distinct()), "doc_id")
+        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    )
+    paired = dealt.select(
+        "leader", "doc_id", "component", "block", "hashes",
+        F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+    )
+    return paired.groupBy("leader", "low", "high").applyInArrow(
+        lambda table: _links(table, percent), "a long, b long"
     )
-    near = F.expr(_NEAR.format("sketch", "other", "bound"))
-    apart = F.coalesce(F.abs(F.col("d") - F.col("e")) <= width, F.lit(True))
-    across = (F.col("x") < F.col("z")) & (F.col("cx") != F.col("cz"))
-    found = left.join(right, "list").where(across & near & apart)
-    return cut(found.select(F.col("x").alias("a"), F.col("z").alias("b")).distinct(), "cross")
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
