@@ -50,7 +50,6 @@ PERCENT = 85
 #: Words whose hashes a task remembers; a full memory is emptied.
 CACHED_WORDS = 100_000
 BATCH_ROWS = 100_000
-_NEAR = "bit_count({0} ^ {1}) <= {2}"
 #: Comparisons with one leader that one task makes at most, on average.
 LEADER_ROWS = 2_000
 #: Sets, and elements of them, that a block of a leader's members holds, on average.
@@ -125,13 +124,13 @@ class Bands:
         slack = bound * 15 // 100 + 3 if bound else 0
         return bound + 1 + slack, slack, bound
 
-    def lists(self, hashes: np.ndarray) -> list[tuple[np.ndarray, int]]:
-        """The names of the lists that a set enters, with the most that two linked sets differ by."""
+    def lists(self, hashes: np.ndarray) -> np.ndarray:
+        """The names of the lists that a set enters."""
         own = self.of(len(hashes))
         bands = [own]
         if own and 100 * (self.first[own] - 1) >= self.percent * len(hashes):
             bands.append(own - 1)
-        return [(self._names(hashes, band), self.positions(band)[2]) for band in bands]
+        return np.concatenate([self._names(hashes, band) for band in bands])
 
     def _names(self, hashes: np.ndarray, band: int) -> np.ndarray:
         count, slack, _ = self.positions(band)
@@ -152,15 +151,16 @@ class Bands:
 def _heads(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     shingles = Shingles(words)
     for ids, texts in columns(batches):
-        size, one, two = [], [], []
+        size, one, two, sketch = [], [], [], []
         for text in texts:
             hashes = shingles(text)
             size.append(len(hashes))
             one.append(int(_mix(hashes + _M1).sum(dtype=np.uint64).astype(np.int64)))
             two.append(int(_mix(hashes ^ _M2).sum(dtype=np.uint64).astype(np.int64)))
+            sketch.append(int(_parities(hashes)))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x, pa.int64()) for x in (ids, size, one, two)],
-            names=["doc_id", "n_shingles", "one", "two"],
+            [pa.array(x, pa.int64()) for x in (ids, size, one, two, sketch)],
+            names=["doc_id", "n_shingles", "one", "two", "sketch"],
         )
 
 
@@ -171,8 +171,7 @@ def _lists(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Itera
 
     def batch() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(column)) for column in zip(*held)],
-            names=["list", "doc_id", "sketch", "bound"],
+            [pa.array(np.concatenate(column)) for column in zip(*held)], names=["list", "doc_id"]
         )
 
     for doc_ids, texts in columns(batches):
@@ -180,12 +179,9 @@ def _lists(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Itera
             hashes = shingles(text)
             if not len(hashes):
                 continue
-            parities = _parities(hashes)
-            for names, bound in bands.lists(hashes):
-                size = len(names)
-                held.append((names.view(np.int64), np.full(size, doc_id, np.int64),
-                             np.full(size, parities, np.int64), np.full(size, bound, np.int32)))
-                rows += size
+            names = bands.lists(hashes)
+            held.append((names.view(np.int64), np.full(len(names), doc_id, np.int64)))
+            rows += len(names)
             if rows >= BATCH_ROWS:
                 yield batch()
                 held, rows = [], 0
@@ -321,12 +317,12 @@ class Join:
         self.docs = docs.where("doc_id IS NOT NULL")
 
     def heads(self) -> DataFrame:
-        """(doc_id, n_shingles, rep) for each row: rep is the smallest doc_id with an equal set."""
+        """(doc_id, n_shingles, rep, sketch) for each row: rep is the smallest doc_id with an equal set."""
         words = self.words
         heads = cut(
             self.all.mapInArrow(
                 lambda batches: _heads(batches, words),
-                "doc_id long, n_shingles long, one long, two long",
+                "doc_id long, n_shingles long, one long, two long, sketch long",
             ),
             "heads",
         )
@@ -336,15 +332,14 @@ class Join:
         alone = heads.where("doc_id IS NULL OR n_shingles = 0")
         return cut(
             full.join(classes, content)
-            .select("doc_id", "n_shingles", "rep")
-            .union(alone.select("doc_id", "n_shingles", "doc_id")),
+            .select("doc_id", "n_shingles", "rep", "sketch")
+            .union(alone.select("doc_id", "n_shingles", "doc_id", "sketch")),
             "classes",
         )
 
     def lists(self, heads: DataFrame) -> DataFrame:
         """A row for every representative in a list but its leader, the smallest: list, doc_id,
-        sketch, bound, leader, whether it is near the leader by their sketches, and n, for lists with
-        the same members are one."""
+        leader, and n, for lists with the same members are one."""
         words, percent = self.words, self.percent
         full = heads.where("doc_id IS NOT NULL AND n_shingles > 0")
         own, others = _split(self.docs, full.where("doc_id <> rep").select("doc_id"))
@@ -352,48 +347,37 @@ class Join:
         chosen = own.union(others.join(reps, "doc_id", "left_semi").select("doc_id", "text"))
         entries = chosen.mapInArrow(
             lambda batches: _lists(batches, words, percent),
-            "list long, doc_id long, sketch long, bound int",
+            "list long, doc_id long",
         )
         members = "OVER (PARTITION BY list)"
         led = entries.select(
             "doc_id",
-            "sketch",
-            "bound",
-            F.expr(f"min(struct(doc_id, sketch)) {members}").alias("first"),
+            F.expr(f"min(doc_id) {members}").alias("leader"),
             F.expr(f"bit_xor(xxhash64(doc_id)) {members}").alias("list"),
         )
-        rest = led.where("doc_id <> first.doc_id").withColumns(
-            {"leader": F.col("first.doc_id"), "near": F.expr(_NEAR.format("sketch", "first.sketch", "bound"))}
-        )
-        return cut(
-            rest.groupBy("list", "doc_id", "leader").agg(
-                F.max("sketch").alias("sketch"),
-                F.max("bound").alias("bound"),
-                F.bool_or("near").alias("near"),
-                F.count("*").alias("n"),
-            ),
-            "lists",
-        )
+        rest = led.where("doc_id <> leader")
+        return cut(rest.groupBy("list", "doc_id", "leader").agg(F.count("*").alias("n")), "lists")
 
     def sets(self, ids: DataFrame) -> DataFrame:
-        """(doc_id, hashes) of these documents, read once more; no text is shuffled."""
+        """(doc_id, hashes) of these documents and perhaps others, read once more; nothing is shuffled."""
         words = self.words
         _, some = _split(self.docs, ids)
-        found = some.mapInArrow(lambda batches: _sets(batches, words), "doc_id long, hashes array<long>")
-        return cut(found.join(ids, "doc_id", "left_semi"), "sets")
+        return some.mapInArrow(lambda batches: _sets(batches, words), "doc_id long, hashes array<long>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, shared, union) for pairs (a, b); a may lead very many of them."""
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / LEADER_ROWS).cast("int").alias("salts"))
     salted = pairs.join(salts, "a").withColumn("salt", F.expr("cast(pmod(xxhash64(b), salts) as int)"))
+    # Sets that are of no pair aren't shuffled, but for the few that the filter lets through.
     leaders = (
-        sets.withColumnsRenamed({"doc_id": "a", "hashes": "left"})
+        _split(sets, _named(pairs, "a"))[1]
+        .withColumnsRenamed({"doc_id": "a", "hashes": "left"})
         .join(salts, "a")
         .withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)")))
         .drop("salts")
     )
-    members = sets.withColumnsRenamed({"doc_id": "b", "hashes": "right"})
+    members = _split(sets, _named(pairs, "b"))[1].withColumnsRenamed({"doc_id": "b", "hashes": "right"})
     joined = salted.drop("salts").join(members, "b").join(leaders, ["a", "salt"])
     measured = joined.select("a", "b", "left", "right").mapInArrow(
         _common, "a long, b long, shared long, union long"
@@ -440,11 +424,13 @@ def _labels(join: Join, full: DataFrame, lists: DataFrame, percent: int) -> Data
     """(node, component) of the representatives that are linked with others."""
     same_id = full.groupBy("doc_id").agg(F.min("rep").alias("a"))
     repeated = full.join(same_id, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b"))
+    one_sketch = F.when(F.min("sketch") == F.max("sketch"), F.min("sketch"))
     sizes = full.where("doc_id = rep").groupBy("doc_id").agg(
-        F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most")
+        F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"), one_sketch.alias("sketch")
     )
+    sizes = cut(sizes, "sizes")
     pairs = cut(_leader_pairs(lists, sizes, percent), "pairs")
-    sets = join.sets(_ids(pairs))
+    sets = cut(join.sets(_named(pairs, "a").union(_named(pairs, "b")).distinct()), "sets")
 
     link = F.expr(f"100 * shared >= {percent} * union")
     # Each set is compared with the leader it shares most lists with; then with the other leaders,
@@ -464,19 +450,23 @@ def _labels(join: Join, full: DataFrame, lists: DataFrame, percent: int) -> Data
     return components(links.union(crossing))
 
 
-def _ids(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+def _named(pairs: DataFrame, side: str) -> DataFrame:
+    return pairs.select(F.col(side).alias("doc_id")).distinct()
 
 
 def _leader_pairs(lists: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """(a, b, lists): leaders and members, where sizes allow a link, and how many lists they share."""
-    shared = lists.where("near").groupBy(F.col("leader").alias("a"), F.col("doc_id").alias("b")).agg(
-        F.sum("n").alias("lists")
+    """(a, b, lists): leaders and members whose sizes and sketches allow a link, and how many lists they share."""
+    shared = lists.groupBy(F.col("leader").alias("a"), F.col("doc_id").alias("b")).agg(F.sum("n").alias("lists"))
+    leader = sizes.select(*(F.col(name).alias(f"a_{name}") for name in sizes.columns))
+    member = sizes.select(*(F.col(name).alias(f"b_{name}") for name in sizes.columns))
+    bound = f"{100 - percent} * (a_most + b_most) div {100 + percent}"
+    # A document with several texts has no sketch of its own.
+    near = F.expr(
+        f"100 * b_most >= {percent} * a_least AND 100 * a_most >= {percent} * b_least"
+        f" AND coalesce(bit_count(a_sketch ^ b_sketch) <= {bound}, true)"
     )
-    leader = sizes.select(F.col("doc_id").alias("a"), F.col("least").alias("l"), F.col("most").alias("m"))
-    member = sizes.withColumnRenamed("doc_id", "b")
-    near = F.expr(f"100 * most >= {percent} * l AND 100 * m >= {percent} * least")
-    return shared.join(member, "b").join(leader, "a").where(near).select("a", "b", "lists")
+    joined = shared.join(member, F.col("b") == F.col("b_doc_id")).join(leader, F.col("a") == F.col("a_doc_id"))
+    return joined.where(near).select("a", "b", "lists")
 
 
 def _labelled(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
