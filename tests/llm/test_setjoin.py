@@ -1,7 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 
+from starpipe.llm import setjoin
 from starpipe.llm.common import read_table
 from starpipe.llm.setjoin import Bands, difference_bound, one_of_each, similar_sets
 
@@ -61,6 +63,36 @@ def test_random_families_against_brute_force(make, seed):
     assert got(similar_sets(frame)) == brute(rows)
 
 
+@pytest.mark.parametrize("rows_a_block", [4, 2_000])
+def test_links_within_and_between_blocks_against_brute_force(make, monkeypatch, rows_a_block):
+    """All are members of one leader's list, and none is known to be linked."""
+    monkeypatch.setattr(setjoin, "BLOCK_ROWS", rows_a_block)
+    draw, texts = random.Random(5), []
+    base = [f"w{i}" for i in range(200)]
+    for _ in range(12):
+        near = family(draw, base, draw.randrange(4, 12)).split()
+        texts += [family(draw, near, draw.randrange(3)) for _ in range(3)]
+    rows = list(zip(draw.sample(range(1, 10**6), len(texts)), texts))
+    frame = make(rows, "doc_id long, text string")
+    members = frame.selectExpr("1L AS list", "0L AS leader", "doc_id")
+    sizes = frame.selectExpr("doc_id", "200L AS least", "200L AS most", "0L AS sketch")
+    unknown = make([], "node long, component long")
+    links = setjoin.cross_links(setjoin.Join(frame, 4, 85), members, unknown, sizes, 85)
+    labels = {r["node"]: r["component"] for r in setjoin.components(links).collect()}
+    wanted = {int(d): int(c) for d, _, c in brute(rows)}
+    assert len(set(wanted.values())) < len(rows) and {d: labels.get(d, d) for d in wanted} == wanted
+
+
+def test_overlaps_derived_from_a_pivot():
+    draw = np.random.default_rng(3)
+    base = draw.choice(10**6, 300, replace=False)
+    sets = [np.unique(np.concatenate((draw.choice(base, 270, replace=False), draw.choice(10**6, 20)))) for _ in range(30)]
+    sets += [np.unique(draw.choice(10**6, 50)) for _ in range(5)]
+    index = setjoin._Index(sets)
+    for own in (*sets, np.array([-1]), *sets[:3]):
+        assert index.overlaps(own).tolist() == [len(np.intersect1d(own, other)) for other in sets]
+
+
 def test_small_table_against_brute_force(spark):
     docs = read_table(spark, "/root/testdata/sf0.001", "documents")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
