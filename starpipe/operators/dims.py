@@ -66,12 +66,10 @@ def date_span(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return df.agg(F.min(C.min_of(days)).alias("first"), F.max(C.max_of(days)).alias("last"))
 
 
-def date_span_by(df: DataFrame, key: str, columns: tuple[str, ...]) -> DataFrame:
-    """First and last day per ``key``, so that a later scope join moves one row per key."""
+def days_by(df: DataFrame, key: str, columns: tuple[str, ...]) -> DataFrame:
+    """(key, first, last): the first and last day of every row."""
     days = [F.col(c) for c in columns]
-    return df.groupBy(key).agg(
-        F.min(C.min_of(days)).alias("first"), F.max(C.max_of(days)).alias("last")
-    )
+    return df.select(key, C.min_of(days).alias("first"), C.max_of(days).alias("last"))
 
 
 def observed_dates(t: Extracts) -> DataFrame:
@@ -116,7 +114,21 @@ def staff_days(t: Extracts) -> DataFrame:
     )
     if "CostoPorHora" in rows.columns:
         return pairs
-    return pairs.join(t["empleados"].select("ID_Empleado"), "ID_Empleado", "left_semi")
+    return pairs.join(employee_keys(t), "ID_Empleado", "left_semi")
+
+
+def employee_keys(t: Extracts) -> DataFrame:
+    """The known employees. Distinct, since that lets the optimizer leave out what a source joins to
+    its employees for other columns, and then see how small they are."""
+    return t["empleados"].select("ID_Empleado").distinct()
+
+
+def staffed(t: Extracts) -> DataFrame:
+    """Assignments of known employees; extracted ones have the employee's rate and so are known."""
+    rows = t["asignaciones"]
+    if "CostoPorHora" in rows.columns:
+        return rows
+    return rows.join(employee_keys(t), "ID_Empleado", "left_semi")
 
 
 def widened(spans: DataFrame) -> DataFrame:
@@ -130,15 +142,18 @@ def widened(spans: DataFrame) -> DataFrame:
 def calendar_span(t: Extracts) -> DataFrame:
     """One row (first, last): the observed days, widened to the fixed calendar limits.
 
-    Children are reduced to one row per project or contract before the scope join, so it makes no
+    Children are reduced to one row per project before the scope join, all by one aggregate: map tasks
+    reduce their own child, and a later task holds a single table of projects. So it makes no
     difference in cost whether ``t`` holds extracted children or the source's own.
     """
     in_scope = t["proyectos"].select("ID_Proyecto")
-    per_project = [
-        date_span_by(t[name], "ID_Proyecto", CALENDAR_COLUMNS[name]) for name in ("hitos", "gastos")
-    ]
-    per_project.append(staff_days(t).select("ID_Proyecto", "first", "last"))
-    children = reduce(DataFrame.unionByName, per_project)
+    rows = {"hitos": t["hitos"], "gastos": t["gastos"], "asignaciones": staffed(t)}
+    days = [days_by(df, "ID_Proyecto", CALENDAR_COLUMNS[name]) for name, df in rows.items()]
+    children = (
+        reduce(DataFrame.unionByName, days)
+        .groupBy("ID_Proyecto")
+        .agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    )
     return widened(
         children.join(in_scope, "ID_Proyecto", "left_semi")
         .select("first", "last")

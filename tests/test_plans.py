@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import pytest
 
-from starpipe.operators import extract, facts
+from starpipe.operators import dims, extract, facts
 from starpipe.plans.star import build_star
-from starpipe.schemas import LOAD_ORDER
+from starpipe.schemas import LOAD_ORDER, SOURCE
 from starpipe.sources.readers import parquet_source
+from starpipe.sources.tables import Tables
 from starpipe.workspace import materialise
 from tests.world import WORLD, frames, rows
 
@@ -61,6 +62,22 @@ def test_large_joins_shuffle_and_results_stay_the_same(stored, no_broadcast):
     assert rows(star["dim_riesgos"]) == [(4, 0, 0), (5, 1, 1), (6, 1, 2), (7, 2, 1)]
 
 
+def test_calendar_reduces_all_children_by_one_aggregate(stored, no_broadcast):
+    plan = plan_of(dims.calendar_span(extract.unscoped_children(stored, extract.extract_all(stored))))
+    # Once for the children, once for the projects in scope.
+    assert plan.count("Exchange hashpartitioning(ID_Proyecto") == 2
+
+
+def test_what_a_source_joins_to_its_employees_is_left_out_of_the_calendar(stored):
+    joined = stored["empleados"].join(
+        stored["clientes"].withColumnRenamed("ID_Cliente", "ID_Empleado"), "ID_Empleado", "left"
+    )
+    source = Tables({n: (lambda n=n: stored[n]) for n in SOURCE}).but(empleados=lambda: joined)
+    u = extract.unscoped_children(source, extract.extract_all(source))
+    for df in (dims.calendar_span(u), facts.staff_by_project(u)):
+        assert "NombreCliente" not in plan_of(df) and "LeftOuter" not in plan_of(df)
+
+
 @pytest.mark.parametrize("name", ["tareas", "pruebas", "errores"])
 def test_children_join_the_written_scope_once(stored, no_broadcast, name):
     x = extract.extract_all(stored, keep=materialise)
