@@ -45,6 +45,12 @@ def test_dense_id_of_nothing(make):
     assert dense_id(make([], "a int, b string"), ["a"], "n").count() == 0
 
 
+def test_dense_id_writes_only_the_columns_it_keeps(make):
+    keyed = dense_id(make([(3, "c"), (1, "a"), (2, "b")], "k int, v string"), ["k"], "n", ["v"])
+    assert rows(keyed) == [(1, "a"), (2, "b"), (3, "c")]
+    assert "k:int" not in keyed._jdf.queryExecution().executedPlan().toString()
+
+
 def test_first_seen_skips_null_and_keeps_raw_values(make):
     data = [(2, "b"), (1, None), (5, "c"), (4, "b"), (3, " b")]
     keyed = first_seen_id(make(data, "o int, v string").repartition(3), "v", ["o"], "n")

@@ -5,8 +5,8 @@ from __future__ import annotations
 import pytest
 
 from starpipe.operators import dims, extract, facts
-from starpipe.plans.star import build_star
-from starpipe.schemas import LOAD_ORDER, SOURCE
+from starpipe.plans.star import INPUTS, build_star, keep_inputs
+from starpipe.schemas import LOAD_ORDER, SOURCE, STAR
 from starpipe.sources.readers import parquet_source
 from starpipe.sources.tables import Tables
 from starpipe.workspace import materialise
@@ -78,6 +78,22 @@ def test_what_a_source_joins_to_its_employees_is_left_out_of_the_calendar(stored
         assert "NombreCliente" not in plan_of(df) and "LeftOuter" not in plan_of(df)
 
 
+def test_columns_that_only_order_rows_are_not_written(spark, stored):
+    star = build_star(extract.extract_all(stored))
+    for name, order in (("dim_finanzas", "owner"), ("hechos_asignaciones", "FechaAsignacion")):
+        files = star[name].inputFiles()
+        assert order not in spark.read.option("mergeSchema", "true").parquet(*files).columns
+
+
+def test_a_star_from_its_inputs_alone_is_the_same(stored):
+    whole = build_star(extract.extract_all(stored, keep=materialise), keep=materialise)
+    x = extract.extract_all(stored, keep=keep_inputs)
+    star = build_star(x, keep=materialise)
+    assert {name: x[name].columns for name in SOURCE} == {n: list(c) for n, c in INPUTS.items()}
+    for name in STAR:
+        assert rows(star[name]) == rows(whole[name]), name
+
+
 @pytest.mark.parametrize("name", ["tareas", "pruebas", "errores"])
 def test_children_join_the_written_scope_once(stored, no_broadcast, name):
     x = extract.extract_all(stored, keep=materialise)
