@@ -6,8 +6,8 @@ numbers of it, and the blocks are dealt to groups. Then one round per phrase len
 * Rabin-Karp: prefix polynomials over the words' codes (themselves such polynomials over the words'
   bytes) give the fingerprint of every phrase of that length in a block by a subtraction; a group's
   are added up, and a shuffle aggregates them, with the groups they occur in as occurrence pointers.
-* The fingerprints that are frequent go back to the groups that hold them, along the pointers. A phrase
-  of the next length is fingerprinted only where both phrases one word shorter are frequent, which
+* The fingerprints that are frequent go back to the groups that hold them, along the pointers that came
+  with the counts: an array for each group and task, each fingerprint once. A phrase of the next length is fingerprinted only where both phrases one word shorter are frequent, which
   every frequent phrase satisfies. So what is shuffled shrinks from round to round.
 * There, too, occurrences of a fingerprint are compared word by word, by the block's exact numbers, and
   only such phrases become text. They are counted again by text, so a collision of fingerprints
@@ -52,8 +52,6 @@ MOST_BUCKETS = 100_000
 #: Parts in which a language's best phrases are looked for first.
 PARTS = 64
 
-#: Frequent fingerprints of a round that are sent to all executors at most (a few dozen MB); more are joined.
-MOST_SENT = 1 << 20
 #: Texts and blocks in an Arrow batch, and what keeps as few blocks in a reader's memory.
 TEXTS = 1000
 BATCH = 8
@@ -66,6 +64,7 @@ _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 _BLOCKS = "lang string, bytes long, n long, words binary, ids binary"
 _FOUND = "grp int, lang string, gram long, n long, phrase string"
+_BACK = "grp int, grams array<long>"
 
 
 class Polynomial:
@@ -264,6 +263,42 @@ def _round(size: int, most: int):
     return run
 
 
+def _frequent(least: int):
+    """(gram, n, grp) ordered by gram in; out, for each group, those of its fingerprints that are frequent."""
+
+    def back(grams: np.ndarray, counts: np.ndarray, groups: np.ndarray) -> Iterator[pa.RecordBatch]:
+        first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+        often = np.add.reduceat(counts, first) >= least
+        hit = np.repeat(often, np.diff(np.append(first, len(grams))))
+        grams, groups = grams[hit], groups[hit]
+        if len(grams):
+            order = np.argsort(groups, kind="stable")
+            grams, groups = grams[order], groups[order]
+            # A group that handed its counts on several times has a fingerprint as often.
+            new = np.concatenate([[True], (grams[1:] != grams[:-1]) | (groups[1:] != groups[:-1])])
+            grams, groups = grams[new], groups[new]
+            first = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(grams)), pa.int32()), pa.array(grams))
+            yield pa.RecordBatch.from_arrays([pa.array(groups[first], pa.int32()), lists], ["grp", "grams"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append([column.to_numpy() for column in batch.columns])
+            size += batch.num_rows
+            if size >= HELD // 8:
+                columns = [np.concatenate(parts) for parts in zip(*held)]
+                # The last fingerprint may have more rows.
+                stop = int(np.searchsorted(columns[0], columns[0][-1]))
+                if stop:
+                    yield from back(*(column[:stop] for column in columns))
+                held, size = [[column[stop:] for column in columns]], size - stop
+        if size:
+            yield from back(*(np.concatenate(parts) for parts in zip(*held)))
+
+    return run
+
+
 def _rows(group, lang, grams, counts, phrases) -> pa.RecordBatch:
     size = len(counts)
     arrays = [
@@ -327,12 +362,9 @@ def frequent_phrases(blocks: DataFrame, least: int = LEAST, most: int = MOST_WOR
         if size > most:
             break
         grams = found.where("gram IS NOT NULL").select("gram", "n", "grp")
-        totals = grams.groupBy("gram").agg(F.sum("n").alias("a")).where(F.col("a") >= least).select("gram")
-        # Written first, so that their sizes are known: fingerprints need no second exchange where those
-        # that are frequent fit in memory, and blocks none at all.
-        totals = cut(totals, f"frequent-of-{size}")
-        totals = F.broadcast(totals) if totals.count() <= MOST_SENT else totals
-        back = grams.join(totals, "gram", "left_semi").groupBy("grp").agg(F.collect_list("gram").alias("grams"))
+        # Rows of a fingerprint meet once, with their groups: nothing is joined back to them.
+        met = grams.repartition("gram").sortWithinPartitions("gram").mapInArrow(_frequent(least), _BACK)
+        back = met.groupBy("grp").agg(F.flatten(F.collect_list("grams")).alias("grams"))
         source = blocks.select(*given).join(cut(back, f"frequent-of-{size}-by-group"), "grp")
     whole = texts[0]
     for more in texts[1:]:

@@ -101,6 +101,47 @@ def test_blocks_and_groups_change_nothing(small_blocks):
     assert f == expected
 
 
+def test_frequent_fingerprints_go_back_once_to_each_group(monkeypatch):
+    """Rows of a fingerprint lie in several batches; group 1 handed its counts on twice."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(phrases, "HELD", 16)
+    rows = [(-5, 3, 0), (2, 2, 1), (2, 2, 0), (2, 1, 1), (4, 4, 1), (7, 9, 2), (7, 1, 1), (9, 4, 0)]
+    for size in (1, 2, 3, 8):
+        batches = [
+            pa.RecordBatch.from_arrays(
+                [pa.array(c, kind) for c, kind in zip(zip(*rows[i : i + size]), (pa.int64(), pa.int64(), pa.int32()))],
+                ["gram", "n", "grp"],
+            )
+            for i in range(0, len(rows), size)
+        ]
+        back = defaultdict(list)
+        for out in phrases._frequent(5)(iter(batches)):
+            assert out.schema.field("grams").type == pa.list_(pa.int64())
+            for row in out.to_pylist():
+                back[row["grp"]] += row["grams"]
+        assert back == {0: [2], 1: [2, 7], 2: [7]}
+    assert list(phrases._frequent(5)(iter([]))) == []
+
+
+def test_frequent_fingerprints_are_not_joined_to_their_rows(spark, make, monkeypatch):
+    plans, rows = [], []
+
+    def recorded(df, label, cut=phrases.cut):
+        written = cut(df, label)
+        if label.endswith("by-group"):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            rows.append([row["grams"] for row in written.collect()])
+        return written
+
+    monkeypatch.setattr(phrases, "cut", recorded)
+    blocks = phrases.blocks_of(table(make, [("en", "a b c. ") for _ in range(120)]))
+    found = result(phrases.frequent_phrases(blocks))
+    assert found == [("en", p, len(p.split()), 120) for p in ("a", "a b", "a b c", "b", "b c", "c")]
+    assert [{*map(len, r)} for r in rows] == [{3}, {2}, {1}, set(), set()]
+    assert not any("Join" in plan for plan in plans)
+
+
 def test_colliding_fingerprints_are_told_apart_by_text():
     n, words, ids = phrases._numbered([b"a b c a b"])
     block = phrases.Block("en", words, ids)
