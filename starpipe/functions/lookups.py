@@ -6,17 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _HIT = "__hit"
+_KNOWN = "__known"
 
 
-def semi_if_any(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Rows of ``left`` whose key occurs in ``right``; all rows when ``right`` is empty.
+def marked_if_any(left: DataFrame, right: DataFrame, key: str, name: str) -> DataFrame:
+    """``left`` with ``name``: whether the key occurs in ``right``; true everywhere when ``right`` is empty.
 
     The emptiness test is an uncorrelated EXISTS, evaluated once by Spark as a subquery.
     """
     keys = right.select(key)
     known = keys.distinct()
     marked = left.join(known.withColumn(_HIT, F.lit(1)), key, "left")
-    return marked.where(F.col(_HIT).isNotNull() | ~keys.exists()).select(*left.columns)
+    return marked.select(*left.columns, (F.col(_HIT).isNotNull() | ~keys.exists()).alias(name))
+
+
+def semi_if_any(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Rows of ``left`` whose key occurs in ``right``; all rows when ``right`` is empty."""
+    return marked_if_any(left, right, key, _KNOWN).where(_KNOWN).select(*left.columns)
 
 
 def lookup(

@@ -88,6 +88,14 @@ def dropped_by(before: DataFrame, after: DataFrame, name: str) -> DataFrame:
     )
 
 
+def dropped_unless(marked: DataFrame, kept: str, name: str) -> DataFrame:
+    """``dropped_by`` in one pass: column ``kept`` says which rows the filter leaves."""
+    counted = marked.agg(F.count("*").alias("antes"), F.count_if(kept).alias("despues"))
+    return counted.select(
+        F.lit(name).alias("tabla"), "antes", "despues", (F.col("antes") - F.col("despues")).alias("filtradas")
+    )
+
+
 def unstorable(star_table: DataFrame, stored: DataFrame, column: str) -> DataFrame:
     """(columna, valores): numbers that the stored column could not hold and has as null."""
     filled = [

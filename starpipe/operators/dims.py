@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from starpipe.functions import columns as C
 from starpipe.functions.keys import dense_id, first_seen_id
-from starpipe.functions.lookups import semi_if_any
+from starpipe.functions.lookups import marked_if_any, semi_if_any
 from starpipe.operators.extract import EXTRACTION_ORDER
 
 Extracts = Mapping[str, DataFrame]
@@ -266,6 +266,11 @@ def dim_pruebas(t: Extracts, check_milestones: bool = True) -> DataFrame:
     return semi_if_any(tests, t["hitos"], "ID_Hito") if check_milestones else tests
 
 
+def marked_tests(t: Extracts, name: str) -> DataFrame:
+    """The tests with ``name``: whether ``dim_pruebas`` keeps them."""
+    return marked_if_any(t["pruebas"].select("ID_Prueba", "ID_Hito"), t["hitos"], "ID_Hito", name)
+
+
 def finance_rows(t: Extracts, null_text: str = C.UNSPECIFIED) -> DataFrame:
     """Expenses and penalties in one relation, with the columns that order them."""
     expenses = t["gastos"].select(

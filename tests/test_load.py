@@ -5,9 +5,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from checks.registry import QUERIES
 from starpipe.__main__ import arguments, main
 from starpipe.control.watermark import HISTORY, INITIAL, Watermark, utc_now
-from starpipe.operators import audits, extract
+from starpipe.operators import audits, dims, extract
 from starpipe.operators.sinks import CatalogSink, ParquetSink, conformed, load_all, load_table
 from starpipe.plans import pipeline
 from starpipe.plans.star import build_star
@@ -171,6 +172,29 @@ def test_count_audits(world, star):
     assert audits.unmatched_dates(star["hechos_asignaciones"]).first().sin_fecha == 1
 
 
+def test_dropped_tests_are_counted_in_one_pass(world):
+    x = extract.extract_all(world)
+    for milestones in (x["hitos"], x["hitos"].where("ID_Hito > 1"), x["hitos"].where("ID_Hito < 0")):
+        t = x.but(hitos=lambda: milestones)
+        marked = audits.dropped_unless(dims.marked_tests(t, "known"), "known", "dim_pruebas")
+        assert rows(marked) == rows(audits.dropped_by(t["pruebas"], dims.dim_pruebas(t), "dim_pruebas"))
+        assert marked.dtypes == [("tabla", "string"), ("antes", "bigint"), ("despues", "bigint"), ("filtradas", "bigint")]
+
+
+def test_an_empty_extract_drops_no_tests(world):
+    x = extract.extract_all(world)
+    none = x.but(pruebas=lambda: x["pruebas"].where("false"))
+    assert rows(audits.dropped_unless(dims.marked_tests(none, "known"), "known", "dim_pruebas")) == [("dim_pruebas", 0, 0, 0)]
+
+
+@pytest.mark.parametrize("name", ["a17_dropped_tests", "a17_dropped_tests_unknown"])
+def test_audit_of_tests_reads_and_joins_the_tests_once(spark, name):
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("__position:bigint") == 1 and "Union" not in plan
+    # The milestones come from their written copy.
+    assert "l_shipdate" not in plan and "o_orderstatus" not in plan
+
+
 def test_watermark(spark, tmp_path):
     control = Watermark(spark, str(tmp_path / "control"))
     assert control.current() == INITIAL
