@@ -8,10 +8,11 @@ there. Sets that differ at a position are in different lists, so whole blocks of
 index are skipped without being read, and passages that many documents share do not bring these
 together: a list holds only sets that agree in all elements of a position.
 
-Positions that hold one element or none agree too easily. The number of positions therefore exceeds
-H(U) + 1 by a slack, and a set enters the lists of its larger positions only; one with more small
-positions than the slack enters those of the small ones, too. So two linked sets share a list of a
-larger position, or both are in all their lists: no link is lost.
+A set with at most H differences from any partner enters H + 1 lists only, those of its fullest
+positions (of equally full ones, of the smallest names), since positions with few elements agree too
+easily. No link is lost: two linked sets agree in all positions but H of the one that enters up to the
+fuller position, so in one that it enters, and the other enters all that come before its own last one.
+So a band may be wide, and only sets near its lower end enter the band below, too.
 
 **Answers from answers.** Equal sets are one class. In each list only the smallest member, its
 leader, is compared with the others. Sets linked with the same leader are in one component, and
@@ -27,7 +28,10 @@ grow with the sets and not with the square of a group.
 
 A set also has the parities of its elements in 64 parts of the hash range. A difference of k elements
 changes at most k of them, so pairs whose parities differ in more than linked sets can are skipped
-before any element is looked at, in all of these steps.
+before any element is looked at, in all of these steps. Larger linked sets may differ in as many of 64
+parities as any two do; therefore the sets of the remaining pairs and blocks first meet with the
+parities of a number of parts that grows with their size, 32 elements to a word at most, and only those
+that these don't rule out with their elements.
 """
 
 from __future__ import annotations
@@ -54,6 +58,10 @@ BATCH_ROWS = 100_000
 LEADER_ROWS = 2_000
 #: Sets, and elements of them, that a block of a leader's members holds, on average.
 BLOCK_ROWS, BLOCK_ELEMENTS = 2_000, 500_000
+#: 64-bit words of parities that are compared before sets are, at least.
+PARITY_WORDS = 32
+#: A band's largest size, in hundredths of its smallest.
+BAND_PERCENT = 200
 #: 64-bit words of the filter of document ids (1 MB, whatever the corpus).
 FILTER_WORDS = 1 << 17
 
@@ -113,12 +121,12 @@ class Bands:
     def of(self, size: int) -> int:
         while self.first[-1] <= size:
             low = self.first[-1]
-            self.first.append(max(low, low * 100 // self.percent) + 1)
+            self.first.append(max(low * 100 // self.percent, low * BAND_PERCENT // 100) + 1)
         return int(np.searchsorted(self.first, size, side="right")) - 1
 
     @lru_cache(maxsize=None)  # noqa: B019  one object a task, some hundred bands
     def positions(self, band: int) -> tuple[int, int, int]:
-        """Number of positions, how many small ones need no list, most elements that differ."""
+        """Number of positions, how many need no list at least, most elements that differ."""
         last = self.first[band + 1] - 1
         bound = difference_bound(last * 100 // self.percent, last, self.percent)
         slack = bound * 15 // 100 + 3 if bound else 0
@@ -126,26 +134,28 @@ class Bands:
 
     def lists(self, hashes: np.ndarray) -> np.ndarray:
         """The names of the lists that a set enters."""
-        own = self.of(len(hashes))
-        bands = [own]
-        if own and 100 * (self.first[own] - 1) >= self.percent * len(hashes):
-            bands.append(own - 1)
-        return np.concatenate([self._names(hashes, band) for band in bands])
-
-    def _names(self, hashes: np.ndarray, band: int) -> np.ndarray:
-        count, slack, _ = self.positions(band)
+        size = len(hashes)
+        own = self.of(size)
+        names = [self._names(hashes, own, difference_bound(size * 100 // self.percent, size, self.percent))]
+        below = self.first[own] - 1
+        if own and 100 * below >= self.percent * size:
+            names.append(self._names(hashes, own - 1, difference_bound(size, below, self.percent)))
+        return np.concatenate(names)
+
+    def _names(self, hashes: np.ndarray, band: int, bound: int) -> np.ndarray:
+        """The fullest positions' names, one more than elements that can differ."""
+        count = self.positions(band)[0]
         at = ((hashes >> _S32) * np.uint64(count)) >> _S32
         starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         content = np.add.reduceat(_mix(hashes + _M1), starts)
-        position = at[starts]
-        large = np.diff(starts, append=len(hashes)) > 1
-        if count - large.sum() > slack and count > 1:
+        position, size = at[starts], np.diff(starts, append=len(hashes))
+        if len(position) <= bound:
             empty = np.setdiff1d(np.arange(count, dtype=np.uint64), position)
             position = np.concatenate((position, empty))
             content = np.concatenate((content, np.zeros(len(empty), np.uint64)))
-        elif count > 1:
-            position, content = position[large], content[large]
-        return _mix(content + _mix(position + (np.uint64(band) << _S32)))
+            size = np.concatenate((size, np.zeros(len(empty), size.dtype)))
+        names = _mix(content + _mix(position + (np.uint64(band) << _S32)))
+        return names[np.lexsort((names, -size))[: bound + 1]]
 
 
 def _heads(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -195,17 +205,48 @@ def _parities(hashes: np.ndarray) -> np.int64:
     return (odd.astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(dtype=np.uint64).astype(np.int64)
 
 
+def _sketch(hashes: np.ndarray) -> np.ndarray:
+    """Whether each part, named by the last bits of the hashes, has an odd number of elements."""
+    words = PARITY_WORDS
+    while 32 * words < len(hashes):
+        words *= 2
+    part = hashes & np.uint64(64 * words - 1)
+    odd = np.bincount(part.astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _fold(parities: np.ndarray, words: int) -> np.ndarray:
+    """The parities of fewer parts."""
+    while parities.shape[-1] > words:
+        half = parities.shape[-1] // 2
+        parities = parities[..., :half] ^ parities[..., half:]
+    return parities
+
+
+def _changed(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """In how many parities sets differ, at most as many as elements."""
+    words = min(one.shape[-1], other.shape[-1])
+    return np.bitwise_count((_fold(one, words) ^ _fold(other, words)).view(np.uint64)).sum(axis=-1, dtype=np.int64)
+
+
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     shingles = Shingles(words)
     for batch in batches:
         if not batch.num_rows:
             continue
-        values = [shingles(text).view(np.int64) for text in batch.column("text").to_pylist()]
-        sizes = np.cumsum([0, *map(len, values)])
-        arrays = pa.ListArray.from_arrays(
-            pa.array(sizes, pa.int32()), pa.array(np.concatenate(values), pa.int64())
+        values = [shingles(text) for text in batch.column("text").to_pylist()]
+        sketches = [_sketch(value) for value in values]
+        lists = [
+            pa.ListArray.from_arrays(
+                pa.array(np.cumsum([0, *map(len, some)]), pa.int32()),
+                pa.array(np.concatenate(some).view(np.int64), pa.int64()),
+            )
+            for some in (sketches, values)
+        ]
+        size = pa.array([len(value) for value in values], pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), size, *lists], names=["doc_id", "n_shingles", "parities", "hashes"]
         )
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), arrays], names=["doc_id", "hashes"])
 
 
 class _Index:
@@ -239,6 +280,30 @@ class _Index:
         return self.answers
 
 
+def _possible(table: pa.Table, percent: int) -> pa.Table:
+    """The members of two blocks that sizes and parities allow a link with one of another component."""
+    component, block, low, high, size = (
+        table.column(name).to_numpy() for name in ("component", "block", "low", "high", "n_shingles")
+    )
+    parities = [x.values.to_numpy() for x in table.column("parities")]
+    words = np.array([len(x) for x in parities])
+    left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    alike = {}
+    for n in np.unique(words[right]):
+        rows = right[words[right] == n]
+        alike[n] = rows, np.stack([parities[k] for k in rows])
+    found = np.zeros(table.num_rows, bool)
+    for k in left:
+        for rows, theirs in alike.values():
+            both = size[k] + size[rows]
+            most = (100 - percent) * both // (100 + percent)
+            near = np.flatnonzero((component[rows] != component[k]) & (np.abs(size[rows] - size[k]) <= most))
+            near = near[_changed(theirs[near], parities[k]) <= most[near]]
+            found[rows[near]] = True
+            found[k] |= len(near) > 0
+    return table.filter(pa.array(found)).drop_columns(["n_shingles", "parities"])
+
+
 def _links(table: pa.Table, percent: int) -> pa.Table:
     """(a, b): links that join the components of two blocks' members, one for each two joined."""
     ids, component, block, low, high = (
@@ -272,6 +337,17 @@ def _links(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
+def _allowed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        size, parities = (
+            [batch.column(side).field(name) for side in ("left", "right")] for name in ("n_shingles", "parities")
+        )
+        both = size[0].to_numpy() + size[1].to_numpy()
+        changed = [_changed(*(side[i].values.to_numpy() for side in parities)) for i in range(batch.num_rows)]
+        near = np.array(changed, np.int64) <= (100 - percent) * both // (100 + percent)
+        yield batch.select(["a", "b", "lists"]).filter(pa.array(near))
+
+
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         left, right = (batch.column(name) for name in ("left", "right"))
@@ -342,8 +418,11 @@ class Join:
         leader, and n, for lists with the same members are one."""
         words, percent = self.words, self.percent
         full = heads.where("doc_id IS NOT NULL AND n_shingles > 0")
-        own, others = _split(self.docs, full.where("doc_id <> rep").select("doc_id"))
+        copies = full.where("doc_id <> rep").select("doc_id")
         reps = full.where("doc_id = rep").select("doc_id").distinct()
+        own, others = _split(self.docs, copies)
+        # Of the texts that the filter takes for copies', only possible representatives' are shuffled.
+        _, others = _split(others, _split(reps, copies)[1])
         chosen = own.union(others.join(reps, "doc_id", "left_semi").select("doc_id", "text"))
         entries = chosen.mapInArrow(
             lambda batches: _lists(batches, words, percent),
@@ -359,26 +438,44 @@ class Join:
         return cut(rest.groupBy("list", "doc_id", "leader").agg(F.count("*").alias("n")), "lists")
 
     def sets(self, ids: DataFrame) -> DataFrame:
-        """(doc_id, hashes) of these documents and perhaps others, read once more; nothing is shuffled."""
+        """(doc_id, n_shingles, parities, hashes) of these documents and perhaps others, read once more;
+        nothing is shuffled."""
         words = self.words
         _, some = _split(self.docs, ids)
-        return some.mapInArrow(lambda batches: _sets(batches, words), "doc_id long, hashes array<long>")
+        return some.mapInArrow(
+            lambda batches: _sets(batches, words),
+            "doc_id long, n_shingles long, parities array<long>, hashes array<long>",
+        )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, shared, union) for pairs (a, b); a may lead very many of them."""
+def _beside(pairs: DataFrame, sets: DataFrame, content: str) -> DataFrame:
+    """The pairs (a, b) with what the sets hold as left and right; a may lead very many of them."""
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / LEADER_ROWS).cast("int").alias("salts"))
     salted = pairs.join(salts, "a").withColumn("salt", F.expr("cast(pmod(xxhash64(b), salts) as int)"))
     # Sets that are of no pair aren't shuffled, but for the few that the filter lets through.
+    held = sets.select("doc_id", F.expr(content).alias("held"))
     leaders = (
-        _split(sets, _named(pairs, "a"))[1]
-        .withColumnsRenamed({"doc_id": "a", "hashes": "left"})
+        _split(held, _named(pairs, "a"))[1]
+        .withColumnsRenamed({"doc_id": "a", "held": "left"})
         .join(salts, "a")
         .withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)")))
         .drop("salts")
     )
-    members = _split(sets, _named(pairs, "b"))[1].withColumnsRenamed({"doc_id": "b", "hashes": "right"})
-    joined = salted.drop("salts").join(members, "b").join(leaders, ["a", "salt"])
+    members = _split(held, _named(pairs, "b"))[1].withColumnsRenamed({"doc_id": "b", "held": "right"})
+    return salted.drop("salts").join(members, "b").join(leaders, ["a", "salt"]).drop("salt")
+
+
+def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sizes and parities allow a link."""
+    met = _beside(pairs, sets, "struct(n_shingles, parities)")
+    near = met.mapInArrow(lambda batches: _allowed(batches, percent), "a long, b long, lists long")
+    # A doc_id that occurs with several texts has several sets; one that may be linked is enough.
+    return near.dropDuplicates(["a", "b"])
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, shared, union) for pairs (a, b)."""
+    joined = _beside(pairs.select("a", "b"), sets, "hashes")
     measured = joined.select("a", "b", "left", "right").mapInArrow(
         _common, "a long, b long, shared long, union long"
     )
@@ -431,6 +528,7 @@ def _labels(join: Join, full: DataFrame, lists: DataFrame, percent: int) -> Data
     sizes = cut(sizes, "sizes")
     pairs = cut(_leader_pairs(lists, sizes, percent), "pairs")
     sets = cut(join.sets(_named(pairs, "a").union(_named(pairs, "b")).distinct()), "sets")
+    pairs = cut(_near(pairs, sets, percent), "near")
 
     link = F.expr(f"100 * shared >= {percent} * union")
     # Each set is compared with the leader it shares most lists with; then with the other leaders,
@@ -504,18 +602,23 @@ def cross_links(join: Join, lists: DataFrame, labels: DataFrame, sizes: DataFram
     blocks = members.groupBy("leader").agg(
         F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("most") / BLOCK_ELEMENTS)).cast("int").alias("blocks")
     )
+    keys = ["leader", "low", "high"]
     dealt = (
         members.drop("most")
         .join(blocks, "leader")
         .withColumn("block", F.expr("cast(pmod(xxhash64(doc_id, leader), blocks) as int)"))
-        .join(join.sets(members.select("doc_id").distinct()), "doc_id")
+        .join(join.sets(members.select("doc_id").distinct()).drop("hashes"), "doc_id")
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+        .select(*keys, "doc_id", "component", "block", "n_shingles", "parities")
     )
-    paired = dealt.select(
-        "leader", "doc_id", "component", "block", "hashes",
-        F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-    )
-    return paired.groupBy("leader", "low", "high").applyInArrow(
+    possible = dealt.groupBy(*keys).applyInArrow(
+        lambda table: _possible(table, percent),
+        "leader long, low int, high int, doc_id long, component long, block int",
+    )
+    possible = cut(possible.distinct(), "possible")
+    sets = join.sets(possible.select("doc_id").distinct()).select("doc_id", "hashes")
+    return possible.join(sets, "doc_id").groupBy(*keys).applyInArrow(
         lambda table: _links(table, percent), "a long, b long"
     )
 
@@ -532,6 +635,9 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     )
     special = counted.where("component <> doc_id OR rows > 1")
     clear, rest = _split(docs, special.select("doc_id"))
+    # Of the texts that the filter takes for special ones, those of documents that surely go aren't shuffled.
+    staying = found.where("doc_id IS NULL OR component_id = doc_id").select("doc_id").distinct()
+    _, rest = _split(rest, _split(staying, special.select("doc_id"))[1])
     rows = rest.select(F.col("doc_id").cast("long").alias("id"), F.struct("*").alias("given"))
     decided = rows.join(special.withColumnRenamed("doc_id", "id"), "id", "left")
     single = decided.where("component IS NULL").select("given.*")

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from starpipe.llm import setjoin
@@ -142,3 +143,52 @@ def test_bands_and_bounds_lose_no_pair(percent):
             assert most <= difference_bound(large, small, percent)
             count, slack, _ = bands.positions(bands.of(small))
             assert count - slack > most
+
+
+@pytest.mark.parametrize("percent", [80, 85, 90])
+def test_a_set_enters_one_list_more_than_it_can_differ_in_and_loses_no_link(percent):
+    draw, bands = np.random.default_rng(percent), Bands(percent)
+    for size in (1, 2, 3, 5, 8, 13, 40, 100, 333, 1000, *draw.integers(4, 600, 60)):
+        base = draw.integers(0, 2**64, int(size), np.uint64)
+        own, own_lists = bands.of(len(base)), bands.lists(np.sort(base))
+        most = difference_bound(len(base) * 100 // percent, len(base), percent) + 1
+        below = bands.first[own] - 1
+        if own and 100 * below >= percent * len(base):
+            most += difference_bound(len(base), below, percent) + 1
+        assert len(own_lists) == most
+        for _ in range(20):
+            # As many elements fewer, more, or replaced as links allow.
+            less, more = draw.integers(0, most + 1, 2)
+            other = np.concatenate((base[less:], draw.integers(0, 2**64, more, np.uint64)))
+            if 100 * (len(base) - less) >= percent * (len(base) + more):
+                assert np.intersect1d(own_lists, bands.lists(np.sort(other))).size
+
+
+def test_parities_rule_out_no_link_and_most_other_members():
+    draw = np.random.default_rng(7)
+    for size in (300, 1000, 1030, 9000):
+        base = draw.integers(0, 2**64, size, np.uint64)
+        near, far = (np.concatenate((base[n:], draw.integers(0, 2**64, n, np.uint64))) for n in (size // 20, size // 5))
+        assert setjoin._changed(setjoin._sketch(base), setjoin._sketch(near)) <= 2 * (size // 20)
+        sets = [base, near, near[size // 20 :], far]
+        table = pa.table({
+            "leader": [1] * 4, "low": [0] * 4, "high": [0] * 4, "doc_id": [2, 3, 4, 5], "component": [2, 3, 4, 5], "block": [0] * 4,
+            "n_shingles": [len(s) for s in sets], "parities": [setjoin._sketch(s) for s in sets],
+        })
+        assert setjoin._possible(table, 85).column("doc_id").to_pylist() == [2, 3, 4]
+        alone = setjoin._possible(table.set_column(4, "component", pa.array([9] * 4)), 85)
+        assert alone.num_rows == 0
+
+
+def test_texts_of_documents_that_go_are_ruled_out_before_the_shuffle(make, monkeypatch):
+    """With a filter of one word nearly all ids are taken for others'; the result is the same."""
+    draw, texts = random.Random(8), []
+    for _ in range(30):
+        base = [f"w{draw.randrange(5000)}" for _ in range(60)]
+        texts += [" ".join(base), " ".join(base), family(draw, base, 1)]
+    rows = list(zip(draw.sample(range(10**6), len(texts)), texts))
+    frame = make([*rows, (None, texts[0]), (None, None)], "doc_id long, text string")
+    wanted = sorted(d for d, _, c in brute(rows) if d == c)
+    for words in (1, setjoin.FILTER_WORDS):
+        monkeypatch.setattr(setjoin, "FILTER_WORDS", words)
+        assert sorted(str(r["doc_id"]) for r in one_of_each(frame).collect()) == sorted([*wanted, "None", "None"])
