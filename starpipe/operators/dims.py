@@ -98,9 +98,9 @@ def penalties_by_contract(t: Extracts) -> DataFrame:
     return per_contract.join(closed, "ID_Contrato", "left_semi")
 
 
-def penalty_span(t: Extracts) -> DataFrame:
-    """One row: first and last penalty day of the closed contracts."""
-    return penalties_by_contract(t).agg(
+def penalty_span(t: Extracts, penalties: DataFrame | None = None) -> DataFrame:
+    """One row: first and last penalty day of the closed contracts (``penalties``, if at hand)."""
+    return (penalties_by_contract(t) if penalties is None else penalties).agg(
         F.min("penalty_first").alias("first"), F.max("penalty_last").alias("last")
     )
 

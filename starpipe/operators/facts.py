@@ -32,23 +32,38 @@ Extracts = Mapping[str, DataFrame]
 Money = "decimal(25,2)"
 
 
+def _first(key: str, day: str) -> Column:
+    """The key of the earliest row. A plain minimum, which repeated rows don't change: the optimizer
+    then leaves out what a source joins to the rows for other columns."""
+    return F.min(F.struct(day, key))[key]
+
+
 def costs_by_project(expenses: DataFrame) -> DataFrame:
-    amount, category = F.col("Monto"), F.col("Categoria")
-    return expenses.groupBy("ID_Proyecto").agg(
+    # Read off the texts first, so that the rows to be reduced don't carry them.
+    category = F.col("Categoria")
+    rows = expenses.select(
+        "ID_Proyecto",
+        "ID_Gasto",
+        "Fecha",
+        "Monto",
+        C.is_penalty(F.col("TipoGasto")).alias("penalty"),
+        C.equals_upper(category, C.CAPEX).alias("capital"),
+        C.equals_upper(category, C.OPEX).alias("operating"),
+    )
+    amount = F.col("Monto")
+    return rows.groupBy("ID_Proyecto").agg(
         F.sum(amount).alias("cost"),
-        F.sum(F.when(C.is_penalty(F.col("TipoGasto")), amount)).alias("expense_penalty"),
-        F.sum(F.when(C.equals_upper(category, C.CAPEX), amount)).alias("capex"),
-        F.sum(F.when(C.equals_upper(category, C.OPEX), amount)).alias("opex"),
-        F.min_by("ID_Gasto", F.struct("Fecha", "ID_Gasto")).alias("first_expense"),
+        F.sum(F.when(F.col("penalty"), amount)).alias("expense_penalty"),
+        F.sum(F.when(F.col("capital"), amount)).alias("capex"),
+        F.sum(F.when(F.col("operating"), amount)).alias("opex"),
+        _first("ID_Gasto", "Fecha").alias("first_expense"),
         F.min("Fecha").alias("spent_first"),
         F.max("Fecha").alias("spent_last"),
     )
 
 
 def first_risks(risks: DataFrame) -> DataFrame:
-    return risks.groupBy("ID_Proyecto").agg(
-        F.min_by("ID_Riesgo", F.struct("FechaRegistro", "ID_Riesgo")).alias("first_risk")
-    )
+    return risks.groupBy("ID_Proyecto").agg(_first("ID_Riesgo", "FechaRegistro").alias("first_risk"))
 
 
 def staff_by_project(t: Extracts) -> DataFrame:
@@ -166,8 +181,13 @@ _PARTS: dict[str, Callable[[Extracts], DataFrame]] = {
 ALL_PARTS = ("penalties", "costs", "risks", "staff", "schedule")
 
 
-def project_rollup(t: Extracts, parts: Iterable[str] = ALL_PARTS) -> DataFrame:
-    """One row per project in scope: its own columns and the reduced measures of its children."""
+def project_rollup(
+    t: Extracts, parts: Iterable[str] = ALL_PARTS, penalties: DataFrame | None = None
+) -> DataFrame:
+    """One row per project in scope: its own columns and the reduced measures of its children.
+
+    ``penalties``: ``penalties_by_contract(t)``, where it is written already.
+    """
     rollup = t["proyectos"].select(
         "ID_Proyecto",
         "ID_Contrato",
@@ -178,23 +198,28 @@ def project_rollup(t: Extracts, parts: Iterable[str] = ALL_PARTS) -> DataFrame:
     )
     if "penalties" in parts:
         # First, because the extracted projects are already spread by contract.
-        penalties = penalties_by_contract(t).select("ID_Contrato", "contract_penalty")
-        rollup = rollup.join(penalties, "ID_Contrato", "left")
+        penalties = penalties_by_contract(t) if penalties is None else penalties
+        rollup = rollup.join(penalties.select("ID_Contrato", "contract_penalty"), "ID_Contrato", "left")
     for name in parts:
         if name != "penalties":
             rollup = rollup.join(_PARTS[name](t), "ID_Proyecto", "left")
     return rollup
 
 
-def rollup_span(rollup: DataFrame, t: Extracts) -> DataFrame:
-    """One row (first, last): the calendar's reach, read off a complete rollup."""
+def rollup_span(
+    rollup: DataFrame, t: Extracts, penalties: DataFrame | None = None
+) -> DataFrame:
+    """One row (first, last): the calendar's reach, read off a complete rollup.
+
+    ``penalties``: ``penalties_by_contract(t)``, where it is written already.
+    """
     spans = ("milestone", "assigned", "spent")
     starts = [F.col(c) for c in ("FechaInicio", "FechaFin", *(f"{s}_first" for s in spans))]
     ends = [F.col(c) for c in ("FechaInicio", "FechaFin", *(f"{s}_last" for s in spans))]
     observed = rollup.agg(
         F.min(F.least(*starts)).alias("first"), F.max(F.greatest(*ends)).alias("last")
     )
-    return widened(observed.unionByName(penalty_span(t)))
+    return widened(observed.unionByName(penalty_span(t, penalties)))
 
 
 def _money(name: str) -> Column:

@@ -69,10 +69,14 @@ def build_star(
             "finances": lambda: dims.numbered_finances(
                 extracts, null_text, None if resolve_finanza else dims.FINANCE_COLUMNS
             ),
+            # Written because the rollup and the calendar both read them.
+            "penalties": lambda: materialise(dims.penalties_by_contract(reduced), "penalties"),
             # Written because the calendar, the risk default and the fact itself all read it.
-            "rollup": lambda: materialise(facts.project_rollup(reduced), "rollup"),
+            "rollup": lambda: materialise(
+                facts.project_rollup(reduced, penalties=shared["penalties"]), "rollup"
+            ),
             "rollup_calendar": lambda: dims.dim_tiempo(
-                facts.rollup_span(shared["rollup"], reduced)
+                facts.rollup_span(shared["rollup"], reduced, shared["penalties"])
             ),
         }
     )

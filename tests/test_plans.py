@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from starpipe.operators import dims, extract, facts
 from starpipe.plans.star import INPUTS, build_star, keep_inputs
@@ -111,3 +112,31 @@ def test_no_plan_multiplies_rows_or_leaves_the_jvm(stored):
         plan = plan_of(star[name])
         for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython"):
             assert operator not in plan, (name, operator)
+
+
+def test_first_risks_leave_out_what_a_source_joins_to_its_risks(stored):
+    # Severities from a relation with repeated keys: the rows double, the first risk stays.
+    types = stored["clientes"].select(F.col("ID_Cliente").alias("ID_Proyecto"), "NombreCliente")
+    repeated = types.unionByName(types).unionByName(
+        stored["proyectos"].select("ID_Proyecto", F.col("NombreProyecto").alias("NombreCliente"))
+    )
+    risks = stored["riesgos"].join(repeated, "ID_Proyecto", "left")
+    plan = plan_of(facts.first_risks(risks))
+    assert "Join" not in plan and "NombreProyecto" not in plan
+    assert rows(facts.first_risks(risks)) == rows(facts.first_risks(stored["riesgos"]))
+
+
+def test_costs_reduce_rows_without_texts(stored):
+    plan = plan_of(facts.costs_by_project(stored["gastos"]))
+    assert "TipoGasto" not in plan.split("partial_sum")[1].split("Project")[0]
+    assert plan.count("upper(Categoria") == 2
+
+
+def test_rollup_and_calendar_share_written_penalties(stored):
+    x = extract.unscoped_children(stored, extract.extract_all(stored))
+    written = materialise(dims.penalties_by_contract(x), "penalties")
+    rollup = materialise(facts.project_rollup(x, penalties=written), "rollup")
+    assert rows(rollup) == rows(facts.project_rollup(x))
+    span = facts.rollup_span(rollup, x, written)
+    assert rows(span) == rows(facts.rollup_span(rollup, x))
+    assert "/penalizaciones" not in plan_of(span) and "/contratos" not in plan_of(span)
