@@ -14,10 +14,52 @@ _PART = "__part"
 _OFFSET = "__offset"
 # monotonically_increasing_id() puts the partition number above bit 33, the row number below.
 _ROW_BITS = 33
+# Rows of a range, and the fewest where there are idle cores; bins that are counted for each range.
+_RANGE_ROWS = 1 << 18
+_LEAST_ROWS = 1 << 14
+_BINS = 16
+
+
+def _counted_ranges(counted: DataFrame, key: str) -> tuple[int, Column] | None:
+    """Number of ranges of about equal rows, and a row's range, by a count of equal bins of ``key``.
+
+    None where bins can't tell the rows apart: one holds more than two ranges' rows.
+    """
+    value = F.col(key).cast("bigint")
+    low, high, rows = counted.agg(F.min(value), F.max(value), F.count("*")).first()
+    if low is None or high - low >= 1 << 62:
+        return None
+    cores = counted.sparkSession.sparkContext.defaultParallelism
+    number = max(-(-rows // _RANGE_ROWS), min(cores, -(-rows // _LEAST_ROWS)))
+    width = (high - low) // (_BINS * number) + 1
+    place = F.call_function("div", value - F.lit(low), F.lit(width).cast("bigint"))
+    held = dict(counted.groupBy(place.alias("bin")).count().collect())
+    if number > 1 and max(held.values()) * number > 2 * rows:
+        return None
+    before = held.get(None, 0)  # nulls sort first
+    ranges = []
+    for place_no in range((high - low) // width + 1):
+        ranges.append(min(before * number // rows, number - 1))
+        before += held.get(place_no, 0)
+    listed = F.split(F.lit(" ".join(map(str, ranges))), " ").cast("array<int>")
+    # Keys outside what was counted go to the outer ranges, so the order holds for them, too.
+    inside = F.least(F.greatest(value, F.lit(low)), F.lit(high)) - F.lit(low)
+    bin_no = F.call_function("div", inside, F.lit(width).cast("bigint")).cast("int")
+    found = F.get(listed, bin_no)
+    return number, F.when(value.isNull(), 0).otherwise(found)
+
+
+def _ranged(df: DataFrame, order: Sequence[str | Column], counted: DataFrame | None) -> DataFrame:
+    ranges = None if counted is None else _counted_ranges(counted, order[0])
+    return df.repartitionByRange(*order) if ranges is None else df.repartitionById(*ranges)
 
 
 def dense_id(
-    df: DataFrame, order: Sequence[str | Column], name: str, columns: Sequence[str] | None = None
+    df: DataFrame,
+    order: Sequence[str | Column],
+    name: str,
+    columns: Sequence[str] | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows 1..n in the order of ``order``, whose last column must be unique.
 
@@ -26,10 +68,13 @@ def dense_id(
     bounds are sampled and must not be drawn again. The row counts per range, one row per shuffle
     partition, give the offsets; that frame is written too and is all that is broadcast.
     ``columns``: what to keep of the rows, so that columns that only order them are not written.
+    ``counted``: a frame with about the rows' values of the first, integral order column and cheap to
+    read. Its counts then give the ranges, instead of a sample that computes all of ``df`` once more;
+    where a few keys own too much, the sample still does.
     """
     kept = [F.col(f"`{c}`") for c in (df.columns if columns is None else columns)]
     positioned = (
-        df.repartitionByRange(*order)
+        _ranged(df, order, counted)
         .sortWithinPartitions(*order)
         .select(*kept, F.monotonically_increasing_id().alias(_POSITION))
     )

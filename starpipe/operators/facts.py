@@ -340,7 +340,9 @@ def hechos_proyectos(
         metrics = metrics.join(
             expenses, F.col("ID_Finanza") == F.col("__entry"), "left"
         ).select(*columns)
-    return dense_id(metrics, ["ID_Proyecto"], "ID_Hecho")
+    return dense_id(
+        metrics, ["ID_Proyecto"], "ID_Hecho", counted=rollup.select("ID_Proyecto")
+    )
 
 
 def assignment_values(t: Extracts, calendar: DataFrame) -> DataFrame:

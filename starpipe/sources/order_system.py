@@ -67,7 +67,9 @@ def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         if landed is None or landed.sparkSession is not spark:
             raw = _read(spark, sf_dir, "lineitem")
             exact = raw.select(*[F.col(c).cast(kind).alias(c) for c, kind in _LINE_COLUMNS.items()])
-            landed = _landed[sf_dir] = dense_id(exact, list(_LINE_COLUMNS), "rid")
+            landed = _landed[sf_dir] = dense_id(
+                exact, list(_LINE_COLUMNS), "rid", counted=raw.select("l_orderkey")
+            )
         return landed
 
 

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from starpipe.functions import keys
 from starpipe.functions.keys import dense_id, first_seen_id
 from starpipe.functions.lookups import lookup, semi_if_any
 from tests.world import rows
@@ -40,7 +41,57 @@ def test_dense_id_spreads_a_hot_key_over_tasks(spark):
     assert keyed.where(F.col("n") != F.col("id") + 1).count() == 0
 
 
+@pytest.mark.parametrize("span", [40, 3000, 10**15])
+def test_dense_id_by_counted_ranges(make, monkeypatch, span):
+    # Negative, repeated and missing keys, some outside of what was counted; the ranges are small.
+    monkeypatch.setattr(keys, "_RANGE_ROWS", 200)
+    random.seed(span)
+    data = [(None if i % 50 == 0 else random.randrange(-span, span), i) for i in range(3000)]
+    df = make(data, "k bigint, id bigint").repartition(7)
+    counted = df.select("k").where(f"k is null or abs(k) < {span * 0.9}")
+    keyed = dense_id(df, ["k", "id"], "n", counted=counted)
+    expected = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    got = [tuple(r) for r in sorted(keyed.collect(), key=lambda r: r.n)]
+    assert got == [(n, *row) for n, row in enumerate(expected, 1)]
+    assert len([f for f in keyed.inputFiles() if "/n-offsets" not in f]) > 8
+
+
+def test_dense_id_counts_instead_of_computing_its_rows_twice(spark, tmp_path):
+    path = str(tmp_path / "keys")
+    spark.range(50_000).write.parquet(path)
+    stored = spark.read.parquet(path)
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(i):
+        seen.add(1)
+        return i
+
+    rows_ = stored.select("id", F.udf(noted, "bigint")("id").alias("v"))
+    keyed = dense_id(rows_, ["id"], "n", counted=stored)
+    assert seen.value == 50_000
+    assert keyed.where("n <> id + 1 or v <> id").count() == 0 and keyed.count() == 50_000
+
+
+@pytest.mark.parametrize("kept", [0, 1])
+def test_dense_id_where_few_keys_own_the_counted_rows(spark, kept):
+    # All rows but one share a key, or a single far key makes all bins but two empty.
+    far = spark.range(1).select(F.lit(10**17).alias("k"), F.col("id"))
+    near = spark.range(100_000).select((F.col("id") * kept).alias("k"), F.col("id"))
+    df = near.unionByName(far)
+    keyed = dense_id(df, ["k", "id"], "n", counted=df)
+    assert keyed.where(F.col("n") != F.col("id") + 1).count() == 1
+    assert keyed.agg(F.max("n")).first()[0] == 100_001
+    written = keyed.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in written) == 100_001
+
+
+def test_dense_id_of_nothing_counted(make):
+    nothing = make([], "a int, b string")
+    assert dense_id(nothing, ["a"], "n", counted=nothing).count() == 0
+
+
 def test_dense_id_of_nothing(make):
+
     assert dense_id(make([], "a int, b string"), ["a"], "n").columns == ["n", "a", "b"]
     assert dense_id(make([], "a int, b string"), ["a"], "n").count() == 0
 
