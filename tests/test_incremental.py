@@ -7,7 +7,7 @@ from starpipe.control.versions import Conflict
 from starpipe.control.watermark import Watermark
 from starpipe.operators.extract import extract_all
 from starpipe.operators.sinks import conformed
-from starpipe.plans.incremental import GONE, StarWarehouse, dense_days, run_incremental
+from starpipe.plans.incremental import GONE, StarWarehouse, _Build, dense_days, run_incremental
 from starpipe.plans.star import build_star
 from starpipe.schemas import LOAD_ORDER, STAR
 from starpipe.sources.readers import frame_source
@@ -177,3 +177,42 @@ def test_runs_by_the_watermark(spark, sources, tmp_path_factory, tmp_path):
     assert (version.number, version.lotes) == (2, {"monday": 2})
     assert 107 in {r[0] for r in found.read("dim_proyectos").select("ID_Proyecto").collect()}
     assert set(found.read("hechos_proyectos").columns) == set(STAR["hechos_proyectos"])
+
+
+def test_parts_are_told_without_computing_the_rows_again(spark, tmp_path_factory):
+    found = house(spark, tmp_path_factory, "parts", parts=4)
+    build = _Build.__new__(_Build)
+    build.house, build.spark, build.folder, build.parts = found, spark, f"{found.root}/_versions/x", 4
+    context = spark.sparkContext
+    for table, n_rows in (("some", 100), ("none", 0)):
+        numbered = spark.range(n_rows).select(F.col("id"), (F.col("id") % 3).alias("_parte"))
+        context.setJobGroup(f"write-{table}", "")
+        numbers = build._write(table, numbered)
+        jobs = context.statusTracker().getJobIdsForGroup(f"write-{table}")
+        context.setLocalProperty("spark.jobGroup.id", None)
+        assert sorted(numbers) == ([0, 1, 2] if n_rows else []) and len(jobs) <= 1
+
+
+def test_children_carry_their_client_from_the_scope_join(spark, sources):
+    plain = extract_all(sources[0], keep=materialise)
+    owned = extract_all(sources[0], keep=materialise, scope=plain["proyectos"], owner="_cliente")
+    owners = plain["proyectos"].select("ID_Proyecto", F.col("ID_Cliente").alias("_cliente"))
+    for name in ("hitos", "tareas", "asignaciones", "pruebas", "riesgos", "gastos"):
+        columns = plain[name].columns
+        assert rows(owned[name].select(*columns, "_cliente")) == rows(plain[name].join(owners, "ID_Proyecto").select(*columns, "_cliente")), name
+    assert rows(owned["errores"]) == rows(plain["errores"])
+
+
+def test_repeated_project_numbers_meet_each_of_their_rows(spark, tmp_path_factory):
+    """Owners are carried only where project numbers occur once; otherwise they are joined."""
+    twice = {**WORLD, "proyectos": [*WORLD["proyectos"], *[row for row in WORLD["proyectos"] if row[0] == 101]]}
+    found = house(spark, tmp_path_factory, "twice")
+    found.load(frame_source({n: materialise(df, n) for n, df in frames(spark, twice).items()}))
+    once = [r for r in house_rows(spark, tmp_path_factory, "dim_hitos") if r[2] == 101]
+    assert [r for r in rows(found.read("dim_hitos")) if r[2] == 101] == sorted([*once, *once])
+
+
+def house_rows(spark, tmp_path_factory, table):
+    found = house(spark, tmp_path_factory, "once")
+    found.load(frame_source({n: materialise(df, n) for n, df in frames(spark, WORLD).items()}))
+    return rows(found.read(table))
