@@ -1,10 +1,16 @@
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from starpipe.control.report import EXTRACT, LOAD, LOSS, ROWS, RunReport
-from starpipe.operators import audits
+from starpipe.operators import audits, facts
+from starpipe.operators.extract import extract_all
 from starpipe.operators.sinks import ParquetSink
 from starpipe.plans.pipeline import run_extract_transform, run_pipeline
+from starpipe.plans.star import build_star
 from starpipe.schemas import LOAD_ORDER, SOURCE
+from starpipe.workspace import materialise
+from tests.world import rows
 
 
 def test_counts_are_those_of_the_written_tables(spark, world, tmp_path):
@@ -53,3 +59,29 @@ def test_measures_and_empty_tables(make, tmp_path):
         report.written("x", name)
     report.written("x", "never observed")
     assert report.entries() == [("x", "none", "filas", 0), ("x", "none", "zeros", 0), ("x", "some", "filas", 2), ("x", "some", "zeros", 1)]
+
+
+def test_a_run_reads_each_child_for_its_scope_once(world, tmp_path):
+    """Employees come from the extracted assignments, not from a second scope join of all of them."""
+    asked = Counter()
+
+    class Asked(dict):
+        def __getitem__(self, name):
+            asked[name] += 1
+            return super().__getitem__(name)
+
+    run = run_pipeline(Asked(world.items()), ParquetSink(str(tmp_path / "dw")))
+    assert run.extracted["empleados"] and asked["asignaciones"] == 1
+
+
+def test_projects_are_put_in_order_before_they_have_measures(world, monkeypatch):
+    numbered = {}
+    dense_id = facts.dense_id
+    monkeypatch.setattr(facts, "dense_id", lambda df, order, name, *a, **b: numbered.update({name: df.columns}) or dense_id(df, order, name, *a, **b))
+    x = extract_all(world, keep=materialise)
+    star = build_star(x, keep=materialise)
+    fact = star["hechos_proyectos"]
+    assert set(numbered["ID_Hecho"]) == {*facts.PROJECT_COLUMNS, "__known"}
+    # The same rows as with a rollup of unnumbered projects.
+    plain = facts.hechos_proyectos(x, materialise(facts.project_rollup(x), "rollup"), star["dim_tiempo"])
+    assert rows(fact.select(*plain.columns)) == rows(plain)
